@@ -7,7 +7,9 @@ from tallyloom.functions.answers import (
     fold_label,
     label_with,
     midpoint,
+    quoted,
     shorten,
+    text,
     truth_label,
 )
 from tallyloom.functions.display import count_suffix, reais, thousands
@@ -23,9 +25,11 @@ __all__ = [
     "mean_of",
     "midpoint",
     "percent",
+    "quoted",
     "reais",
     "relative_gap",
     "shorten",
+    "text",
     "thousands",
     "truth_label",
 ]

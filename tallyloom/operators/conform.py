@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.catalog.editions import EDITION_COLUMN, RAW_COLUMNS, SILVER_COLUMNS
-from tallyloom.functions import blank_to_null, midpoint, truth_label
-from tallyloom.operators.headers import clean_name, raw_column
+from tallyloom.functions import blank_to_null, midpoint, quoted, truth_label
+from tallyloom.operators.headers import clean_name
 
 MIDPOINT_COLUMN = "faixa_salarial_media"
 MIDPOINT_SOURCE = "faixa_salarial"
@@ -44,17 +44,17 @@ def resolve_columns(present: list[str], wanted: Mapping[str, str]) -> dict[str,
 def map_edition(raw: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """The raw columns of one edition under their unified names, otherwise untouched."""
     sources = resolve_columns(raw.columns, columns)
-    return raw.select(*(raw_column(source).alias(unified) for unified, source in sources.items()))
+    return raw.selectExpr(*(f"{quoted(source)} as {unified}" for unified, source in sources.items()))
 
 
 def _unified(name: str, edition: str) -> Column:
     if name == EDITION_COLUMN:
         return F.lit(edition)
     if name == MIDPOINT_COLUMN:
-        return midpoint(F.col(MIDPOINT_SOURCE))
+        return midpoint(MIDPOINT_SOURCE)
     if name in TRUTH_COLUMNS:
-        return truth_label(F.col(name))
-    return blank_to_null(F.col(name))
+        return truth_label(name)
+    return blank_to_null(name)
 
 
 def conform_edition(raw: DataFrame, edition: str) -> DataFrame:

@@ -7,19 +7,18 @@ executors is one row per task and group, however many rows a single answer holds
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions import flag_sum, mean_of, percent
+from tallyloom.functions import flag_sum, mean_of, percent, quoted
 
 COUNT, SHARE, MEAN = "total", "percentual", "salario_medio"
 
 
 def known(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Rows in which every one of these answers is present."""
-    return df.where(reduce(Column.__and__, (F.col(c).isNotNull() for c in columns)))
+    return df.where(" and ".join(f"{quoted(column)} is not null" for column in columns))
 
 
 def ordered(df: DataFrame, *order: str, top: int | None = None) -> DataFrame:
@@ -83,8 +82,8 @@ def flag_profile(
 
 def flag_adoption(df: DataFrame, flags: Mapping[str, str], name: str, total: str) -> DataFrame:
     """Respondents per flag set: one scan and one row of sums, turned into one row per flag."""
-    sums = df.agg(*(F.sum(F.col(flag).cast("int")).alias(label) for label, flag in flags.items()))
-    return sums.unpivot([], [f"`{label}`" for label in flags], name, total)
+    sums = df.agg(*(F.expr(f"sum(cast({quoted(flag)} as int))").alias(label) for label, flag in flags.items()))
+    return sums.unpivot([], [quoted(label) for label in flags], name, total)
 
 
 def share_and_mean(df: DataFrame, answer: str, value: str) -> DataFrame:

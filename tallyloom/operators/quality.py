@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.answers import LANGUAGE_FLAGS, SALARY_MIDPOINTS
-from tallyloom.operators.headers import raw_column
+from tallyloom.functions import quoted, text
 
 
 @dataclass(frozen=True)
@@ -38,20 +38,20 @@ def has_columns(df: DataFrame) -> Rule:
 
 def ids_unique(id_column: str) -> Rule:
     """No id occurs twice, as it would after loading an edition twice."""
-    column = raw_column(id_column)
-    return Rule("duplicate_ids", F.count(column) - F.count_distinct(column), at_most=0)
+    column = quoted(id_column)
+    return Rule("duplicate_ids", F.expr(f"count({column}) - count(distinct {column})"), at_most=0)
 
 
 def labels_known(column: str, known: Iterable[str], name: str = "unknown_labels") -> Rule:
     """Every non-empty answer is in the vocabulary; drifted wording shows up here."""
-    answer = raw_column(column)
-    return Rule(name, F.count_if((answer != "") & ~answer.isin(*known)), at_most=0)
+    vocabulary = ", ".join(map(text, ("", *known)))
+    return Rule(name, F.expr(f"count_if({quoted(column)} not in ({vocabulary}))"), at_most=0)
 
 
 def flags_clean(columns: Iterable[str], name: str = "bad_flags") -> Rule:
     """Every non-empty flag is 0 or 1, so the strict integer cast cannot fail."""
-    counts = (F.count_if((raw_column(c) != "") & ~raw_column(c).isin("0", "1")) for c in columns)
-    return Rule(name, reduce(Column.__add__, counts), at_most=0)
+    counts = (f"count_if({quoted(column)} not in ('', '0', '1'))" for column in columns)
+    return Rule(name, F.expr(" + ".join(counts)), at_most=0)
 
 
 def edition_rules(df: DataFrame, columns: Mapping[str, str]) -> list[Rule]:

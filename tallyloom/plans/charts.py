@@ -22,8 +22,7 @@ from tallyloom.catalog.answers import (
     WORK_MODEL_FOLD,
 )
 from tallyloom.catalog.editions import EDITION_COLUMN as EDITION
-from tallyloom.functions import count_suffix, first_token, fold_label, label_with, reais, shorten, thousands
-from tallyloom.operators.headers import raw_column
+from tallyloom.functions import count_suffix, first_token, fold_label, label_with, quoted, reais, shorten, thousands
 from tallyloom.operators.measures import COUNT, MEAN, SHARE, with_share
 from tallyloom.operators.reshape import (
     group_gap,
@@ -56,7 +55,7 @@ AXES: dict[str, tuple[tuple[str, ...] | None, float, float | None]] = {
 
 def top_roles(role_share: DataFrame) -> DataFrame:
     """Most common titles, drifted wording folded, shares re-based to the titles given."""
-    folded = role_share.withColumn("cargo_atual", fold_label(F.col("cargo_atual"), ROLE_FOLD))
+    folded = role_share.withColumn("cargo_atual", fold_label("cargo_atual", ROLE_FOLD))
     counts = folded.groupBy("cargo_atual").agg(F.sum(COUNT).alias(COUNT))
     return largest(with_share(counts, half_even=True), COUNT, "cargo_atual", BARS)
 
@@ -75,9 +74,9 @@ def sectors(sector_share: DataFrame) -> DataFrame:
 def top_profiles(role_seniority_pay: DataFrame) -> DataFrame:
     """Best-paid profiles, titles cut to their first name and merged by respondents."""
     keys = ["cargo_atual", "senioridade"]
-    short = role_seniority_pay.withColumn("cargo_atual", first_token(F.col("cargo_atual")))
+    short = role_seniority_pay.withColumn("cargo_atual", first_token("cargo_atual"))
     merged = weighted_mean(short, keys, MEAN, COUNT)
-    labelled = merged.withColumn("label", label_with(F.col("cargo_atual"), F.col("senioridade")))
+    labelled = merged.withColumn("label", label_with("cargo_atual", "senioridade"))
     return largest(labelled, MEAN, "label", BARS).select(*keys, MEAN, COUNT, "label")
 
 
@@ -99,7 +98,7 @@ def language_count(language_count_pay: DataFrame) -> DataFrame:
 
 def work_models(work_model_by_edition: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
     """Share of each work model, one row per edition; wording folded or cut short."""
-    answer = F.col("modelo_trabalho_atual")
+    answer = "modelo_trabalho_atual"
     folded = work_model_by_edition.withColumn("modelo_curto", fold_label(answer, WORK_MODEL_FOLD, shorten(answer)))
     return pivot_sum(folded, EDITION, "modelo_curto", SHARE, labels).orderBy(EDITION)
 
@@ -134,7 +133,7 @@ def ai_priority(ai_priority: DataFrame) -> DataFrame:
     A result without counts or pay cannot be weighted; its pay is averaged plainly.
     """
     if "ia_prioridade_empresa" in ai_priority.columns:
-        label = fold_label(F.col("ia_prioridade_empresa"), AI_PRIORITY_FOLD)
+        label = fold_label("ia_prioridade_empresa", AI_PRIORITY_FOLD)
     else:
         label = F.lit("Categoria")
     folded = ai_priority.withColumn("rotulo_curto", label)
@@ -168,7 +167,7 @@ def axis_limit(mart: DataFrame, name: str) -> DataFrame:
     """One row: where the value axis of that mart ends."""
     columns, headroom, without_values = AXES[name]
     columns = columns or tuple(c for c in mart.columns if c != EDITION)
-    largest_value = reduce(F.greatest, [F.max(raw_column(c)) for c in columns])
+    largest_value = reduce(F.greatest, [F.max(F.col(quoted(c))) for c in columns])
     limit = F.round(largest_value * F.lit(headroom), 2)
     return mart.agg(F.when(largest_value > 0, limit).otherwise(F.lit(without_values)).alias("eixo_max"))
 

@@ -6,27 +6,44 @@ check. They leave blanks, unknown bands, drifted wording and mixed spellings to
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.editions import EDITIONS, RAW_COLUMNS
+from tallyloom.functions import quoted
 
 
-def _choose(value: str, answers: Mapping[object, str], otherwise: str = "") -> str:
-    """CASE by equality."""
-    branches = " ".join(f"when {key!r} then '{text}'" for key, text in answers.items())
+def _case(value: str, answers: Mapping[str, str], otherwise: str = "") -> str:
+    """Answer by key, in any SQL."""
+    branches = " ".join(f"when '{key}' then '{answer}'" for key, answer in answers.items())
     return f"case {value} {branches} else '{otherwise}' end"
 
 
-def _bands(value: str, answers: Sequence[tuple[object, str]], otherwise: str = "") -> str:
-    """CASE by upper bound."""
-    branches = " ".join(f"when {value} <= {bound} then '{text}'" for bound, text in answers)
+def _lookup(value: str, answers: Mapping[str, str], otherwise: str = "") -> str:
+    """Answer by key from a constant map.
+
+    One lookup compiles to far less code than one comparison per answer, which keeps the
+    generated method of the whole projection small enough for the JVM to compile it.
+    """
+    pairs = ", ".join(f"'{key}', '{answer}'" for key, answer in answers.items())
+    return f"coalesce(map({pairs})[{value}], '{otherwise}')"
+
+
+def _bands(value: str, answers: Sequence[tuple[int, str]], otherwise: str = "") -> str:
+    """Answer by upper bound."""
+    branches = " ".join(f"when {value} <= {bound} then '{answer}'" for bound, answer in answers)
     return f"case {branches} else '{otherwise}' end"
 
 
-_NOT_ASKED = "o_orderstatus = 'P' and o_orderpriority = '4-NOT SPECIFIED'"
+def _lookup_bands(value: str, answers: Sequence[tuple[int, str]], otherwise: str = "") -> str:
+    """The same for a month or a day, as a constant list with one answer for each."""
+    listed = [next((answer for bound, answer in answers if number <= bound), otherwise) for number in range(32)]
+    return f"array({', '.join(map(repr, listed))})[{value}]"
+
+
+_NOT_ASKED = "c_acctbal < 900"
 
 
 def _flag(condition: str) -> str:
@@ -58,124 +75,129 @@ _ROLES = {
     "NATION_21": "Analista de Dados/Data Analyst",
 }
 
-ANSWERS: dict[str, str] = {
-    "id_respondente": "cast(o_orderkey as string)",
-    "idade": "case when o_totalprice > 495000 then '' else cast(cast(floor(o_totalprice / 12500) as int) + 18 as string) end",
-    "faixa_idade": _bands("o_totalprice", [(90000, "17-24"), (215000, "25-34"), (340000, "35-44"), (495000, "45+")]),
-    "genero": _bands("c_acctbal", [(1800, "Feminino"), (9600, "Masculino"), (9750, "Outro"), (9900, "Prefiro não informar")]),
-    "cor_raca_etnia": "case when c_acctbal < -900 then '' else "
-    + _choose(
-        "c_mktsegment",
-        {"AUTOMOBILE": "Branca", "BUILDING": "Branca", "FURNITURE": "Parda", "MACHINERY": "Preta"},
-        "Amarela",
-    )
-    + " end",
-    "pcd": _bands("c_acctbal", [(-500, "Sim"), (9990, "Não")]),
-    "uf_onde_mora": "n_name",
-    "regiao_onde_mora": "case when n_name = 'NATION_22' then '' else "
-    + _choose("r_name", {"AFRICA": "Sudeste", "AMERICA": "Sul", "ASIA": "Nordeste", "EUROPE": "Centro-oeste"}, "Norte")
-    + " end",
-    "nivel_ensino": _bands("month(o_orderdate)", [(5, "Graduação/Bacharelado"), (8, "Pós-graduação"), (11, "Mestrado")]),
-    "area_formacao": _bands("day(o_orderdate)", [(12, "Computação"), (20, "Engenharias"), (28, "Estatística")]),
-    "situacao_trabalho": _choose("o_orderstatus", {"F": "Empregado (CLT)", "O": "Empreendedor ou Empregado (CNPJ)"}, "Desempregado"),
-    "setor": _bands(
-        "day(o_orderdate)",
-        [
-            (8, "Finanças ou Bancos"),
-            (13, "Tecnologia/Fábrica de Software"),
-            (15, "Área de Consultoria"),
-            (17, "Varejo"),
-            (19, "Outra Opção"),
-            (21, "Indústria"),
-            (23, "Educação"),
-            (24, "Área da Saúde"),
-            (25, "Setor Público"),
-            (26, "Internet/Ecommerce"),
-            (27, "Telecomunicação"),
-            (28, "Agronegócios"),
-        ],
-    ),
-    "numero_funcionarios": _bands(
-        "month(o_orderdate)",
-        [
-            (3, "Acima de 3.000"),
-            (4, "de 1.001 a 3.000"),
-            (5, "de 501 a 1.000"),
-            (6, "de 51 a 100"),
-            (8, "de 101 a 500"),
-            (9, "de 11 a 50"),
-            (10, "de 6 a 10"),
-            (11, "de 1 a 5"),
-        ],
-    ),
-    "cargo_atual": _choose("n_name", _ROLES),
-    "senioridade": "case when o_orderstatus = 'F' then 'Júnior'"
-    " when o_orderstatus = 'O' then case when month(o_orderdate) <= 7 then 'Pleno' else 'Sênior' end"
-    " else " + _bands("month(o_orderdate)", [(5, "Sênior"), (8, "Especialista/Staff+")]) + " end",
-    "faixa_salarial": _bands(
-        "o_totalprice",
-        [
-            (10000, "Menos de R$ 1.000/mês"),
-            (25000, "de R$ 101/mês a R$ 2.000/mês"),
-            (50000, "de R$ 1.001/mês a R$ 2.000/mês"),
-            (80000, "de R$ 2.001/mês a R$ 3.000/mês"),
-            (115000, "de R$ 3.001/mês a R$ 4.000/mês"),
-            (160000, "de R$ 4.001/mês a R$ 6.000/mês"),
-            (210000, "de R$ 6.001/mês a R$ 8.000/mês"),
-            (270000, "de R$ 8.001/mês a R$ 12.000/mês"),
-            (330000, "de R$ 12.001/mês a R$ 16.000/mês"),
-            (380000, "de R$ 16.001/mês a R$ 20.000/mês"),
-            (415000, "de R$ 20.001/mês a R$ 25.000/mês"),
-            (440000, "de R$ 25.001/mês a R$ 30.000/mês"),
-            (455000, "de R$ 25.001/mês a R$ 3000/mês"),
-            (470000, "de R$ 30.001/mês a R$ 40.000/mês"),
-            (480000, "Acima de R$ 40.001/mês"),
-            (490000, "Prefiro não dizer"),
-        ],
-    ),
-    "modelo_trabalho_atual": _choose(
-        "o_orderpriority",
-        {
-            "1-URGENT": "Modelo 100% remoto",
-            "2-HIGH": "Modelo híbrido flexível (o funcionário tem liberdade para escolher quando estar no escritório presencialmente)",
-            "3-MEDIUM": "Modelo 100% presencial",
-            "5-LOW": "Modelo híbrido com dias fixos de trabalho presencial",
-        },
-    ),
-    "modelo_trabalho_ideal": _choose("o_orderstatus", {"F": "Modelo 100% remoto", "O": "Modelo 100% presencial"}),
-    "numero_pessoas_dados_empresa": _bands("day(o_orderdate)", [(10, "1 - 3"), (20, "4 - 10"), (29, "11 - 20")]),
-    "ia_prioridade_empresa": "case when o_orderstatus = 'F' then "
-    + _choose(
-        "o_orderpriority",
-        {
-            "1-URGENT": "Sim, é nossa principal prioridade como empresa (com foco executivo significativo e alocação de orçamento relevante).",
-            "2-HIGH": "Sim, está entre nossas principais prioridades para os próximos 2-4 anos (com discussões de iniciativas e orçamentos de curto a médio prazo).",
-            "3-MEDIUM": "Mais ou menos... É uma das várias iniciativas que estamos impulsionando, mas não é uma prioridade (iniciativas isoladas e pouco foco).",
-            "4-NOT SPECIFIED": "Mais ou menos... É uma das várias iniciativas que estamos impulsionando, mas não é uma prioridade (tratam-se de iniciativas isoladas e com pouco foco).",
-            "5-LOW": "Não sei opinar sobre esse assunto.",
-        },
-    )
-    + " when o_orderstatus = 'O' and month(o_orderdate) <= 9 then"
-    " 'Não é uma iniciativa que estamos focando e não tem sido uma prioridade.' else '' end",
-    "usa_chatgpt_llm": _choose("o_orderpriority", {"1-URGENT": "Sim", "2-HIGH": "Não"}),
-    "cloud_preferida": _bands("month(o_orderdate)", [(4, "AWS"), (7, "GCP"), (10, "Azure")]),
-    "ferramenta_bi_preferida": _bands("day(o_orderdate)", [(14, "Power BI"), (22, "Tableau"), (27, "Looker")]),
-    "lang_sql": _flag("c_acctbal > -200"),
-    "lang_r": _flag("day(o_orderdate) >= 28"),
-    "lang_python": _flag("o_totalprice > 120000"),
-    "lang_c_cpp_csharp": _flag("month(o_orderdate) = 12"),
-    "lang_julia": _flag("c_acctbal > 9800"),
-    "lang_vb_vba": _flag("o_totalprice < 40000"),
-    "lang_scala": _flag("n_name in ('NATION_6', 'NATION_11')"),
-    "lang_rust": _flag("o_totalprice > 485000"),
-    "satisfeito_empresa": "case when o_orderstatus = 'P' then "
-    + _choose("o_orderpriority", {"1-URGENT": "1", "2-HIGH": "0", "3-MEDIUM": "talvez"})
-    + " else "
-    + _choose("o_orderpriority", {"1-URGENT": "TRUE", "2-HIGH": "true", "3-MEDIUM": "FALSE", "5-LOW": "false"})
-    + " end",
-    "motivo_insatisfacao": "case when o_orderpriority = '2-HIGH' then 'Salário \"atual\",' || chr(10) || 'sem plano' else '' end",
-    "planos_de_mudar_de_emprego_6m": _choose("o_orderstatus", {"F": "Estou em busca", "O": "Não pretendo mudar"}),
-}
+def _answers(choose: Callable[..., str], bands: Callable[..., str]) -> dict[str, str]:
+    return {
+        "id_respondente": "cast(o_orderkey as string)",
+        "idade": "case when o_totalprice > 495000 then '' else cast(cast(floor(o_totalprice / 12500) as int) + 18 as string) end",
+        "faixa_idade": _bands("o_totalprice", [(90000, "17-24"), (215000, "25-34"), (340000, "35-44"), (495000, "45+")]),
+        "genero": _bands("c_acctbal", [(1800, "Feminino"), (9600, "Masculino"), (9750, "Outro"), (9900, "Prefiro não informar")]),
+        "cor_raca_etnia": "case when c_acctbal < -900 then '' else "
+        + choose(
+            "c_mktsegment",
+            {"AUTOMOBILE": "Branca", "BUILDING": "Branca", "FURNITURE": "Parda", "MACHINERY": "Preta"},
+            "Amarela",
+        )
+        + " end",
+        "pcd": _bands("c_acctbal", [(-500, "Sim"), (9990, "Não")]),
+        "uf_onde_mora": "n_name",
+        "regiao_onde_mora": "case when n_name = 'NATION_22' then '' else "
+        + choose("r_name", {"AFRICA": "Sudeste", "AMERICA": "Sul", "ASIA": "Nordeste", "EUROPE": "Centro-oeste"}, "Norte")
+        + " end",
+        "nivel_ensino": bands("month(o_orderdate)", [(5, "Graduação/Bacharelado"), (8, "Pós-graduação"), (11, "Mestrado")]),
+        "area_formacao": bands("day(o_orderdate)", [(12, "Computação"), (20, "Engenharias"), (28, "Estatística")]),
+        "situacao_trabalho": choose("o_orderstatus", {"F": "Empregado (CLT)", "O": "Empreendedor ou Empregado (CNPJ)"}, "Desempregado"),
+        "setor": bands(
+            "day(o_orderdate)",
+            [
+                (8, "Finanças ou Bancos"),
+                (13, "Tecnologia/Fábrica de Software"),
+                (15, "Área de Consultoria"),
+                (17, "Varejo"),
+                (19, "Outra Opção"),
+                (21, "Indústria"),
+                (23, "Educação"),
+                (24, "Área da Saúde"),
+                (25, "Setor Público"),
+                (26, "Internet/Ecommerce"),
+                (27, "Telecomunicação"),
+                (28, "Agronegócios"),
+            ],
+        ),
+        "numero_funcionarios": bands(
+            "month(o_orderdate)",
+            [
+                (3, "Acima de 3.000"),
+                (4, "de 1.001 a 3.000"),
+                (5, "de 501 a 1.000"),
+                (6, "de 51 a 100"),
+                (8, "de 101 a 500"),
+                (9, "de 11 a 50"),
+                (10, "de 6 a 10"),
+                (11, "de 1 a 5"),
+            ],
+        ),
+        "cargo_atual": choose("n_name", _ROLES),
+        "senioridade": "case when o_orderstatus = 'F' then 'Júnior'"
+        " when o_orderstatus = 'O' then case when month(o_orderdate) <= 7 then 'Pleno' else 'Sênior' end"
+        " else " + bands("month(o_orderdate)", [(5, "Sênior"), (8, "Especialista/Staff+")]) + " end",
+        "faixa_salarial": _bands(
+            "o_totalprice",
+            [
+                (10000, "Menos de R$ 1.000/mês"),
+                (25000, "de R$ 101/mês a R$ 2.000/mês"),
+                (50000, "de R$ 1.001/mês a R$ 2.000/mês"),
+                (80000, "de R$ 2.001/mês a R$ 3.000/mês"),
+                (115000, "de R$ 3.001/mês a R$ 4.000/mês"),
+                (160000, "de R$ 4.001/mês a R$ 6.000/mês"),
+                (210000, "de R$ 6.001/mês a R$ 8.000/mês"),
+                (270000, "de R$ 8.001/mês a R$ 12.000/mês"),
+                (330000, "de R$ 12.001/mês a R$ 16.000/mês"),
+                (380000, "de R$ 16.001/mês a R$ 20.000/mês"),
+                (415000, "de R$ 20.001/mês a R$ 25.000/mês"),
+                (440000, "de R$ 25.001/mês a R$ 30.000/mês"),
+                (455000, "de R$ 25.001/mês a R$ 3000/mês"),
+                (470000, "de R$ 30.001/mês a R$ 40.000/mês"),
+                (480000, "Acima de R$ 40.001/mês"),
+                (490000, "Prefiro não dizer"),
+            ],
+        ),
+        "modelo_trabalho_atual": choose(
+            "o_orderpriority",
+            {
+                "1-URGENT": "Modelo 100% remoto",
+                "2-HIGH": "Modelo híbrido flexível (o funcionário tem liberdade para escolher quando estar no escritório presencialmente)",
+                "3-MEDIUM": "Modelo 100% presencial",
+                "5-LOW": "Modelo híbrido com dias fixos de trabalho presencial",
+            },
+        ),
+        "modelo_trabalho_ideal": choose("o_orderstatus", {"F": "Modelo 100% remoto", "O": "Modelo 100% presencial"}),
+        "numero_pessoas_dados_empresa": bands("day(o_orderdate)", [(10, "1 - 3"), (20, "4 - 10"), (29, "11 - 20")]),
+        "ia_prioridade_empresa": "case when o_orderstatus = 'F' then "
+        + choose(
+            "o_orderpriority",
+            {
+                "1-URGENT": "Sim, é nossa principal prioridade como empresa (com foco executivo significativo e alocação de orçamento relevante).",
+                "2-HIGH": "Sim, está entre nossas principais prioridades para os próximos 2-4 anos (com discussões de iniciativas e orçamentos de curto a médio prazo).",
+                "3-MEDIUM": "Mais ou menos... É uma das várias iniciativas que estamos impulsionando, mas não é uma prioridade (iniciativas isoladas e pouco foco).",
+                "4-NOT SPECIFIED": "Mais ou menos... É uma das várias iniciativas que estamos impulsionando, mas não é uma prioridade (tratam-se de iniciativas isoladas e com pouco foco).",
+                "5-LOW": "Não sei opinar sobre esse assunto.",
+            },
+        )
+        + " when o_orderstatus = 'O' and month(o_orderdate) <= 9 then"
+        " 'Não é uma iniciativa que estamos focando e não tem sido uma prioridade.' else '' end",
+        "usa_chatgpt_llm": choose("o_orderpriority", {"1-URGENT": "Sim", "2-HIGH": "Não"}),
+        "cloud_preferida": bands("month(o_orderdate)", [(4, "AWS"), (7, "GCP"), (10, "Azure")]),
+        "ferramenta_bi_preferida": bands("day(o_orderdate)", [(14, "Power BI"), (22, "Tableau"), (27, "Looker")]),
+        "lang_sql": _flag("c_acctbal > 1500"),
+        "lang_r": _flag("day(o_orderdate) >= 28"),
+        "lang_python": _flag("o_totalprice > 120000"),
+        "lang_c_cpp_csharp": _flag("month(o_orderdate) = 12"),
+        "lang_julia": _flag("c_acctbal > 9800"),
+        "lang_vb_vba": _flag("o_totalprice < 40000"),
+        "lang_scala": _flag("n_name in ('NATION_6', 'NATION_11')"),
+        "lang_rust": _flag("o_totalprice > 485000"),
+        "satisfeito_empresa": "case when o_orderstatus = 'P' then "
+        + choose("o_orderpriority", {"1-URGENT": "1", "2-HIGH": "0", "3-MEDIUM": "talvez"})
+        + " else "
+        + choose("o_orderpriority", {"1-URGENT": "TRUE", "2-HIGH": "true", "3-MEDIUM": "FALSE", "5-LOW": "false"})
+        + " end",
+        "motivo_insatisfacao": "case when o_orderpriority = '2-HIGH' then 'Salário \"atual\",' || chr(10) || 'sem plano' else '' end",
+        "planos_de_mudar_de_emprego_6m": choose("o_orderstatus", {"F": "Estou em busca", "O": "Não pretendo mudar"}),
+    }
+
+
+SPARK_ANSWERS = _answers(_lookup, _lookup_bands)
+SQL_ANSWERS = _answers(_case, _bands)
 
 # Order-date bounds of each edition: from (inclusive) and to (exclusive).
 EDITION_YEARS = {"2023_2024": (None, 1997), "2024_2025": (1997, 1999), "2025_2026": (1999, None)}
@@ -187,34 +209,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _edition_orders(spark: SparkSession, sf_dir: str, edition: str) -> DataFrame:
-    """Orders of one edition; the date range reaches the Parquet scan."""
+def _in_edition(edition: str) -> str:
+    """Order dates of one edition. A plain range, so it reaches the Parquet scan."""
     start, end = EDITION_YEARS[edition]
-    orders = table(spark, sf_dir, "orders")
-    date = F.col("o_orderdate")
+    before = f"o_orderdate < timestamp_ntz '{end}-01-01'"
+    since = f"o_orderdate >= timestamp_ntz '{start}-01-01'"
     if start and end:
-        return orders.where((date >= _january(start)) & (date < _january(end)))
-    return orders.where(date < _january(end)) if end else orders.where((date >= _january(start)) | date.isNull())
-
+        return f"{since} and {before}"
+    return before if end else f"{since} or o_orderdate is null"
 
-def _january(year: int):
-    return F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")
 
-
-def raw_edition(spark: SparkSession, sf_dir: str, edition: str) -> DataFrame:
-    """One edition as its export would hold it: raw column names, strings only.
+def raw_editions(spark: SparkSession, sf_dir: str, editions: Sequence[str] = EDITIONS) -> dict[str, DataFrame]:
+    """Each edition as its export would hold it: raw column names, strings only.
 
     Which side of a join is small enough to broadcast is left to Spark, which knows the sizes.
     """
-    respondents = (
-        _edition_orders(spark, sf_dir, edition)
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    orders, customers, nations, regions = (
+        table(spark, sf_dir, name) for name in ("orders", "customer", "nation", "region")
     )
-    names = RAW_COLUMNS[edition]
-    return respondents.selectExpr(*(ANSWERS[unified] for unified in names)).toDF(*names.values())
+    places = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    people = customers.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    own_customer = F.col("o_custkey") == F.col("c_custkey")
+    raw = {}
+    for edition in editions:
+        names = RAW_COLUMNS[edition]
+        respondents = orders.where(_in_edition(edition)).join(people, own_customer)
+        raw[edition] = respondents.selectExpr(*(f"{SPARK_ANSWERS[name]} as {quoted(column)}" for name, column in names.items()))
+    return raw
 
 
-def raw_editions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {edition: raw_edition(spark, sf_dir, edition) for edition in EDITIONS}
+def raw_edition(spark: SparkSession, sf_dir: str, edition: str) -> DataFrame:
+    return raw_editions(spark, sf_dir, [edition])[edition]

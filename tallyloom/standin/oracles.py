@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tallyloom.catalog.answers import AI_PRIORITY_FOLD, ROLE_FOLD, SALARY_MIDPOINTS, TECHNOLOGY_FLAGS, WORK_MODEL_FOLD
 from tallyloom.catalog.editions import EDITIONS, RAW_COLUMNS, SILVER_COLUMNS
-from tallyloom.standin.answers import ANSWERS, EDITION_SQL
+from tallyloom.standin.answers import SQL_ANSWERS, EDITION_SQL
 
 _FROM = """from orders
  join customer on o_custkey = c_custkey
@@ -33,7 +33,7 @@ def _silver_column(name: str) -> str:
     return f"nullif({name}, '') as {name}"
 
 
-_RAW = "raw as (select " + ", ".join(f"{sql} as {name}" for name, sql in ANSWERS.items()) + f", {EDITION_SQL} as ano_pesquisa {_FROM})"
+_RAW = "raw as (select " + ", ".join(f"{sql} as {name}" for name, sql in SQL_ANSWERS.items()) + f", {EDITION_SQL} as ano_pesquisa {_FROM})"
 _SILVER = "silver as (select " + ", ".join(_silver_column(name) for name in SILVER_COLUMNS) + " from raw)"
 
 

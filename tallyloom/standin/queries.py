@@ -113,19 +113,19 @@ def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def blank_to_null_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blank answers become missing ones."""
     columns = ["id_respondente", "idade", "genero", "cargo_atual", "lang_sql", "motivo_insatisfacao"]
-    return _mapped(spark, sf_dir).select(*(blank_to_null(F.col(c)).alias(c) for c in columns))
+    return _mapped(spark, sf_dir).select(*(blank_to_null(c).alias(c) for c in columns))
 
 
 def band_midpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Salary bands and their midpoints."""
-    band = F.col("faixa_salarial")
+    band = "faixa_salarial"
     return _mapped(spark, sf_dir).select("id_respondente", band, midpoint(band).alias("faixa_salarial_media"))
 
 
 def truth_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixed spellings of yes and no."""
-    raw = F.col("satisfeito_empresa")
-    return _mapped(spark, sf_dir).select("id_respondente", raw.alias("resposta"), truth_label(raw).alias("satisfeito_empresa"))
+    raw = "satisfeito_empresa"
+    return _mapped(spark, sf_dir).select("id_respondente", F.col(raw).alias("resposta"), truth_label(raw).alias("satisfeito_empresa"))
 
 
 # Measures over the plain tables
