@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from tallyloom.catalog.answers import GAP_BASE, GAP_OTHER, LANGUAGE_FLAGS, TECHNOLOGY_FLAGS
@@ -22,6 +21,7 @@ from tallyloom.operators.measures import (
     share,
     share_and_mean,
 )
+from tallyloom.session import run_together
 from tallyloom.sources.results import write_result
 
 PAY = "faixa_salarial_media"
@@ -159,16 +159,13 @@ def answer(name: str, silver: DataFrame, in_order: bool = True) -> DataFrame:
 def export_gold(silver: DataFrame, folder: str, concurrency: int = 4) -> dict[str, str]:
     """Answer every question and export each result; returns the folder of each.
 
-    The questions are independent jobs over a few columns each. Running some at once lets the
-    wide scan of one use the executors that the one-task tail of another leaves idle.
+    Each question scans only its own few columns, so together they read less than one
+    persisted copy of the whole wide table would take to build.
     """
     targets = {name: f"{folder.rstrip('/')}/{name}" for name in QUESTIONS}
 
     def export(name: str) -> None:
         write_result(answer(name, silver), targets[name])
 
-    with ThreadPoolExecutor(max_workers=concurrency) as pool:
-        jobs = [pool.submit(inheritable_thread_target(silver.sparkSession)(export), name) for name in QUESTIONS]
-        for job in jobs:
-            job.result()
+    run_together(silver.sparkSession, (partial(export, name) for name in QUESTIONS), concurrency)
     return targets

@@ -1,35 +1,38 @@
-"""Silver: the unified survey table, partitioned by edition."""
+"""Silver: the unified survey table, one Parquet partition per edition."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.catalog.editions import EDITION_COLUMN
-from tallyloom.operators.conform import SILVER_SCHEMA, conform_edition, unify
-from tallyloom.sources.tables import overwrite_partitions, save_table
-
-
-def create_silver(raw_editions: Mapping[str, DataFrame], table: str, location: str | None = None) -> DataFrame:
-    """Build the table from all editions, replacing any earlier one.
-
-    Each edition is a union branch with a literal label, so writing partitioned by edition
-    needs no shuffle: every task writes into a single partition.
-    """
-    return save_table(unify(raw_editions), table, location, partition_by=[EDITION_COLUMN])
+from tallyloom.catalog.editions import EDITION_COLUMN, EDITIONS
+from tallyloom.operators.conform import SILVER_SCHEMA, conform_edition
+from tallyloom.session import run_together
+from tallyloom.sources.tables import overwrite_partition, partition_folder, register_partitions
 
 
 def refresh_edition(raw: DataFrame, edition: str, location: str) -> None:
-    """Replace one edition of a Silver folder and leave the others alone."""
-    overwrite_partitions(conform_edition(raw, edition), location, [EDITION_COLUMN])
+    """Replace one edition of a Silver folder. Scan, project, write: nothing is shuffled or sorted."""
+    overwrite_partition(conform_edition(raw, edition), location, EDITION_COLUMN, edition)
 
 
 def refresh_silver(raw_editions: Mapping[str, DataFrame], location: str) -> None:
-    """Replace all given editions of a Silver folder."""
-    overwrite_partitions(unify(raw_editions), location, [EDITION_COLUMN])
+    """Replace the given editions of a Silver folder; doing so again doubles nothing."""
+    spark = next(iter(raw_editions.values())).sparkSession
+    jobs = (partial(refresh_edition, raw, edition, location) for edition, raw in raw_editions.items())
+    run_together(spark, jobs, concurrency=len(raw_editions))
+
+
+def create_silver(raw_editions: Mapping[str, DataFrame], table: str, location: str) -> DataFrame:
+    """Build the table of exactly the given editions, replacing any earlier one of that name."""
+    refresh_silver(raw_editions, location)
+    spark = next(iter(raw_editions.values())).sparkSession
+    return register_partitions(spark, table, location, SILVER_SCHEMA, EDITION_COLUMN, raw_editions)
 
 
-def read_silver(spark: SparkSession, location: str) -> DataFrame:
-    """Scan a Silver folder with its fixed schema, so no file is opened to infer one."""
-    return spark.read.schema(SILVER_SCHEMA).parquet(location)
+def read_silver(spark: SparkSession, location: str, editions: Iterable[str] = EDITIONS) -> DataFrame:
+    """Scan exactly these editions with the fixed schema, so no file is opened to infer one."""
+    folders = [partition_folder(location, EDITION_COLUMN, edition) for edition in editions]
+    return spark.read.schema(SILVER_SCHEMA).option("basePath", location).parquet(*folders)

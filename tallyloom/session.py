@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings that hold from a laptop to a large cluster. Partition counts are left to AQE:
@@ -48,3 +51,13 @@ def shared_dir(spark: SparkSession) -> str:
 @lru_cache(maxsize=None)
 def _local_dir(application_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"tallyloom-{application_id}-")
+
+
+def run_together(spark: SparkSession, jobs: Iterable[Callable[[], object]], concurrency: int) -> None:
+    """Run independent Spark jobs some at a time; the first failure is raised.
+
+    The wide stage of one job uses the executors that the short tail of another leaves idle.
+    """
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        for running in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            running.result()

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from tallyloom.functions import quoted, text
 
-def save_table(
-    df: DataFrame, table: str, location: str | None = None, partition_by: Sequence[str] = ()
-) -> DataFrame:
+
+def save_table(df: DataFrame, table: str, location: str | None = None) -> DataFrame:
     """Create or fully replace a Snappy Parquet table and return a scan of it.
 
     Column names may hold quotes, commas or dots. With ``location`` the table is external:
@@ -18,16 +19,34 @@ def save_table(
     writer = df.write.format("parquet").mode("overwrite").option("compression", "snappy")
     if location:
         writer = writer.option("path", location)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
     return df.sparkSession.table(table)
 
 
-def overwrite_partitions(df: DataFrame, location: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions that ``df`` holds, so a rerun of one edition adds nothing twice."""
-    writer = df.write.mode("overwrite").option("compression", "snappy")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(location)
+def partition_folder(location: str, column: str, value: str) -> str:
+    return f"{location}/{column}={value}"
+
+
+def overwrite_partition(df: DataFrame, location: str, column: str, value: str) -> None:
+    """Replace one partition of a folder and leave the others alone.
+
+    Rows go straight into the partition they all belong to. A write that had to work out the
+    partition of each row would first sort every task's rows by it.
+    """
+    writer = df.drop(column).write.mode("overwrite").option("compression", "snappy")
+    writer.parquet(partition_folder(location, column, value))
+
+
+def register_partitions(
+    spark: SparkSession, table: str, location: str, schema: T.StructType, column: str, values: Iterable[str]
+) -> DataFrame:
+    """(Re)create an external partitioned table over folders already written."""
+    columns = ", ".join(f"{quoted(field.name)} {field.dataType.simpleString()}" for field in schema)
+    spark.sql(f"drop table if exists {table}")
+    spark.sql(f"create table {table} ({columns}) using parquet partitioned by ({column}) location {text(location)}")
+    partitions = " ".join(f"partition ({column} = {text(value)})" for value in values)
+    spark.sql(f"alter table {table} add if not exists {partitions}")
+    return spark.table(table)
 
 
 def if_present(
