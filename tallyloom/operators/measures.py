@@ -35,7 +35,10 @@ def with_share(counts: DataFrame, within: str | None = None, half_even: bool = F
     it, and no window has to gather all counted rows, or all rows of one group, in one task.
     """
     if within is None:
-        whole = counts.agg(F.sum(COUNT)).scalar()
+        # Naming every column keeps the subquery's aggregation identical to the counts', so that
+        # Spark reuses it instead of scanning the respondents again for a leaner one.
+        named = (F.count(column) for column in counts.columns)
+        whole = counts.agg(F.struct(F.sum(COUNT).alias("respondents"), *named)).scalar()["respondents"]
         return counts.withColumn(SHARE, percent(F.col(COUNT), whole, half_even=half_even))
     wholes = counts.groupBy(F.col(within).alias("_within")).agg(F.sum(COUNT).alias("_whole"))
     return (
