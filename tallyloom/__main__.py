@@ -8,6 +8,8 @@ from tallyloom.catalog.editions import EDITIONS
 from tallyloom.plans.run import run_bronze, run_charts, run_gold, run_silver
 from tallyloom.session import build_session
 
+RECORD_ENDS = {"crlf": "\r\n", "lf": "\n"}
+
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tallyloom", description="Survey analytics as Spark jobs.")
@@ -16,6 +18,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--raw", action="append", default=[], metavar="EDITION=DIR", help="CSV folder of an edition")
     parser.add_argument("--clean-names", action="store_true", help="land cleaned column names instead of raw ones")
     parser.add_argument("--gate", action="store_true", help="stop when a quality rule fails")
+    parser.add_argument("--record-end", choices=RECORD_ENDS, help="line break found at record ends only: files are split")
     parser.add_argument("--master", help="Spark master; by default the one spark-submit sets")
     options = parser.parse_args(arguments)
 
@@ -29,7 +32,8 @@ def main(arguments: list[str] | None = None) -> None:
     if options.layer in ("bronze", "all"):
         if not folders:
             parser.error("landing needs --raw EDITION=DIR")
-        run_bronze(spark, folders, warehouse, options.clean_names, options.gate).show(truncate=False)
+        record_end = RECORD_ENDS.get(options.record_end)
+        run_bronze(spark, folders, warehouse, options.clean_names, options.gate, record_end).show(truncate=False)
     if options.layer in ("silver", "all"):
         run_silver(spark, warehouse)
     if options.layer in ("gold", "all"):

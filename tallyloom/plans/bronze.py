@@ -26,7 +26,7 @@ def land_edition(
     clean_names: bool = False,
     rules: Rules = default_rules,
     gate: bool = False,
-    multiline: bool = True,
+    record_end: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Land one edition and report on it: (table, quality report).
 
@@ -34,7 +34,7 @@ def land_edition(
     unless ``clean_names``; the report informs only, unless ``gate``. Rules look at the landed
     Parquet rather than parsing the CSV a second time.
     """
-    raw = read_survey_csv(spark, folder, multiline)
+    raw = read_survey_csv(spark, folder, record_end)
     landed = save_table(sanitize_columns(raw) if clean_names else raw, table, location)
     report = quality_report(landed, table, rules(landed))
     if gate:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +25,14 @@ def bronze_table(edition: str) -> str:
 
 
 def run_bronze(
-    spark: SparkSession, folders: Mapping[str, str], warehouse: str, clean_names: bool = False, gate: bool = False
+    spark: SparkSession,
+    folders: Mapping[str, str],
+    warehouse: str,
+    clean_names: bool = False,
+    gate: bool = False,
+    record_end: str | None = None,
 ) -> DataFrame:
-    """Land every edition; returns the quality report of all of them."""
+    """Land every edition and publish the quality report of all of them, which is returned."""
     reports = []
     for edition, folder in folders.items():
 
@@ -34,11 +40,9 @@ def run_bronze(
             return edition_rules(landed, resolve_columns(landed.columns, RAW_COLUMNS[edition]))
 
         table, location = bronze_table(edition), f"{warehouse}/bronze/{edition}"
-        reports.append(land_edition(spark, folder, table, location, clean_names, rules, gate)[1])
-    whole = reports[0]
-    for report in reports[1:]:
-        whole = whole.unionByName(report)
-    return whole
+        reports.append(land_edition(spark, folder, table, location, clean_names, rules, gate, record_end)[1])
+    write_result(reduce(DataFrame.unionByName, reports), f"{warehouse}/quality")
+    return read_result(spark, f"{warehouse}/quality", reports[0].schema)
 
 
 def run_silver(spark: SparkSession, warehouse: str) -> DataFrame:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyloom.functions import quoted
 
 # One dialect for reading and writing: a quote inside a field is doubled, blanks around answers are kept.
 DIALECT = {
@@ -15,15 +18,37 @@ DIALECT = {
 }
 
 
-def read_survey_csv(spark: SparkSession, folder: str, multiline: bool = True) -> DataFrame:
+def read_survey_csv(spark: SparkSession, folder: str, record_end: str | None = None) -> DataFrame:
     """Every file below ``folder``, all columns as strings.
 
-    A file with answers that span lines cannot be split, so it is one task that streams its
-    rows; parallelism is the number of files. Land it once as Parquet and read that from then
-    on, or pass ``multiline=False`` for exports known to keep every record on one line.
+    By default a quoted answer may hold any line break. Such a file cannot be split, so it is
+    one task that streams its rows; parallelism is the number of files.
+
+    ``record_end`` names the line break that ends a record and occurs in no answer: often
+    ``\\r\\n``, with bare ``\\n`` inside answers. Files are then split and read by many tasks
+    each. An export that breaks the promise fails, since a cut record lacks columns.
     """
-    reader = spark.read.options(**DIALECT)
-    return reader.option("multiLine", multiline).option("recursiveFileLookup", True).csv(folder)
+    reader = spark.read.options(**DIALECT).option("recursiveFileLookup", True)
+    if record_end is None:
+        # Left to itself the parser takes the first line break it meets, quoted or not, for the record end.
+        return _without_carriage_return(reader.options(multiLine=True, lineSep="\n").csv(folder))
+    # Without column pruning every column of every record is looked at, whatever is selected.
+    read = reader.options(lineSep=record_end, mode="FAILFAST", columnPruning=False).csv(folder)
+    return read if record_end == "\r\n" else _without_carriage_return(read)
+
+
+def _without_carriage_return(df: DataFrame) -> DataFrame:
+    """Drop what a ``\\r\\n`` record end leaves on the last column when records are read up to ``\\n``."""
+    last = df.columns[-1]
+    answer = quoted(last)
+    kept = f"if(endswith({answer}, '\r'), left({answer}, length({answer}) - 1), {answer})"
+    stripped = df.withColumn(last, F.expr(f"nullif({kept}, '')"))
+    name = last.removesuffix("\r")
+    return stripped if name == last else stripped.withColumnRenamed(last, _unused(name, df.columns))
+
+
+def _unused(name: str, columns: list[str]) -> str:
+    return f"{name}{len(columns) - 1}" if name.lower() in map(str.lower, columns) else name
 
 
 def write_survey_csv(df: DataFrame, folder: str, rows_per_file: int = 1_000_000) -> None:

@@ -268,5 +268,27 @@ PLAIN_SQL: dict[str, str] = {
 }
 
 
+QUESTION_NAMES = {
+    "gold_role_share": "role_share",
+    "gold_level_by_edition": "seniority_by_edition",
+    "gold_sector_share": "sector_share",
+    "gold_status_by_edition": "work_model_by_edition",
+    "gold_role_level_pay": "role_seniority_pay",
+    "gold_level_edition_pay": "seniority_edition_pay",
+    "gold_size_pay": "company_size_pay",
+    "gold_flagcount_pay": "language_count_pay",
+    "gold_group_by_edition": "gender_by_edition",
+    "gold_group2_by_edition": "ethnicity_by_edition",
+    "gold_gap_two_groups": "gender_seniority_pay",
+    "gold_gap_many_groups": "ethnicity_seniority_pay",
+    "gold_flag_adoption": "technology_adoption",
+    "gold_share_and_pay": "ai_priority",
+    "gold_region_pay": "region_pay",
+}
+_BATCH = " union all ".join(
+    f"select '{QUESTION_NAMES[key]}' as question, cast(count(*) as bigint) as rows from ({query})" for key, query in GOLD_SQL.items()
+)
+
+
 def all_oracles() -> dict[str, str]:
-    return PLAIN_SQL | {key: _silver(query) for key, query in GOLD_SQL.items()} | MART_SQL
+    return PLAIN_SQL | {"gold_batch": _silver(_BATCH)} | {key: _silver(query) for key, query in GOLD_SQL.items()} | MART_SQL

@@ -21,6 +21,7 @@ from tallyloom.sources.survey_csv import read_survey_csv
 from tallyloom.sources.tables import save_table
 from tallyloom.standin import landing
 from tallyloom.standin.answers import raw_edition, raw_editions, table
+from tallyloom.standin.oracles import QUESTION_NAMES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,9 +96,9 @@ def edition_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality rules over every edition, and over one loaded twice."""
-    frames = [(edition, raw_edition(spark, sf_dir, edition), edition) for edition in EDITIONS]
-    drifted = raw_edition(spark, sf_dir, DRIFTED)
-    frames.append((f"{DRIFTED}_twice", drifted.unionByName(drifted), DRIFTED))
+    editions = raw_editions(spark, sf_dir)
+    frames = [(edition, raw, edition) for edition, raw in editions.items()]
+    frames.append((f"{DRIFTED}_twice", editions[DRIFTED].unionByName(editions[DRIFTED]), DRIFTED))
     reports = (quality_report(df, name, edition_rules(df, RAW_COLUMNS[edition])) for name, df, edition in frames)
     return reduce(DataFrame.unionByName, reports)
 
@@ -184,24 +185,6 @@ def flag_adoption_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Gold and chart marts over the unified table
 
-GOLD_QUERIES = {
-    "gold_role_share": "role_share",
-    "gold_level_by_edition": "seniority_by_edition",
-    "gold_sector_share": "sector_share",
-    "gold_status_by_edition": "work_model_by_edition",
-    "gold_role_level_pay": "role_seniority_pay",
-    "gold_level_edition_pay": "seniority_edition_pay",
-    "gold_size_pay": "company_size_pay",
-    "gold_flagcount_pay": "language_count_pay",
-    "gold_group_by_edition": "gender_by_edition",
-    "gold_group2_by_edition": "ethnicity_by_edition",
-    "gold_gap_two_groups": "gender_seniority_pay",
-    "gold_gap_many_groups": "ethnicity_seniority_pay",
-    "gold_flag_adoption": "technology_adoption",
-    "gold_share_and_pay": "ai_priority",
-    "gold_region_pay": "region_pay",
-}
-
 MART_QUERIES = {
     "mart_top_roles": "top_roles",
     "mart_seniority_pivot": "seniority_matrix",
@@ -232,6 +215,16 @@ def _result(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.answer(name, landing.silver(spark, sf_dir), in_order=False)
 
 
+def gold_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All questions answered and exported as one batch; the rows each result came back with."""
+    folders = gold.export_gold(landing.silver(spark, sf_dir), landing.fresh_folder(spark, "gold"))
+    counts = (
+        read_result(spark, folder, gold.QUESTIONS[name].schema).agg(F.lit(name).alias("question"), F.count("*").alias("rows"))
+        for name, folder in folders.items()
+    )
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _mart(name: str) -> Query:
     source, build = charts.CHARTS[name]
     return lambda spark, sf_dir: build(_result(source, spark, sf_dir))
@@ -277,9 +270,10 @@ def all_queries() -> dict[str, Query]:
         "share_and_avg": share_and_avg,
         "flag_count_profile": flag_count_profile,
         "flag_adoption": flag_adoption_query,
+        "gold_batch": gold_batch,
         "mart_work_model": mart_work_model,
         "mart_display_labels": mart_display_labels,
     }
-    composites = {key: _gold(name) for key, name in GOLD_QUERIES.items()}
+    composites = {key: _gold(name) for key, name in QUESTION_NAMES.items()}
     marts = {key: _mart(name) for key, name in MART_QUERIES.items()}
     return plain | composites | marts

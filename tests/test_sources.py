@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import csv
+
 import pytest
 
 from tallyloom.session import shared_dir
@@ -31,14 +33,49 @@ def test_duplicate_headers_stay_apart(spark, tmp_path):
     assert len(set(read.columns)) == 3 and tuple(read.first()) == ("1", "2", "3")
 
 
-def test_single_line_exports_are_splittable(spark, tmp_path):
-    (tmp_path / "d.csv").write_text("a,b\n" + "".join(f"{i},x\n" for i in range(20_000)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+def _export(path, rows, record_end):
+    with open(path, "w", newline="", encoding="utf-8") as file:
+        csv.writer(file, lineterminator=record_end).writerows(rows)
+
+
+def test_exports_with_their_own_record_end_are_split(spark, tmp_path):
+    rows = [(str(i), f'answer "{i}",\nsecond line é\n' * (i % 4)) for i in range(5_000)]
+    _export(tmp_path / "d.csv", [("id", "te\nxt"), *rows], "\r\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
     try:
-        read = read_survey_csv(spark, str(tmp_path), multiline=False)
-        assert read.rdd.getNumPartitions() > 1 and read.count() == 20_000
+        read = read_survey_csv(spark, str(tmp_path), record_end="\r\n")
+        assert read.columns == ["id", "te\nxt"] and read.rdd.getNumPartitions() > 2
+        got = sorted(map(tuple, read.collect()))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted((i, text or None) for i, text in rows)
+    assert got == sorted(map(tuple, read_survey_csv(spark, str(tmp_path)).collect()))
+
+
+@pytest.mark.parametrize("quoting", [csv.QUOTE_MINIMAL, csv.QUOTE_ALL])
+@pytest.mark.parametrize("record_ends", [["\n"], ["\r\n"], ["\n", "\r\n"]])
+def test_any_record_end_reads_the_same(spark, tmp_path, record_ends, quoting):
+    rows = [("1", "a"), ("2", ""), ("3", 'b\n"c"'), ("4", "d\r\ne"), ("5", " f "), ("6", "g\n")]
+    for number, record_end in enumerate(record_ends):
+        with open(tmp_path / f"{number}.csv", "w", newline="", encoding="utf-8") as file:
+            csv.writer(file, lineterminator=record_end, quoting=quoting).writerows([("id", "te\nxt"), *rows])
+    read = read_survey_csv(spark, str(tmp_path))
+    assert read.columns == ["id", "te\nxt"]
+    assert sorted(map(tuple, read.collect()), key=str) == sorted([(i, t or None) for i, t in rows] * len(record_ends), key=str)
+
+
+def test_the_last_header_keeps_no_carriage_return(spark, tmp_path):
+    (tmp_path / "d.csv").write_bytes(b"a,b,a\r\n1,2,3\r\n4,5,\r\n")
+    read = read_survey_csv(spark, str(tmp_path))
+    assert len(set(read.columns)) == 3 and not any("\r" in name for name in read.columns)
+    assert list(map(tuple, read.collect())) == [("1", "2", "3"), ("4", "5", None)]
+
+
+@pytest.mark.parametrize("rows", [[("1", "a\nb", "c")], [("1", "a", "b\nc")], [("1\n2", "a", "b")]])
+def test_a_record_that_spans_lines_is_never_cut_silently(spark, tmp_path, rows):
+    _export(tmp_path / "d.csv", [("x", "y", "z"), *rows], "\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_survey_csv(spark, str(tmp_path), record_end="\n").select("x").collect()
 
 
 def test_result_round_trip_keeps_order_and_missing_values(spark, tmp_path):
