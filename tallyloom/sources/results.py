@@ -19,4 +19,4 @@ def write_result(df: DataFrame, folder: str) -> None:
 
 def read_result(spark: SparkSession, folder: str, schema: T.StructType | str) -> DataFrame:
     """Read an export back with its known schema; empty fields are NULL."""
-    return spark.read.schema(schema).options(**DIALECT).option("multiLine", True).csv(folder)
+    return spark.read.schema(schema).options(**DIALECT).options(multiLine=True, lineSep="\n").csv(folder)
