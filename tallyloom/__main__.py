@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from tallyloom.catalog.editions import EDITIONS
-from tallyloom.plans.run import run_bronze, run_charts, run_gold, run_silver
+from tallyloom.plans.run import SILVER_TABLE, run_bronze, run_charts, run_gold, run_silver
 from tallyloom.session import build_session
 
 RECORD_ENDS = {"crlf": "\r\n", "lf": "\n"}
@@ -19,6 +19,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--clean-names", action="store_true", help="land cleaned column names instead of raw ones")
     parser.add_argument("--gate", action="store_true", help="stop when a quality rule fails")
     parser.add_argument("--record-end", choices=RECORD_ENDS, help="line break found at record ends only: files are split")
+    parser.add_argument("--silver-table", default=SILVER_TABLE, help="catalog name of the unified table")
     parser.add_argument("--master", help="Spark master; by default the one spark-submit sets")
     options = parser.parse_args(arguments)
 
@@ -35,7 +36,7 @@ def main(arguments: list[str] | None = None) -> None:
         record_end = RECORD_ENDS.get(options.record_end)
         run_bronze(spark, folders, warehouse, options.clean_names, options.gate, record_end).show(truncate=False)
     if options.layer in ("silver", "all"):
-        run_silver(spark, warehouse)
+        run_silver(spark, warehouse, options.silver_table)
     if options.layer in ("gold", "all"):
         run_gold(spark, warehouse)
     if options.layer in ("charts", "all"):

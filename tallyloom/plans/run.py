@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,7 @@ from tallyloom.plans.bronze import land_edition
 from tallyloom.plans.charts import build_charts
 from tallyloom.plans.gold import QUESTIONS, export_gold
 from tallyloom.plans.silver import create_silver, read_silver
+from tallyloom.session import run_together
 from tallyloom.sources.results import read_result, write_result
 
 SILVER_TABLE = "silver_survey"
@@ -45,10 +46,10 @@ def run_bronze(
     return read_result(spark, f"{warehouse}/quality", reports[0].schema)
 
 
-def run_silver(spark: SparkSession, warehouse: str) -> DataFrame:
+def run_silver(spark: SparkSession, warehouse: str, table: str = SILVER_TABLE) -> DataFrame:
     """Build the unified table from the landed editions."""
     raw = {edition: spark.read.parquet(f"{warehouse}/bronze/{edition}") for edition in EDITIONS}
-    return create_silver(raw, SILVER_TABLE, f"{warehouse}/silver")
+    return create_silver(raw, table, f"{warehouse}/silver")
 
 
 def run_gold(spark: SparkSession, warehouse: str) -> dict[str, str]:
@@ -71,6 +72,6 @@ def read_gold(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
 def run_charts(spark: SparkSession, warehouse: str) -> list[str]:
     """Shape and export every chart mart whose result exists."""
     marts = build_charts(read_gold(spark, warehouse))
-    for name, mart in marts.items():
-        write_result(mart, f"{warehouse}/charts/{name}")
+    exports = (partial(write_result, mart, f"{warehouse}/charts/{name}") for name, mart in marts.items())
+    run_together(spark, exports, concurrency=4)
     return list(marts)

@@ -10,6 +10,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tallyloom.plans import gold
+from tallyloom.standin import landing
+from tallyloom.standin.oracles import GOLD_SQL, QUESTION_NAMES
 
 QUERIES = entry_points.queries()
 SQL = entry_points.oracle_sql()
@@ -46,5 +49,15 @@ def test_query_equals_sql(spark, tables, sf_dir, name):
     assert got
 
 
+@pytest.mark.parametrize("name", list(GOLD_SQL))
+def test_questions_can_be_asked_in_sql(spark, sf_dir, name):
+    """The unified table answers plain SQL the way the measures do."""
+    silver = landing.silver(spark, sf_dir)
+    silver.createOrReplaceTempView("silver")
+    answered = gold.answer(QUESTION_NAMES[name], silver)
+    asked = spark.sql(GOLD_SQL[name]).select(*answered.columns)
+    assert sorted(map(str, answered.collect())) == sorted(map(str, asked.collect()))
+
+
 def test_entry(spark, sf_dir):
     assert entry_points.entry(spark).count() == 15
