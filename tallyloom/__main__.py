@@ -19,6 +19,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--clean-names", action="store_true", help="land cleaned column names instead of raw ones")
     parser.add_argument("--gate", action="store_true", help="stop when a quality rule fails")
     parser.add_argument("--record-end", choices=RECORD_ENDS, help="line break found at record ends only: files are split")
+    parser.add_argument("--fold-labels", action="store_true", help="fold drifted wording before the questions, not after")
     parser.add_argument("--silver-table", default=SILVER_TABLE, help="catalog name of the unified table")
     parser.add_argument("--master", help="Spark master; by default the one spark-submit sets")
     options = parser.parse_args(arguments)
@@ -38,7 +39,7 @@ def main(arguments: list[str] | None = None) -> None:
     if options.layer in ("silver", "all"):
         run_silver(spark, warehouse, options.silver_table)
     if options.layer in ("gold", "all"):
-        run_gold(spark, warehouse)
+        run_gold(spark, warehouse, options.fold_labels)
     if options.layer in ("charts", "all"):
         run_charts(spark, warehouse)
 

@@ -8,8 +8,17 @@ from functools import partial
 
 from pyspark.sql import DataFrame
 
-from tallyloom.catalog.answers import GAP_BASE, GAP_OTHER, LANGUAGE_FLAGS, TECHNOLOGY_FLAGS
+from tallyloom.catalog.answers import (
+    AI_PRIORITY_FOLD,
+    GAP_BASE,
+    GAP_OTHER,
+    LANGUAGE_FLAGS,
+    ROLE_FOLD,
+    TECHNOLOGY_FLAGS,
+    WORK_MODEL_FOLD,
+)
 from tallyloom.catalog.editions import EDITION_COLUMN as EDITION
+from tallyloom.functions import fold_label
 from tallyloom.operators.measures import (
     COUNT,
     MEAN,
@@ -143,6 +152,15 @@ QUESTIONS: dict[str, Question] = {
 }
 
 
+def fold_answers(silver: DataFrame) -> DataFrame:
+    """Drifted wording folded before any question is asked, rather than in the charts after it.
+
+    A cut to the most common answers then counts all wordings of one answer together.
+    """
+    folds = {"cargo_atual": ROLE_FOLD, "modelo_trabalho_atual": WORK_MODEL_FOLD, "ia_prioridade_empresa": AI_PRIORITY_FOLD}
+    return silver.withColumns({column: fold_label(column, labels) for column, labels in folds.items()})
+
+
 def answer(name: str, silver: DataFrame, in_order: bool = True) -> DataFrame:
     """The result of one question.
 

@@ -13,7 +13,7 @@ from tallyloom.operators.conform import resolve_columns
 from tallyloom.operators.quality import Rule, edition_rules
 from tallyloom.plans.bronze import land_edition
 from tallyloom.plans.charts import build_charts
-from tallyloom.plans.gold import QUESTIONS, export_gold
+from tallyloom.plans.gold import QUESTIONS, export_gold, fold_answers
 from tallyloom.plans.silver import create_silver, read_silver
 from tallyloom.session import run_together
 from tallyloom.sources.results import read_result, write_result
@@ -52,9 +52,10 @@ def run_silver(spark: SparkSession, warehouse: str, table: str = SILVER_TABLE) -
     return create_silver(raw, table, f"{warehouse}/silver")
 
 
-def run_gold(spark: SparkSession, warehouse: str) -> dict[str, str]:
-    """Answer and export every question."""
-    return export_gold(read_silver(spark, f"{warehouse}/silver"), f"{warehouse}/gold")
+def run_gold(spark: SparkSession, warehouse: str, fold_labels: bool = False) -> dict[str, str]:
+    """Answer and export every question, drifted wording folded beforehand if asked for."""
+    silver = read_silver(spark, f"{warehouse}/silver")
+    return export_gold(fold_answers(silver) if fold_labels else silver, f"{warehouse}/gold")
 
 
 def read_gold(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:

@@ -75,6 +75,7 @@ _ROLES = {
     "NATION_21": "Analista de Dados/Data Analyst",
 }
 
+
 def _answers(choose: Callable[..., str], bands: Callable[..., str]) -> dict[str, str]:
     return {
         "id_respondente": "cast(o_orderkey as string)",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import expected
 from tallyloom.operators.conform import SILVER_SCHEMA
-from tallyloom.plans.gold import QUESTIONS, answer
+from tallyloom.plans.gold import QUESTIONS, answer, fold_answers
 
 
 def respondents(spark, columns, counted):
@@ -35,6 +35,13 @@ def test_role_share_is_of_everyone_not_of_the_top(spark):
     assert result("role_share", respondents(spark, ["cargo_atual"], counted)) == expected.ROLE_SHARE
 
 
+def test_wording_can_be_folded_before_the_cut(spark):
+    counted = [(role, total) for role, total, _ in expected.ROLE_SHARE] + [("cargo raro", 70)]
+    rows = result("role_share", fold_answers(respondents(spark, ["cargo_atual"], counted)))
+    assert rows[2][:2] == ("Engenheiro de Dados/Data Engineer/Data Architect", 1368 + 1015)
+    assert rows[-1][:2] == ("cargo raro", 70) and len(rows) == 15
+
+
 @pytest.mark.parametrize(
     ("name", "columns"),
     [

@@ -4,7 +4,7 @@ import csv
 
 import pytest
 
-from tallyloom.session import shared_dir
+from tallyloom.session import run_together, shared_dir
 from tallyloom.sources.results import read_result, write_result
 from tallyloom.sources.survey_csv import read_survey_csv, write_survey_csv
 from tallyloom.sources.tables import if_present, save_table
@@ -119,3 +119,15 @@ def test_no_machine_local_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Cluster)
+
+
+def test_jobs_run_together_and_a_failure_is_raised(spark):
+    counted = []
+    run_together(spark, [lambda n=n: counted.append(spark.range(n).count()) for n in range(5)], concurrency=3)
+    assert sorted(counted) == [0, 1, 2, 3, 4]
+
+    def fail():
+        raise ValueError("job failed")
+
+    with pytest.raises(ValueError, match="job failed"):
+        run_together(spark, [lambda: spark.range(1).count(), fail], concurrency=2)
