@@ -12,10 +12,11 @@ import pytest
 import __spark_entry__ as entry_points
 from tallyloom.plans import gold
 from tallyloom.standin import landing
-from tallyloom.standin.oracles import GOLD_SQL, QUESTION_NAMES
+from tallyloom.standin.oracles import GOLD_SQL, QUESTION_NAMES, all_oracles
+from tallyloom.standin.queries import all_queries
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = all_queries()
+SQL = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -59,5 +60,9 @@ def test_questions_can_be_asked_in_sql(spark, sf_dir, name):
     assert sorted(map(str, answered.collect())) == sorted(map(str, asked.collect()))
 
 
+def test_entry_points_hold_every_query():
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
+
+
 def test_entry(spark, sf_dir):
     assert entry_points.entry(spark).count() == 15
