@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from tallyloom.llm import chat, exact_dedup, licenses, simhash, warc
+from tallyloom.llm import chat, decontaminate, exact_dedup, language, licenses, packing, quality, simhash, substrings, warc
 
 
 def llm_queries() -> dict:
     return {
+        "op1_packing": packing.op1_packing,
+        "op2_quality": quality.op2_quality,
+        "op3_language": language.op3_language,
         "op4_license_scan": licenses.op4_license_scan,
+        "op5_suffix_dedup": substrings.op5_suffix_dedup,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+        "op7_decontamination": decontaminate.op7_decontamination,
         "op8_simhash": simhash.op8_simhash,
         "op9_chat_formatting": chat.op9_chat_formatting,
         "op10_warc": warc.op10_warc,

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,13 +53,13 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 def with_fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id`` and ``fp``, the fingerprint as a signed long."""
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            fps = np.array([fingerprint(text, words) for text in frame["text"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "fp": fps})
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(text.as_py(), words) for text in batch.column(1)], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(batches, "doc_id bigint, fp bigint")
+    return rows.mapInArrow(marked, "doc_id bigint, fp bigint")
 
 
 def covering_masks(radius: int, bits: int = BITS, seed: int = 7) -> list[int]:
