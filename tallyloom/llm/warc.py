@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import read, scratch
+from tallyloom.llm.common import read, scratch, stored
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -48,16 +48,16 @@ def captures(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumn("sha", F.sha2("payload", 256)).withColumn("bytes", F.octet_length("payload").cast("bigint"))
-    ids = rows.select("page_id", "sha", "bytes").distinct()
+    # One column names a capture, so that the payloads are dealt once, for their repeats and for the join.
+    rows = rows.withColumn("capture", F.concat_ws(" ", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), "sha"))
+    ids = rows.select("capture", "page_id", "sha", "bytes").groupBy("capture").agg(F.max("page_id").alias("page_id"), F.max("sha").alias("sha"), F.max("bytes").alias("bytes"))
     first = ids.groupBy("sha").agg(F.max("page_id").alias("keep"))
     told = ids.join(first, "sha").select(
-        F.col("page_id").alias("__page"),
-        F.col("sha").alias("__sha"),
+        "capture",
         F.when((F.col("bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("keep")), F.struct(F.col("keep").alias("page"))).alias("repeats"),
     )
-    unique = rows.groupBy("page_id", "sha").agg(F.max(F.struct("url", "payload", "bytes")).alias("row"))
-    joined = unique.join(told, F.col("page_id").eqNullSafe(F.col("__page")) & (F.col("sha") == F.col("__sha")))
-    return joined.select("page_id", "row.url", "row.payload", "row.bytes", "sha", "repeats")
+    unique = rows.groupBy("capture").agg(F.max(F.struct("page_id", "url", "payload", "bytes", "sha")).alias("row"))
+    return unique.join(told, "capture").select("row.*", "repeats")
 
 
 def _record_id(kind: str, page: Column, sha: Column) -> Column:
@@ -76,7 +76,7 @@ def write_archives(found: DataFrame, folder: str, records_per_file: int = 30_000
     response = _record_id("response", F.col("page_id"), F.col("sha"))
     digest = F.concat(F.lit("sha1:"), base32_sha1(F.col("payload")))
 
-    def record(kind: Column, record_id: Column, headers: list[Column], media: str, block: Column) -> Column:
+    def record(kind: Column, record_id: Column, headers: list[Column], media: str, block: Column, length: Column | None = None) -> Column:
         head = [
             F.lit("WARC/1.1"),
             F.concat(F.lit("WARC-Type: "), kind),
@@ -85,7 +85,7 @@ def write_archives(found: DataFrame, folder: str, records_per_file: int = 30_000
             F.concat(F.lit("WARC-Target-URI: "), uri),
             *headers,
             F.lit(f"Content-Type: {media}"),
-            F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
+            F.concat(F.lit("Content-Length: "), (F.octet_length(block) if length is None else length).cast("string")),
         ]
         return F.concat(F.concat_ws("\r\n", *head), F.lit(END), block)
 
@@ -110,10 +110,12 @@ def write_archives(found: DataFrame, folder: str, records_per_file: int = 30_000
             ],
             "application/http;msgtype=response",
             F.when(repeats, http).otherwise(F.concat(http, F.col("payload"))),
+            F.octet_length(http) + F.when(repeats, 0).otherwise(F.col("bytes")),
         ),
     )
     lines = found.select(F.explode(records).alias("value"))
-    lines.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(folder)
+    written = lines.write.option("lineSep", END).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    written.option("maxRecordsPerFile", records_per_file).text(folder)
 
 
 def _headers(block: bytes) -> dict[str, str]:
@@ -202,11 +204,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages archived and read back, one row per capture."""
     folder = scratch(spark, "warc")
     write_archives(captures(read(spark, sf_dir, "pages")), folder)
+    records = stored(read_records(spark, folder, with_payload=False), "records")
     page = F.nullif(F.col("metadata.fields")["page-id"], F.lit("none")).cast("bigint")
-    rows = assemble(read_records(spark, folder, with_payload=False)).select(
-        page.alias("page_id"), F.col("record_id").alias("__record"), *(f"response.{c}" for c in ("type", "digest", "payload_bytes", "refers_to"))
-    )
+    rows = assemble(records).select(page.alias("page_id"), F.col("record_id").alias("__record"), *(f"response.{c}" for c in ("type", "digest", "payload_bytes", "refers_to")))
     rows = rows.withColumnsRenamed({"refers_to": "__refers", "digest": "payload_digest", "type": "record_type"})
-    originals = rows.filter("record_type = 'response'").select(F.col("__record").alias("__original"), F.col("page_id").alias("refers_to"))
-    joined = rows.join(originals, F.col("__refers") == F.col("__original"), "left")
-    return joined.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    originals = rows.filter("record_type = 'response'")
+    named = originals.select(F.col("__record").alias("__original"), F.col("page_id").alias("refers_to"))
+    repeats = rows.filter("record_type = 'revisit'").join(named, F.col("__refers") == F.col("__original"), "left")
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return originals.withColumn("refers_to", F.lit(None).cast("bigint")).select(names).unionByName(repeats.select(names))
