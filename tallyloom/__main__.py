@@ -18,6 +18,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--raw", action="append", default=[], metavar="EDITION=DIR", help="CSV folder of an edition")
     parser.add_argument("--clean-names", action="store_true", help="land cleaned column names instead of raw ones")
     parser.add_argument("--gate", action="store_true", help="stop when a quality rule fails")
+    parser.add_argument("--dedupe", action="store_true", help="drop rows that repeat another in every column")
     parser.add_argument("--record-end", choices=RECORD_ENDS, help="line break found at record ends only: files are split")
     parser.add_argument("--fold-labels", action="store_true", help="fold drifted wording before the questions, not after")
     parser.add_argument("--silver-table", default=SILVER_TABLE, help="catalog name of the unified table")
@@ -35,11 +36,11 @@ def main(arguments: list[str] | None = None) -> None:
         if not folders:
             parser.error("landing needs --raw EDITION=DIR")
         record_end = RECORD_ENDS.get(options.record_end)
-        run_bronze(spark, folders, warehouse, options.clean_names, options.gate, record_end).show(truncate=False)
+        run_bronze(spark, folders, warehouse, options.clean_names, options.gate, record_end, options.dedupe).show(truncate=False)
     if options.layer in ("silver", "all"):
         run_silver(spark, warehouse, options.silver_table)
     if options.layer in ("gold", "all"):
-        run_gold(spark, warehouse, options.fold_labels)
+        run_gold(spark, warehouse, options.fold_labels, options.silver_table)
     if options.layer in ("charts", "all"):
         run_charts(spark, warehouse)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallyloom.catalog.editions import EDITION_COLUMN, RAW_COLUMNS, SILVER_COLUMNS
 from tallyloom.functions import blank_to_null, midpoint, quoted, truth_label
-from tallyloom.operators.headers import clean_name
+from tallyloom.operators.headers import clean_name, column_lineage
 
 MIDPOINT_COLUMN = "faixa_salarial_media"
 MIDPOINT_SOURCE = "faixa_salarial"
@@ -22,16 +22,27 @@ SILVER_SCHEMA = T.StructType(
 )
 
 
-def resolve_columns(present: list[str], wanted: Mapping[str, str]) -> dict[str, str]:
+def resolve_columns(present: T.StructType | Iterable[str], wanted: Mapping[str, str]) -> dict[str, str]:
     """Which present column feeds each unified one.
 
-    A raw column may be present under its raw or its cleaned name, but under exactly one
-    of them: anything else means the edition drifted and its mapping must be extended.
+    A column that was cleaned says in its metadata which raw name it had. Without that, a raw
+    column may be present under its raw or its cleaned name, but under exactly one of them, and the
+    cleaned name must not be numbered, since then several raw names share it: anything else means the
+    edition drifted and its mapping must be extended.
     """
-    columns = set(present)
+    schema = present if isinstance(present, T.StructType) else T.StructType([T.StructField(c, T.StringType()) for c in present])
+    columns = set(schema.names)
+    lineage: dict[str, list[str]] = {}
+    for _, raw, name in column_lineage(schema):
+        lineage.setdefault(raw, []).append(name)
+    traced = {name for names in lineage.values() for name in names}
     found, problems = {}, []
     for unified, raw in wanted.items():
-        hits = [alias for alias in dict.fromkeys((raw, clean_name(raw))) if alias in columns]
+        aliases = dict.fromkeys((raw, clean_name(raw)))
+        hits = lineage.get(raw) or [alias for alias in aliases if alias in columns - traced]
+        numbered = f"{clean_name(raw)}_1"
+        if raw not in lineage and hits == [clean_name(raw)] != [raw] and numbered in columns:
+            hits.append(numbered)
         if len(hits) == 1:
             found[unified] = hits[0]
         else:
@@ -43,7 +54,7 @@ def resolve_columns(present: list[str], wanted: Mapping[str, str]) -> dict[str,
 
 def map_edition(raw: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """The raw columns of one edition under their unified names, otherwise untouched."""
-    sources = resolve_columns(raw.columns, columns)
+    sources = resolve_columns(raw.schema, columns)
     return raw.selectExpr(*(f"{quoted(source)} as {unified}" for unified, source in sources.items()))
 
 

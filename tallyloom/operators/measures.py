@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import flag_sum, mean_of, percent, quoted
@@ -28,11 +28,29 @@ def ordered(df: DataFrame, *order: str, top: int | None = None) -> DataFrame:
     return result if top is None else result.limit(top)
 
 
-def with_share(counts: DataFrame, within: str | None = None, half_even: bool = False) -> DataFrame:
+RANK = "posicao"
+
+
+def numbered(result: DataFrame, *order: str) -> DataFrame:
+    """A finished result with each row's position in its order, as a column and as the order of the rows.
+
+    For results, whose rows are as many as their categories: one task numbers them.
+    """
+    keys = [F.desc_nulls_last(c[1:]) if c.startswith("-") else F.asc_nulls_last(c) for c in order]
+    return result.withColumn(RANK, F.row_number().over(Window.orderBy(*keys))).orderBy(RANK)
+
+
+def with_share(
+    counts: DataFrame, within: str | None = None, half_even: bool = False, groups: Sequence[str] | None = None
+) -> DataFrame:
     """Share of each counted row in the whole, or in its ``within`` group.
 
     The whole is a second, tiny aggregation over the counts: Spark reuses their shuffle for
     it, and no window has to gather all counted rows, or all rows of one group, in one task.
+
+    ``groups`` lists all values that ``within`` may have, for groups that are few and known, such as
+    editions. Their wholes, as many rows as the list has, are broadcast, so the counts of a group need
+    not meet in one task. A group that is not listed is an error. Without a list Spark picks the join.
     """
     if within is None:
         # Naming every column keeps the subquery's aggregation identical to the counts', so that
@@ -41,18 +59,20 @@ def with_share(counts: DataFrame, within: str | None = None, half_even: bool = F
         whole = counts.agg(F.struct(F.sum(COUNT).alias("respondents"), *named)).scalar()["respondents"]
         return counts.withColumn(SHARE, percent(F.col(COUNT), whole, half_even=half_even))
     wholes = counts.groupBy(F.col(within).alias("_within")).agg(F.sum(COUNT).alias("_whole"))
-    return (
-        counts.join(wholes, F.col(within).eqNullSafe(F.col("_within")))
-        .withColumn(SHARE, percent(F.col(COUNT), F.col("_whole"), half_even=half_even))
-        .drop("_within", "_whole")
-    )
+    if groups is not None:
+        # Checked on the wholes as they are: a filter would reach the scan and make it another one.
+        unlisted = F.raise_error(F.concat(F.lit(f"{within} is not listed: "), F.coalesce(F.col("_within").cast("string"), F.lit("NULL"))))
+        checked = F.when(F.col("_within").isin(*groups), F.col("_whole")).otherwise(unlisted.cast("bigint"))
+        wholes = F.broadcast(wholes.withColumn("_whole", checked))
+    joined = counts.join(wholes, F.col(within).eqNullSafe(F.col("_within")))
+    return joined.withColumn(SHARE, percent(F.col(COUNT), F.col("_whole"), half_even=half_even)).drop("_within", "_whole")
 
 
-def share(df: DataFrame, answer: str, within: str | None = None) -> DataFrame:
+def share(df: DataFrame, answer: str, within: str | None = None, groups: Sequence[str] | None = None) -> DataFrame:
     """Respondents per answer and their share; a missing answer is not counted."""
     keys = [answer] if within is None else [within, answer]
     counts = known(df, [answer]).groupBy(*keys).agg(F.count("*").alias(COUNT))
-    return with_share(counts, within)
+    return with_share(counts, within, groups=groups)
 
 
 def mean_by(

@@ -36,6 +36,11 @@ def has_columns(df: DataFrame) -> Rule:
     return Rule("column_count", F.lit(len(df.columns)), at_least=1)
 
 
+def one_header(variants: int) -> Rule:
+    """All files of an edition have one header. Files that differ are read each under its own."""
+    return Rule("header_variants", F.lit(variants), at_most=1)
+
+
 def ids_unique(id_column: str) -> Rule:
     """No id occurs twice, as it would after loading an edition twice."""
     column = quoted(id_column)
@@ -68,17 +73,28 @@ def quality_report(df: DataFrame, dataset: str, rules: Iterable[Rule]) -> DataFr
     """One row per rule: (dataset, rule, observed, passed). A single aggregation over ``df``."""
     rules = list(rules)
     observed = df.agg(*(rule.observed.cast("bigint").alias(rule.name) for rule in rules))
-    rows = observed.unpivot([], [rule.name for rule in rules], "rule", "observed")
+    return _verdicts(observed.withColumn("dataset", F.lit(dataset)), rules)
+
+
+def quality_by(df: DataFrame, dataset: str, rules: Iterable[Rule]) -> DataFrame:
+    """The same for every dataset that the column ``dataset`` names, in one scan."""
+    rules = list(rules)
+    observed = df.groupBy(F.expr(quoted(dataset)).alias("dataset")).agg(*(rule.observed.cast("bigint").alias(rule.name) for rule in rules))
+    return _verdicts(observed, rules)
+
+
+def _verdicts(observed: DataFrame, rules: list[Rule]) -> DataFrame:
+    rows = observed.unpivot(["dataset"], [rule.name for rule in rules], "rule", "observed")
     passed = reduce(
         lambda verdict, rule: F.when(F.col("rule") == rule.name, rule.passes(F.col("observed"))).otherwise(verdict),
         rules,
         F.lit(None).cast("boolean"),
     )
-    return rows.select(F.lit(dataset).alias("dataset"), "rule", "observed", passed.alias("passed"))
+    return rows.select("dataset", "rule", "observed", passed.alias("passed"))
 
 
 def require_passed(report: DataFrame) -> None:
     """Raise when a rule failed. Optional: by default a report informs and nothing stops."""
-    failed = report.where(~F.col("passed")).collect()
+    failed = report.where(~F.col("passed")).orderBy("dataset", "rule").collect()
     if failed:
         raise ValueError("quality rules failed: " + ", ".join(f"{r.dataset}/{r.rule}={r.observed}" for r in failed))

@@ -49,8 +49,12 @@ def pivot_sum(df: DataFrame, index: str, column: str, value: str, order: Sequenc
     """One row per ``index``, one column per category, cells summed and empty ones 0.
 
     Without ``order`` the categories come from the data, sorted; Spark refuses more of them
-    than ``spark.sql.pivotMaxValues`` rather than dropping any.
+    than ``spark.sql.pivotMaxValues`` rather than dropping any. With it, a category that is not
+    listed is an error.
     """
+    if order is not None:
+        unlisted = F.raise_error(F.concat(F.lit(f"{column} is not listed: "), F.coalesce(F.col(column), F.lit("NULL"))))
+        df = df.withColumn(column, F.when(F.col(column).isin(*order), F.col(column)).otherwise(unlisted.cast("string")))
     pivoted = df.groupBy(index).pivot(column, None if order is None else list(order)).agg(F.sum(value))
     return pivoted.na.fill(0)
 
@@ -65,12 +69,13 @@ def group_gap(
 
 
 def stack_offsets(df: DataFrame, index: str, column: str, value: str, order: Sequence[str]) -> DataFrame:
-    """Where each segment of a stacked bar starts. A window holds at most one row per listed category."""
-    listed = df.where(F.col(column).isin(*order)).withColumn("_rank", rank_in(column, order))
-    before = Window.partitionBy(index).orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
+    """Where each segment of a stacked bar starts. A window holds one row per category.
+
+    Categories that are not listed come last in the window and are left out after it: a filter before it
+    would reach the counts on one side of their share only, which would then be scanned twice.
+    """
+    ranked = df.withColumn("_rank", rank_in(column, order))
+    before = Window.partitionBy(index).orderBy(F.asc_nulls_last("_rank")).rowsBetween(Window.unboundedPreceding, -1)
     start = F.round(F.coalesce(F.sum(value).over(before), F.lit(0.0)), 1)
-    return (
-        listed.withColumn("acumulado", start)
-        .orderBy(index, "_rank")
-        .select(index, column, value, "acumulado")
-    )
+    started = ranked.withColumn("acumulado", start).where("_rank is not null")
+    return started.orderBy(index, "_rank").select(index, column, value, "acumulado")

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.operators.headers import sanitize_columns
-from tallyloom.operators.quality import Rule, has_columns, quality_report, require_passed
-from tallyloom.sources.survey_csv import read_survey_csv
-from tallyloom.sources.tables import save_table
+from tallyloom.operators.quality import Rule, has_columns, one_header, quality_report, require_passed
+from tallyloom.sources.results import read_result, write_result
+from tallyloom.sources.survey_csv import read_survey_csv, survey_files
+from tallyloom.sources.tables import drop_folder, new_build, publish, register_folder
 
 Rules = Callable[[DataFrame], Iterable[Rule]]
 
@@ -18,25 +20,76 @@ def default_rules(df: DataFrame) -> list[Rule]:
     return [has_columns(df)]
 
 
+@dataclass(frozen=True)
+class Landed:
+    """An edition that lies aside, written and not yet published."""
+
+    table: str
+    root: str
+    build: str
+    rows: DataFrame
+    headers: int
+
+
+def land_aside(
+    spark: SparkSession,
+    folder: str,
+    table: str,
+    root: str,
+    clean_names: bool = False,
+    record_end: str | None = None,
+    dedupe: bool = False,
+) -> Landed:
+    """Write one edition as Parquet into a folder that no table names yet.
+
+    Names stay raw unless ``clean_names``. ``dedupe`` drops rows that repeat another in every column, as
+    an edition delivered twice has; by default they stay and the report shows them.
+    """
+    raw = read_survey_csv(spark, folder, record_end)
+    rows = raw.dropDuplicates() if dedupe else raw
+    build = new_build(root)
+    (sanitize_columns(rows) if clean_names else rows).write.option("compression", "snappy").parquet(build)
+    headers = len({export.header for export in survey_files(spark, folder)})
+    return Landed(table, root, build, spark.read.parquet(build), headers)
+
+
+def report_on(landed: Landed, rules: Rules) -> DataFrame:
+    """The quality report of an edition that lies aside: one aggregation over the Parquet just written."""
+    return quality_report(landed.rows, landed.table, [one_header(landed.headers), *rules(landed.rows)])
+
+
+def publish_landed(spark: SparkSession, landed: Landed) -> DataFrame:
+    """Point the edition's table to what lies aside and drop what was there before."""
+    table = register_folder(spark, landed.table, landed.build)
+    publish(spark, landed.root, landed.build)
+    return table
+
+
 def land_edition(
     spark: SparkSession,
     folder: str,
     table: str,
-    location: str | None = None,
+    location: str,
     clean_names: bool = False,
     rules: Rules = default_rules,
     gate: bool = False,
     record_end: str | None = None,
+    dedupe: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Land one edition and report on it: (table, quality report).
 
-    The table is replaced, so landing an edition again does not double it. Names stay raw
-    unless ``clean_names``; the report informs only, unless ``gate``. Rules look at the landed
-    Parquet rather than parsing the CSV a second time.
+    The table is replaced, so landing an edition again does not double it. The report is written to
+    ``<location>/quality`` in any case, once, and read back. It informs only, unless ``gate``: then a
+    failed rule leaves the earlier table as it was.
     """
-    raw = read_survey_csv(spark, folder, record_end)
-    landed = save_table(sanitize_columns(raw) if clean_names else raw, table, location)
-    report = quality_report(landed, table, rules(landed))
+    landed = land_aside(spark, folder, table, location, clean_names, record_end, dedupe)
+    report = report_on(landed, rules)
+    write_result(report, f"{location}/quality")
+    report = read_result(spark, f"{location}/quality", report.schema)
     if gate:
-        require_passed(report)
-    return landed, report
+        try:
+            require_passed(report)
+        except ValueError:
+            drop_folder(spark, landed.build)
+            raise
+    return publish_landed(spark, landed), report

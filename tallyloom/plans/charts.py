@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.answers import (
@@ -23,18 +23,22 @@ from tallyloom.catalog.answers import (
 )
 from tallyloom.catalog.editions import EDITION_COLUMN as EDITION
 from tallyloom.functions import count_suffix, first_token, fold_label, label_with, quoted, reais, shorten, thousands
-from tallyloom.operators.measures import COUNT, MEAN, SHARE, with_share
+from tallyloom.operators.measures import COUNT, MEAN, RANK, SHARE, numbered, with_share
 from tallyloom.operators.reshape import (
     group_gap,
     largest,
     pivot_sum,
     pivot_unique,
     plain_mean,
+    rank_in,
     stack_offsets,
     weighted_mean,
 )
 
 BARS = 12
+
+# Fixed value: where the axis of the stacked shares ends.
+STACK_AXIS = 105.0
 MIN_LABELLED_SHARE = 5
 
 # Columns setting the value axis of a mart (None: all its shares), headroom above
@@ -99,7 +103,9 @@ def language_count(language_count_pay: DataFrame) -> DataFrame:
 def work_models(work_model_by_edition: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
     """Share of each work model, one row per edition; wording folded or cut short."""
     answer = "modelo_trabalho_atual"
-    folded = work_model_by_edition.withColumn("modelo_curto", fold_label(answer, WORK_MODEL_FOLD, shorten(answer)))
+    # A label that is folded already is shown as it is.
+    folds = WORK_MODEL_FOLD | {label: label for label in WORK_MODEL_FOLD.values()}
+    folded = work_model_by_edition.withColumn("modelo_curto", fold_label(answer, folds, shorten(answer)))
     return pivot_sum(folded, EDITION, "modelo_curto", SHARE, labels).orderBy(EDITION)
 
 
@@ -163,10 +169,17 @@ def with_share_label(mart: DataFrame, value: str = SHARE, name: str = "label") -
     return mart.withColumn(name, F.concat(F.col(value).cast("string"), F.lit("%")))
 
 
+def axis_text(limit: Column) -> Column:
+    """An axis end with two decimals, never in scientific notation."""
+    return limit.cast("decimal(30,2)").cast("string")
+
+
 def axis_limit(mart: DataFrame, name: str) -> DataFrame:
     """One row: where the value axis of that mart ends."""
+    if name == "gender_stack":
+        return mart.agg(F.lit(STACK_AXIS).alias("eixo_max"))
     columns, headroom, without_values = AXES[name]
-    columns = columns or tuple(c for c in mart.columns if c != EDITION)
+    columns = columns or tuple(c for c in mart.columns if c not in (EDITION, RANK))
     largest_value = reduce(F.greatest, [F.max(F.col(quoted(c))) for c in columns])
     limit = F.round(largest_value * F.lit(headroom), 2)
     return mart.agg(F.when(largest_value > 0, limit).otherwise(F.lit(without_values)).alias("eixo_max"))
@@ -188,6 +201,34 @@ CHARTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "regions": ("region_pay", regions),
 }
 
+# Mart -> what its positions follow, the first position leading.
+POSITIONS: dict[str, tuple[str, ...]] = {
+    "top_roles": (f"-{COUNT}", "cargo_atual"),
+    "seniority_matrix": (EDITION,),
+    "sectors": (f"-{COUNT}", "setor"),
+    "work_models": (EDITION,),
+    "top_profiles": (f"-{MEAN}", "label"),
+    "language_count": ("qtd_linguagens",),
+    "gender_matrix": (EDITION,),
+    "gender_stack": (EDITION, "_listed"),
+    "gender_gap": ("_listed",),
+    "technologies": ("-total_usuarios", "tecnologia"),
+    "ai_priority": (f"-{SHARE}", "rotulo_curto"),
+    "regions": (f"-{MEAN}", "regiao_onde_mora"),
+}
+# Bars are drawn from the last position to the first.
+BAR_MARTS = ("top_roles", "sectors", "top_profiles", "technologies", "ai_priority", "regions")
+LISTED = {"gender_stack": ("genero", GENDER_ORDER), "gender_gap": ("senioridade", SENIORITY_ORDER)}
+
+
+def drawn(name: str, mart: DataFrame) -> DataFrame:
+    """A mart in drawing order with each row's position as a column, since the order of rows is not data."""
+    if name in LISTED:
+        mart = mart.withColumn("_listed", rank_in(*LISTED[name]))
+    ranked = numbered(mart, *POSITIONS[name]).drop("_listed")
+    return ranked.orderBy(F.desc(RANK) if name in BAR_MARTS else F.asc(RANK))
+
+
 # Marts left out, rather than failing, when their Gold result is missing.
 OPTIONAL = ("seniority_matrix", "ai_priority")
 
@@ -197,4 +238,4 @@ def build_charts(gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     missing = sorted(m for m, (source, _) in CHARTS.items() if source not in gold and m not in OPTIONAL)
     if missing:
         raise KeyError(f"no Gold result for {', '.join(missing)}")
-    return {mart: build(gold[source]) for mart, (source, build) in CHARTS.items() if source in gold}
+    return {mart: drawn(mart, build(gold[source])) for mart, (source, build) in CHARTS.items() if source in gold}

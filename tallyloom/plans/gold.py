@@ -18,6 +18,7 @@ from tallyloom.catalog.answers import (
     WORK_MODEL_FOLD,
 )
 from tallyloom.catalog.editions import EDITION_COLUMN as EDITION
+from tallyloom.catalog.editions import EDITIONS
 from tallyloom.functions import fold_label
 from tallyloom.operators.measures import (
     COUNT,
@@ -65,7 +66,7 @@ QUESTIONS: dict[str, Question] = {
     ),
     "seniority_by_edition": Question(
         "1b: seniority mix of each edition",
-        lambda silver: share(silver, "senioridade", within=EDITION),
+        lambda silver: share(silver, "senioridade", within=EDITION, groups=EDITIONS),
         f"senioridade string, {EDITION} string, {_SHARE}",
         (EDITION, f"-{COUNT}", "senioridade"),
     ),
@@ -78,7 +79,7 @@ QUESTIONS: dict[str, Question] = {
     ),
     "work_model_by_edition": Question(
         "1d: work models of each edition",
-        lambda silver: share(silver, "modelo_trabalho_atual", within=EDITION),
+        lambda silver: share(silver, "modelo_trabalho_atual", within=EDITION, groups=EDITIONS),
         f"modelo_trabalho_atual string, {EDITION} string, {_SHARE}",
         (EDITION, f"-{COUNT}", "modelo_trabalho_atual"),
     ),
@@ -109,13 +110,13 @@ QUESTIONS: dict[str, Question] = {
     ),
     "gender_by_edition": Question(
         "3a: gender mix of each edition",
-        lambda silver: share(silver, "genero", within=EDITION),
+        lambda silver: share(silver, "genero", within=EDITION, groups=EDITIONS),
         f"{EDITION} string, genero string, {_SHARE}",
         (EDITION, f"-{SHARE}", f"-{COUNT}", "genero"),
     ),
     "ethnicity_by_edition": Question(
         "3b: race and ethnicity mix of each edition",
-        lambda silver: share(silver, "cor_raca_etnia", within=EDITION),
+        lambda silver: share(silver, "cor_raca_etnia", within=EDITION, groups=EDITIONS),
         f"{EDITION} string, cor_raca_etnia string, {_SHARE}",
         (EDITION, f"-{SHARE}", f"-{COUNT}", "cor_raca_etnia"),
     ),

@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.catalog.editions import EDITIONS, RAW_COLUMNS
 from tallyloom.operators.conform import resolve_columns
-from tallyloom.operators.quality import Rule, edition_rules
-from tallyloom.plans.bronze import land_edition
+from tallyloom.operators.quality import Rule, edition_rules, require_passed
+from tallyloom.plans.bronze import Landed, land_aside, publish_landed, report_on
 from tallyloom.plans.charts import build_charts
 from tallyloom.plans.gold import QUESTIONS, export_gold, fold_answers
-from tallyloom.plans.silver import create_silver, read_silver
+from tallyloom.plans.silver import create_silver, open_silver
 from tallyloom.session import run_together
 from tallyloom.sources.results import read_result, write_result
+from tallyloom.sources.tables import drop_folder, published
 
 SILVER_TABLE = "silver_survey"
 
@@ -32,29 +33,52 @@ def run_bronze(
     clean_names: bool = False,
     gate: bool = False,
     record_end: str | None = None,
+    dedupe: bool = False,
 ) -> DataFrame:
-    """Land every edition and publish the quality report of all of them, which is returned."""
-    reports = []
-    for edition, folder in folders.items():
-
-        def rules(landed: DataFrame, edition: str = edition) -> list[Rule]:
-            return edition_rules(landed, resolve_columns(landed.columns, RAW_COLUMNS[edition]))
-
-        table, location = bronze_table(edition), f"{warehouse}/bronze/{edition}"
-        reports.append(land_edition(spark, folder, table, location, clean_names, rules, gate, record_end)[1])
-    write_result(reduce(DataFrame.unionByName, reports), f"{warehouse}/quality")
-    return read_result(spark, f"{warehouse}/quality", reports[0].schema)
+    """Land every edition and publish the quality report of all of them, which is returned.
+
+    The editions land aside, at the same time. Their report is written once, whatever it says, and
+    read back; with ``gate`` a failed rule of any edition stops the run with all earlier tables untouched.
+    """
+    landed: dict[str, Landed] = {}
+
+    def land(edition: str) -> None:
+        root = f"{warehouse}/bronze/{edition}"
+        landed[edition] = land_aside(spark, folders[edition], bronze_table(edition), root, clean_names, record_end, dedupe)
+
+    def rules(edition: str, rows: DataFrame) -> list[Rule]:
+        return edition_rules(rows, resolve_columns(rows.schema, RAW_COLUMNS[edition]))
+
+    try:
+        run_together(spark, (partial(land, edition) for edition in folders), concurrency=len(folders))
+        reports = [report_on(landed[edition], partial(rules, edition)) for edition in folders]
+        write_result(reduce(DataFrame.unionByName, reports), f"{warehouse}/quality")
+        report = read_result(spark, f"{warehouse}/quality", reports[0].schema)
+        if gate:
+            require_passed(report)
+    except Exception:
+        for edition in landed.values():
+            drop_folder(spark, edition.build)
+        raise
+    for edition in landed.values():
+        publish_landed(spark, edition)
+    return report
 
 
 def run_silver(spark: SparkSession, warehouse: str, table: str = SILVER_TABLE) -> DataFrame:
     """Build the unified table from the landed editions."""
-    raw = {edition: spark.read.parquet(f"{warehouse}/bronze/{edition}") for edition in EDITIONS}
+    raw = {}
+    for edition in EDITIONS:
+        present = published(spark, f"{warehouse}/bronze/{edition}")
+        if present is None:
+            raise FileNotFoundError(f"edition {edition} has not been landed in {warehouse}")
+        raw[edition] = spark.read.parquet(present[0])
     return create_silver(raw, table, f"{warehouse}/silver")
 
 
-def run_gold(spark: SparkSession, warehouse: str, fold_labels: bool = False) -> dict[str, str]:
-    """Answer and export every question, drifted wording folded beforehand if asked for."""
-    silver = read_silver(spark, f"{warehouse}/silver")
+def run_gold(spark: SparkSession, warehouse: str, fold_labels: bool = False, table: str = SILVER_TABLE) -> dict[str, str]:
+    """Answer and export every question over the Silver table, drifted wording folded beforehand if asked for."""
+    silver = open_silver(spark, table, f"{warehouse}/silver")
     return export_gold(fold_answers(silver) if fold_labels else silver, f"{warehouse}/gold")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyloom.catalog.editions import EDITION_COLUMN, EDITIONS
 from tallyloom.operators.conform import SILVER_SCHEMA, conform_edition
 from tallyloom.session import run_together
-from tallyloom.sources.tables import overwrite_partition, partition_folder, register_partitions
+from tallyloom.sources.tables import new_build, overwrite_partition, partition_folder, publish, published, register_partitions
 
 
 def refresh_edition(raw: DataFrame, edition: str, location: str) -> None:
@@ -26,13 +26,30 @@ def refresh_silver(raw_editions: Mapping[str, DataFrame], location: str) -> None
 
 
 def create_silver(raw_editions: Mapping[str, DataFrame], table: str, location: str) -> DataFrame:
-    """Build the table of exactly the given editions, replacing any earlier one of that name."""
-    refresh_silver(raw_editions, location)
+    """Build the table of exactly the given editions, replacing any earlier one as a whole.
+
+    The editions are written into a folder of their own. Only when all are there does the table point to
+    it, and the folder of the earlier build goes: no reader meets half a build, and an edition that is no
+    longer given is in neither table nor folder.
+    """
     spark = next(iter(raw_editions.values())).sparkSession
-    return register_partitions(spark, table, location, SILVER_SCHEMA, EDITION_COLUMN, raw_editions)
+    build = new_build(location)
+    refresh_silver(raw_editions, build)
+    silver = register_partitions(spark, table, build, SILVER_SCHEMA, EDITION_COLUMN, raw_editions)
+    publish(spark, location, build, list(raw_editions))
+    return silver
+
+
+def open_silver(spark: SparkSession, table: str, location: str) -> DataFrame:
+    """The table as it was last built below ``location``, put into this session's catalog if need be."""
+    present = published(spark, location)
+    if present is None:
+        raise FileNotFoundError(f"no Silver table was built below {location}")
+    build, editions = present
+    return register_partitions(spark, table, build, SILVER_SCHEMA, EDITION_COLUMN, editions)
 
 
 def read_silver(spark: SparkSession, location: str, editions: Iterable[str] = EDITIONS) -> DataFrame:
-    """Scan exactly these editions with the fixed schema, so no file is opened to infer one."""
+    """Scan exactly these editions of a folder with the fixed schema, so no file is opened to infer one."""
     folders = [partition_folder(location, EDITION_COLUMN, edition) for edition in editions]
     return spark.read.schema(SILVER_SCHEMA).option("basePath", location).parquet(*folders)

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+import csv
+import io
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import partial, reduce
 
-from tallyloom.functions import quoted
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 # One dialect for reading and writing: a quote inside a field is doubled, blanks around answers are kept.
 DIALECT = {
@@ -17,38 +22,98 @@ DIALECT = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# A record with more or fewer fields than its header fails. That needs every column of every record to
+# be looked at, whatever is selected.
+STRICT = {"mode": "FAILFAST", "columnPruning": "false"}
+
+
+@dataclass(frozen=True)
+class Export:
+    """A file of an edition: its own header and the line break that ends its records."""
+
+    path: str
+    header: tuple[str, ...]
+    record_end: str
+
+
+def survey_files(spark: SparkSession, folder: str, concurrency: int = 8) -> list[Export]:
+    """Every file below ``folder`` that has a header; only the header's lines are read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
+    paths = sorted(row["path"] for row in listed.collect())
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        found = list(pool.map(inheritable_thread_target(spark)(partial(_export, spark)), paths))
+    return [export for export in found if export.header]
+
+
+def _export(spark: SparkSession, path: str) -> Export:
+    lines = spark.read.option("lineSep", "\n").text(path)
+    wanted = 1
+    while True:
+        # A header with a line break in a quoted name goes on until its quotes are closed.
+        taken = [row["value"] for row in lines.take(wanted)]
+        open_quotes = 0
+        for number, line in enumerate(taken, 1):
+            open_quotes += line.count('"')
+            if open_quotes % 2 == 0:
+                record = "\n".join(taken[:number])
+                record_end = "\r\n" if record.endswith("\r") else "\n"
+                record = record.removesuffix("\r").removeprefix("﻿")
+                return Export(path, tuple(next(csv.reader(io.StringIO(record, newline="")), ())), record_end)
+        if len(taken) < wanted:
+            return Export(path, (), "\n")
+        wanted *= 8
+
+
+def header_drift(exports: Iterable[Export]) -> dict[str, list[str]]:
+    """For each file the columns of the others that it lacks; its rows have NULL there."""
+    exports = list(exports)
+    names = list(dict.fromkeys(name for export in exports for name in export.header))
+    return {export.path: [name for name in names if name not in export.header] for export in exports}
+
 
 def read_survey_csv(spark: SparkSession, folder: str, record_end: str | None = None) -> DataFrame:
-    """Every file below ``folder``, all columns as strings.
+    """Every file below ``folder``, all columns as strings, each file under its own header.
+
+    Files of one edition may order their columns differently, lack some and have others: columns
+    meet by name, and what a file lacks is NULL. A record with a field too many or too few
+    fails. So do names that occur twice, or not at all, where headers differ: nothing says which
+    column is meant. Records end as the header does, so that a carriage return in an answer stays.
 
     By default a quoted answer may hold any line break. Such a file cannot be split, so it is
     one task that streams its rows; parallelism is the number of files.
 
     ``record_end`` names the line break that ends a record and occurs in no answer: often
-    ``\\r\\n``, with bare ``\\n`` inside answers. Files are then split and read by many tasks
-    each. An export that breaks the promise fails, since a cut record lacks columns.
+    ``\\r\\n``, with bare ``\\n`` inside answers; the choice for large exports. Files are then split and
+    read by many tasks each. An export that breaks the promise fails, since a cut record lacks columns.
     """
-    reader = spark.read.options(**DIALECT).option("recursiveFileLookup", True)
-    if record_end is None:
-        # Left to itself the parser takes the first line break it meets, quoted or not, for the record end.
-        return _without_carriage_return(reader.options(multiLine=True, lineSep="\n").csv(folder))
-    # Without column pruning every column of every record is looked at, whatever is selected.
-    read = reader.options(lineSep=record_end, mode="FAILFAST", columnPruning=False).csv(folder)
-    return read if record_end == "\r\n" else _without_carriage_return(read)
-
-
-def _without_carriage_return(df: DataFrame) -> DataFrame:
-    """Drop what a ``\\r\\n`` record end leaves on the last column when records are read up to ``\\n``."""
-    last = df.columns[-1]
-    answer = quoted(last)
-    kept = f"if(endswith({answer}, '\r'), left({answer}, length({answer}) - 1), {answer})"
-    stripped = df.withColumn(last, F.expr(f"nullif({kept}, '')"))
-    name = last.removesuffix("\r")
-    return stripped if name == last else stripped.withColumnRenamed(last, _unused(name, df.columns))
-
-
-def _unused(name: str, columns: list[str]) -> str:
-    return f"{name}{len(columns) - 1}" if name.lower() in map(str.lower, columns) else name
+    exports = survey_files(spark, folder)
+    if not exports:
+        raise ValueError(f"no file with a header below {folder}")
+    if record_end is not None:
+        others = sorted(export.path for export in exports if export.record_end != record_end)
+        if others:
+            raise ValueError(f"records do not end in {record_end!r} in {', '.join(others[:5])}")
+    headers = list(dict.fromkeys(export.header for export in exports))
+    if len(headers) > 1:
+        for header in headers:
+            _require_names(header)
+    layouts: dict[tuple[tuple[str, ...], str], list[str]] = {}
+    for export in exports:
+        layouts.setdefault((export.header, export.record_end), []).append(export.path)
+    frames = [_read(spark, paths, end, splittable=record_end is not None) for (_, end), paths in layouts.items()]
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), frames)
+
+
+def _read(spark: SparkSession, paths: Sequence[str], record_end: str, splittable: bool) -> DataFrame:
+    reader = spark.read.options(**DIALECT).options(**STRICT).options(lineSep=record_end, multiLine=not splittable)
+    return reader.csv(list(paths))
+
+
+def _require_names(header: Sequence[str]) -> None:
+    lowered = [name.lower() for name in header]
+    unclear = sorted({name for name in header if not name or lowered.count(name.lower()) > 1})
+    if unclear:
+        raise ValueError(f"headers differ and one has names that are not its own: {unclear}")
 
 
 def write_survey_csv(df: DataFrame, folder: str, rows_per_file: int = 1_000_000) -> None:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions import quoted, text
@@ -49,8 +51,48 @@ def register_partitions(
     return spark.table(table)
 
 
-def if_present(
-    spark: SparkSession, table: str, build: Callable[[DataFrame], DataFrame]
-) -> DataFrame | None:
-    """``build`` over the table, or nothing when the table does not exist."""
-    return build(spark.table(table)) if spark.catalog.tableExists(table) else None
+# Builds: a table is written into a new folder below its root and published when it is whole. A
+# small file beside the builds names the present one, so that a later session finds it too.
+
+CURRENT = "current"
+
+
+def new_build(root: str) -> str:
+    return f"{root}/build-{uuid.uuid4().hex[:12]}"
+
+
+def publish(spark: SparkSession, root: str, build: str, parts: Sequence[str] = ()) -> None:
+    """Make ``build`` the present one of ``root`` and drop the others; ``parts`` name its partitions."""
+    rows = spark.range(1).select(F.lit(build.rsplit("/", 1)[1]).alias("build"), F.array(*map(F.lit, parts)).cast("array<string>").alias("parts"))
+    rows.coalesce(1).write.mode("overwrite").json(f"{root}/{CURRENT}")
+    fs, path = _file_system(spark, root)
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("build-") and name != build.rsplit("/", 1)[1]:
+            fs.delete(status.getPath(), True)
+
+
+def published(spark: SparkSession, root: str) -> tuple[str, list[str]] | None:
+    """The present build of ``root`` and its partitions, if one was published."""
+    fs, path = _file_system(spark, f"{root}/{CURRENT}")
+    if not fs.exists(path):
+        return None
+    row = spark.read.schema("build string, parts array<string>").json(f"{root}/{CURRENT}").first()
+    return f"{root}/{row['build']}", list(row["parts"] or [])
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = _file_system(spark, folder)
+    fs.delete(path, True)
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def register_folder(spark: SparkSession, table: str, build: str) -> DataFrame:
+    """(Re)create an external table over a folder of Parquet files that is already written."""
+    spark.sql(f"drop table if exists {table}")
+    spark.catalog.createTable(table, path=build, source="parquet")
+    return spark.table(table)

@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.catalog.editions import EDITIONS, RAW_COLUMNS
+from tallyloom.catalog.editions import EDITION_COLUMN, EDITIONS, RAW_COLUMNS
 from tallyloom.functions import quoted
 
 
@@ -40,7 +40,7 @@ def _bands(value: str, answers: Sequence[tuple[int, str]], otherwise: str = "")
 def _lookup_bands(value: str, answers: Sequence[tuple[int, str]], otherwise: str = "") -> str:
     """The same for a month or a day, as a constant list with one answer for each."""
     listed = [next((answer for bound, answer in answers if number <= bound), otherwise) for number in range(32)]
-    return f"array({', '.join(map(repr, listed))})[{value}]"
+    return f"coalesce(array({', '.join(map(repr, listed))})[{value}], '{otherwise}')"
 
 
 _NOT_ASKED = "c_acctbal < 900"
@@ -152,7 +152,10 @@ def _answers(choose: Callable[..., str], bands: Callable[..., str]) -> dict[str,
                 (490000, "Prefiro não dizer"),
             ],
         ),
-        "modelo_trabalho_atual": choose(
+        # Two wordings of one answer within each edition, so that folding them sums rows.
+        "modelo_trabalho_atual": "case when day(o_orderdate) > 20 and o_orderpriority = '1-URGENT' then 'Trabalho remoto'"
+        " when day(o_orderdate) > 20 and o_orderpriority = '3-MEDIUM' then 'Trabalho presencial' else "
+        + choose(
             "o_orderpriority",
             {
                 "1-URGENT": "Modelo 100% remoto",
@@ -160,7 +163,8 @@ def _answers(choose: Callable[..., str], bands: Callable[..., str]) -> dict[str,
                 "3-MEDIUM": "Modelo 100% presencial",
                 "5-LOW": "Modelo híbrido com dias fixos de trabalho presencial",
             },
-        ),
+        )
+        + " end",
         "modelo_trabalho_ideal": choose("o_orderstatus", {"F": "Modelo 100% remoto", "O": "Modelo 100% presencial"}),
         "numero_pessoas_dados_empresa": bands("day(o_orderdate)", [(10, "1 - 3"), (20, "4 - 10"), (29, "11 - 20")]),
         "ia_prioridade_empresa": "case when o_orderstatus = 'F' then "
@@ -200,6 +204,9 @@ def _answers(choose: Callable[..., str], bands: Callable[..., str]) -> dict[str,
 SPARK_ANSWERS = _answers(_lookup, _lookup_bands)
 SQL_ANSWERS = _answers(_case, _bands)
 
+# Questions of the raw exports that no unified column asks for.
+UNMAPPED = {"9.x_comentário livre": "c_name", "9.y_versão do formulário": "cast(o_custkey as string)"}
+
 # Order-date bounds of each edition: from (inclusive) and to (exclusive).
 EDITION_YEARS = {"2023_2024": (None, 1997), "2024_2025": (1997, 1999), "2025_2026": (1999, None)}
 
@@ -235,9 +242,16 @@ def raw_editions(spark: SparkSession, sf_dir: str, editions: Sequence[str] = EDI
     for edition in editions:
         names = RAW_COLUMNS[edition]
         respondents = orders.where(_in_edition(edition)).join(people, own_customer)
-        raw[edition] = respondents.selectExpr(*(f"{SPARK_ANSWERS[name]} as {quoted(column)}" for name, column in names.items()))
+        mapped = (f"{SPARK_ANSWERS[name]} as {quoted(column)}" for name, column in names.items())
+        unmapped = (f"{answer} as {quoted(column)}" for column, answer in UNMAPPED.items())
+        raw[edition] = respondents.selectExpr(*mapped, *unmapped)
     return raw
 
 
-def raw_edition(spark: SparkSession, sf_dir: str, edition: str) -> DataFrame:
-    return raw_editions(spark, sf_dir, [edition])[edition]
+def mapped_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All respondents under unified names with their edition, answers as they were given: one scan of the orders."""
+    orders, customers, nations, regions = (table(spark, sf_dir, name) for name in ("orders", "customer", "nation", "region"))
+    places = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    people = customers.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    respondents = orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
+    return respondents.selectExpr(*(f"{answer} as {name}" for name, answer in SPARK_ANSWERS.items()), f"{EDITION_SQL} as {EDITION_COLUMN}")

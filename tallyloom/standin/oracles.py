@@ -124,7 +124,14 @@ def _thousands(value: str) -> str:
     return f"replace(format('{{:,.0f}}', cast({value} as double)), ',', '.')"
 
 
-MART_SQL: dict[str, str] = {
+def _positions(order: str, marts: dict[str, str], *names: str) -> dict[str, str]:
+    """The same marts with the position of each row."""
+    return {
+        name: f"select *, cast(row_number() over (order by {order}) as integer) as posicao from ({marts[name]})" for name in names
+    }
+
+
+_MARTS: dict[str, str] = {
     "mart_top_roles": _over_gold(
         "gold_role_share",
         """select cargo_atual, total, round_even(100.0 * total / cast(sum(total) over () as double), 1) as percentual
@@ -183,14 +190,63 @@ MART_SQL: dict[str, str] = {
     "mart_display_labels": _silver(
         f"""select regiao_onde_mora as barra, {_amount('salario_medio')} as label from regions
  union all select setor, {_thousands('total')} from sectors
- union all select setor, cast(percentual as varchar) || '%' from sectors
- union all select 'eixo regions', cast(round(max(salario_medio) * 1.25, 2) as varchar) from regions
- union all select 'eixo sectors', cast(round(max(total) * cast(1.22 as double), 2) as varchar) from sectors""",
+ union all select setor, cast(percentual as varchar) || '%' from sectors""",
         f"regions as ({GOLD_SQL['gold_region_pay']})",
         f"sectors as ({GOLD_SQL['gold_sector_share']})",
     ),
 }
 
+_FOLDED_MODEL = f"coalesce({_case('modelo_trabalho_atual', _texts(WORK_MODEL_FOLD))}, modelo_trabalho_atual)"
+_MARTS["mart_work_model_folded"] = _silver(
+    f"select ano_pesquisa, {_cells('modelo_curto', 'percentual', _MODELS, '0.0')} from cut group by ano_pesquisa",
+    f"""counted as (select {_FOLDED_MODEL} as modelo, ano_pesquisa, count(*) as n from silver
+ where modelo_trabalho_atual is not null group by 1, 2)""",
+    f"""cut as (select ano_pesquisa, case when modelo in ('100% presencial', '100% remoto') then modelo else substr(modelo, 1, 30) || '...' end
+ as modelo_curto, {_share('n', 'sum(n) over (partition by ano_pesquisa)')} as percentual from counted)""",
+)
+
+MART_SQL: dict[str, str] = (
+    _positions("total desc nulls last, cargo_atual", _MARTS, "mart_top_roles")
+    | _positions("total desc nulls last, setor", _MARTS, "mart_sector")
+    | _positions("salario_medio desc nulls last, label", _MARTS, "mart_top_profiles")
+    | _positions("qtd_linguagens", _MARTS, "mart_flag_count")
+    | _positions("ano_pesquisa", _MARTS, "mart_seniority_pivot", "mart_work_model", "mart_work_model_folded", "mart_gender_pivot")
+    | _positions(f"ano_pesquisa, {_GENDER_RANK}", _MARTS, "mart_stack_offsets")
+    | _positions("list_position(['Júnior', 'Pleno', 'Sênior', 'Especialista/Staff+'], senioridade)", _MARTS, "mart_gap")
+    | _positions("total_usuarios desc nulls last, tecnologia", _MARTS, "mart_tech")
+    | _positions("percentual desc nulls last, rotulo_curto", _MARTS, "mart_ai_priority")
+    | _positions("salario_medio desc nulls last, regiao_onde_mora", _MARTS, "mart_region")
+    | {"mart_display_labels": _MARTS["mart_display_labels"]}
+)
+
+
+def _axis(name: str, mart: str, values: str, headroom: float, nothing: str = "null") -> str:
+    largest = f"greatest({values})" if "," in values else values
+    limit = f"case when {largest} > 0 then round({largest} * cast({headroom} as double), 2) else {nothing} end"
+    return f"select '{name}' as mart, cast(cast({limit} as decimal(30,2)) as varchar) as eixo_max from ({_MARTS[mart]})"
+
+
+def _largest(*columns: str) -> str:
+    return ", ".join(f"max({column})" for column in columns)
+
+
+MART_SQL["mart_axis_limits"] = " union all ".join(
+    f"select * from ({part})"
+    for part in [
+        _axis("top_roles", "mart_top_roles", _largest("total"), 1.22),
+        _axis("seniority_matrix", "mart_seniority_pivot", _largest(*(f'"{level}"' for level in _SENIORITY)), 1.25, "125.0"),
+        _axis("sectors", "mart_sector", _largest("total"), 1.22),
+        _axis("work_models", "mart_work_model", _largest(*(f'"{model}"' for model in _MODELS)), 1.25, "100.0"),
+        _axis("top_profiles", "mart_top_profiles", _largest("salario_medio"), 1.28),
+        _axis("language_count", "mart_flag_count", _largest("salario_medio"), 1.25),
+        _axis("gender_gap", "mart_gap", _largest('"Masculino"', '"Feminino"'), 1.25),
+        _axis("technologies", "mart_tech", _largest("total_usuarios"), 1.22),
+        _axis("ai_priority", "mart_ai_priority", _largest("percentual"), 1.62, "48.6"),
+        _axis("regions", "mart_region", _largest("salario_medio"), 1.25),
+        "select 'gender_stack' as mart, '105.00' as eixo_max",
+    ]
+)
+
 
 def _mapped(columns: str, where: str = "") -> str:
     return _raw(f"select {columns} from raw {where}")
@@ -200,7 +256,7 @@ def _quality(dataset: str, edition: str, copies: int) -> str:
     flags = " + ".join(f"count(*) filter ({flag} not in ('', '0', '1'))" for flag in TECHNOLOGY_FLAGS.values())
     bands = ", ".join(f"'{band}'" for band in SALARY_MIDPOINTS)
     rules = {
-        "column_count": (f"any_value({len(RAW_COLUMNS[edition])})", "observed >= 1"),
+        "column_count": (f"any_value({len(RAW_COLUMNS[edition]) + 1})", "observed >= 1"),
         "duplicate_ids": (f"count(id_respondente) * {copies} - count(distinct id_respondente)", "observed <= 0"),
         "unknown_salary_bands": (
             f"{copies} * count(*) filter (faixa_salarial <> '' and faixa_salarial not in ({bands}))",
@@ -223,7 +279,15 @@ _MEAN_QUANTITY = f"round(avg(l_quantity), 2) as salario_medio, {_TOTAL}"
 
 PLAIN_SQL: dict[str, str] = {
     "src_csv_multiline": "select doc_id, nullif(text, '') as text from documents",
-    "sink_parquet_table": _mapped(", ".join(RAW_COLUMNS["2024_2025"]), "where ano_pesquisa = '2024_2025'"),
+    "src_csv_drifting_files": "select doc_id, nullif(text, '') as text, case when doc_id % 3 < 2 then nullif(lang, '') end as lang,"
+    " case when doc_id % 3 = 1 then nullif(source, '') end as source from documents",
+    "src_csv_split": "select doc_id, nullif(replace(replace(text, chr(10), '¶'), chr(13), '¶'), '') as text from documents",
+    "sink_parquet_table": _mapped(", ".join([*RAW_COLUMNS[EDITIONS[0]], "ano_pesquisa"])),
+    "silver_replace_fewer": _silver(
+        f"""select ano_pesquisa as chave, {_TOTAL} from fewer group by 1
+ union all select * from (select cargo_atual, {_TOTAL} from fewer where cargo_atual is not null group by 1 order by total desc, cargo_atual limit 15)""",
+        "fewer as (select * from silver where ano_pesquisa <> '2023_2024')",
+    ),
     "silver_ctas": _silver("select * from silver"),
     "silver_overwrite_idempotent": _silver("select * from silver"),
     "sink_csv_roundtrip": _silver(
@@ -231,7 +295,15 @@ PLAIN_SQL: dict[str, str] = {
     ),
     "schema_sanitize": "select c_custkey, c_name as area_b, c_nationkey as area_b_1, c_acctbal as area_b_2,"
     " c_mktsegment as col_sem_nome from customer",
-    "edition_map": _mapped(", ".join(RAW_COLUMNS[EDITIONS[0]]), f"where ano_pesquisa = '{EDITIONS[0]}'"),
+    "schema_lineage": " union all ".join(
+        f"select c_custkey, cast({position} as integer) as position, '{raw}' as raw_name, '{name}' as name, cast({column} as varchar) as answer from customer"
+        for position, raw, name, column in (
+            (1, "Área b", "area_b", "c_name"),
+            (2, "area-b", "area_b_1", "c_nationkey"),
+            (4, "???", "col_sem_nome", "c_mktsegment"),
+        )
+    ),
+    "edition_map": _mapped(", ".join([*RAW_COLUMNS[EDITIONS[0]], "ano_pesquisa"])),
     "edition_union": _silver(
         "select id_respondente, ano_pesquisa, cargo_atual, modelo_trabalho_atual, ia_prioridade_empresa, lang_rust from silver"
     ),
@@ -257,7 +329,7 @@ PLAIN_SQL: dict[str, str] = {
     "avg_in_groups": f"""select l_linenumber, l_returnflag, {_MEAN_QUANTITY} from lineitem
  where l_returnflag in ('A', 'R') and l_linenumber is not null and l_quantity is not null group by l_linenumber, l_returnflag""",
     "share_and_avg": f"""select event_type, {_TOTAL}, {_share('count(*)', 'sum(count(*)) over ()')} as percentual,
- round(avg(case when value > 5 then floor(value) end), 2) as salario_medio
+ cast(round(avg(cast(value as decimal(18,6))), 2) as double) as salario_medio
  from events where event_type is not null group by event_type""",
     "flag_count_profile": f"""with {_LINE_FLAGS} select discounted + taxed + bulk as flags, {_MEAN_QUANTITY}
  from flags where l_quantity is not null group by 1 having count(*) >= 15""",
@@ -285,10 +357,36 @@ QUESTION_NAMES = {
     "gold_share_and_pay": "ai_priority",
     "gold_region_pay": "region_pay",
 }
-_BATCH = " union all ".join(
-    f"select '{QUESTION_NAMES[key]}' as question, cast(count(*) as bigint) as rows from ({query})" for key, query in GOLD_SQL.items()
-)
+# Question -> its key columns and the order of its rows, largest first where there is a minus.
+BATCH_ROWS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "gold_role_share": (("cargo_atual",), ("-total", "cargo_atual")),
+    "gold_level_by_edition": (("senioridade", "ano_pesquisa"), ("ano_pesquisa", "-total", "senioridade")),
+    "gold_sector_share": (("setor",), ("-total", "setor")),
+    "gold_status_by_edition": (("modelo_trabalho_atual", "ano_pesquisa"), ("ano_pesquisa", "-total", "modelo_trabalho_atual")),
+    "gold_role_level_pay": (("cargo_atual", "senioridade"), ("-salario_medio", "cargo_atual", "senioridade")),
+    "gold_level_edition_pay": (("senioridade", "ano_pesquisa"), ("senioridade", "ano_pesquisa")),
+    "gold_size_pay": (("numero_funcionarios",), ("-salario_medio", "numero_funcionarios")),
+    "gold_flagcount_pay": (("qtd_linguagens",), ("qtd_linguagens",)),
+    "gold_group_by_edition": (("ano_pesquisa", "genero"), ("ano_pesquisa", "-percentual", "-total", "genero")),
+    "gold_group2_by_edition": (("ano_pesquisa", "cor_raca_etnia"), ("ano_pesquisa", "-percentual", "-total", "cor_raca_etnia")),
+    "gold_gap_two_groups": (("senioridade", "genero"), ("senioridade", "genero")),
+    "gold_gap_many_groups": (("senioridade", "cor_raca_etnia"), ("senioridade", "-salario_medio", "cor_raca_etnia")),
+    "gold_flag_adoption": (("tecnologia",), ("-total_usuarios", "tecnologia")),
+    "gold_share_and_pay": (("ia_prioridade_empresa",), ("-total", "ia_prioridade_empresa")),
+    "gold_region_pay": (("regiao_onde_mora",), ("-salario_medio", "regiao_onde_mora")),
+}
+
+
+def _batch_part(key: str, query: str) -> str:
+    keys, order = BATCH_ROWS[key]
+    chave = " || '|' || ".join(f"coalesce(cast({column} as varchar), '-')" for column in keys)
+    order_by = ", ".join(f"{column.removeprefix('-')} {'desc' if column.startswith('-') else 'asc'} nulls last" for column in order)
+    shares = "percentual" if "percentual" in query else "cast(null as double)"
+    pay = "salario_medio" if "salario_medio" in query else "cast(null as double)"
+    total = "total_usuarios" if "total_usuarios" in query else "total"
+    return f"""select '{QUESTION_NAMES[key]}' as question, cast(row_number() over (order by {order_by}) as integer) as posicao,
+ {chave} as chave, cast({total} as bigint) as total, {shares} as percentual, {pay} as salario_medio from ({query})"""
 
 
 def all_oracles() -> dict[str, str]:
-    return PLAIN_SQL | {"gold_batch": _silver(_BATCH)} | {key: _silver(query) for key, query in GOLD_SQL.items()} | MART_SQL
+    return PLAIN_SQL | {"gold_batch": _silver(" union all ".join(f"select * from ({_batch_part(key, query)})" for key, query in GOLD_SQL.items()))} | {key: _silver(query) for key, query in GOLD_SQL.items()} | MART_SQL

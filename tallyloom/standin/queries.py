@@ -8,83 +8,132 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.catalog.editions import EDITIONS, RAW_COLUMNS
+from tallyloom.catalog.editions import EDITION_COLUMN, EDITIONS, RAW_COLUMNS
 from tallyloom.functions import blank_to_null, midpoint, truth_label
 from tallyloom.operators.conform import map_edition, unify
-from tallyloom.operators.headers import sanitize_columns
-from tallyloom.operators.measures import flag_adoption, flag_profile, mean_by, ordered, share, share_and_mean
-from tallyloom.operators.quality import edition_rules, quality_report
+from tallyloom.operators.headers import long_format, sanitize_columns
+from tallyloom.operators.measures import RANK, flag_adoption, flag_profile, mean_by, numbered, ordered, share, share_and_mean
+from tallyloom.operators.quality import edition_rules, quality_by
 from tallyloom.plans import charts, gold
+from tallyloom.plans.run import run_gold
 from tallyloom.plans.silver import create_silver, read_silver, refresh_edition, refresh_silver
 from tallyloom.sources.results import read_result, write_result
 from tallyloom.sources.survey_csv import read_survey_csv
 from tallyloom.sources.tables import save_table
 from tallyloom.standin import landing
-from tallyloom.standin.answers import raw_edition, raw_editions, table
+from tallyloom.standin.answers import raw_editions, table
 from tallyloom.standin.oracles import QUESTION_NAMES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DRIFTED = "2024_2025"
+# All values the column may have.
+RETURN_FLAGS = ("A", "N", "R")
 
 
 # Sources and sinks
 
 
+def _document(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), *columns)
+
+
 def src_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quoted CSV with line breaks and doubled quotes inside fields."""
-    rows = read_survey_csv(spark, landing.documents_csv(spark, sf_dir))
-    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return _document(read_survey_csv(spark, landing.documents_csv(spark, sf_dir)), "text")
+
+
+def src_csv_drifting_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with other column orders, a column less and a column more, each read under its own header."""
+    return _document(read_survey_csv(spark, landing.drifting_csv(spark, sf_dir)), "text", "lang", "source")
+
+
+def src_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose records end in a break that no field holds, read by many tasks each."""
+    return _document(read_survey_csv(spark, landing.one_line_csv(spark, sf_dir), record_end="\n"), "text")
+
+
+def _table_name(name: str) -> str:
+    return f"tallyloom_{name}"
 
 
 def sink_parquet_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A raw edition, odd column names included, through a catalog table."""
-    folder = landing.fresh_folder(spark, "bronze")
-    landed = save_table(raw_edition(spark, sf_dir, DRIFTED), _table_name(folder), folder)
-    return map_edition(landed, RAW_COLUMNS[DRIFTED])
+    """The raw editions, odd column names included, through catalog tables."""
+    folder = landing.scratch_folder(spark, "bronze")
+    landed = {
+        edition: save_table(raw, _table_name(f"bronze_{edition}"), f"{folder}/{edition}")
+        for edition, raw in raw_editions(spark, sf_dir).items()
+    }
+    return _tagged(landed)
+
+
+def _tagged(editions: dict[str, DataFrame]) -> DataFrame:
+    """Raw editions under unified names, with the edition of each row."""
+    frames = (map_edition(raw, RAW_COLUMNS[name]).withColumn(EDITION_COLUMN, F.lit(name)) for name, raw in editions.items())
+    return reduce(DataFrame.unionByName, frames)
 
 
 def silver_ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The unified table created in the catalog over an external folder."""
-    folder = landing.fresh_folder(spark, "silver")
-    return create_silver(raw_editions(spark, sf_dir), _table_name(folder), folder)
+    return create_silver(raw_editions(spark, sf_dir), _table_name("silver"), landing.scratch_folder(spark, "silver"))
 
 
 def silver_overwrite_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All editions written, then one of them again: nothing is doubled."""
-    folder = landing.fresh_folder(spark, "silver")
+    folder = landing.scratch_folder(spark, "silver-again")
     editions = raw_editions(spark, sf_dir)
     refresh_silver(editions, folder)
     refresh_edition(editions[DRIFTED], DRIFTED, folder)
     return read_silver(spark, folder)
 
 
+def silver_replace_fewer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three editions, then two: respondents by edition in the table, and the role shares that Gold exports from it."""
+    folder = landing.scratch_folder(spark, "silver-fewer")
+    table_name = _table_name("silver_fewer")
+    editions = raw_editions(spark, sf_dir)
+    create_silver(editions, table_name, f"{folder}/silver")
+    create_silver({name: editions[name] for name in EDITIONS[1:]}, table_name, f"{folder}/silver")
+    exported = run_gold(spark, folder, table=table_name)
+    shares = read_result(spark, exported["role_share"], gold.QUESTIONS["role_share"].schema)
+    counts = spark.table(table_name).groupBy(EDITION_COLUMN).agg(F.count("*").alias("total"))
+    return counts.select(F.col(EDITION_COLUMN).alias("chave"), "total").unionByName(
+        shares.select(F.col("cargo_atual").alias("chave"), "total")
+    )
+
+
 def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unified answers, missing ones among them, exported as CSV and read back."""
     exported = landing.silver(spark, sf_dir).select(
         "id_respondente", "cargo_atual", "motivo_insatisfacao", "faixa_salarial_media", "ano_pesquisa"
     )
-    folder = landing.fresh_folder(spark, "export")
+    folder = landing.scratch_folder(spark, "export")
     write_result(exported, folder)
     return read_result(spark, folder, exported.schema)
 
 
-def _table_name(folder: str) -> str:
-    return folder.rsplit("/", 1)[1].replace("-", "_")
+# Schema
 
 
-# Schema
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return raw.toDF("('P0', 'c_custkey ')", "Área b", "area-b", "AREA_B", "???")
 
 
 def schema_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tuple-style, colliding and nameless headers cleaned and made unique."""
-    raw = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    return sanitize_columns(raw.toDF("('P0', 'c_custkey ')", "Área b", "area-b", "AREA_B", "???"))
+    return sanitize_columns(_customers(spark, sf_dir))
+
+
+def schema_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same answers by question: position, raw and cleaned name of each column."""
+    rows = long_format(schema_sanitize(spark, sf_dir), ["c_custkey"])
+    return rows.where("name != 'area_b_2'")
 
 
 def edition_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw columns of the tuple-style edition under unified names."""
-    return map_edition(raw_edition(spark, sf_dir, EDITIONS[0]), RAW_COLUMNS[EDITIONS[0]])
+    """The raw columns of every edition, however it names them, under unified names."""
+    return _tagged(raw_editions(spark, sf_dir))
 
 
 def edition_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,38 +144,33 @@ def edition_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quality rules over every edition, and over one loaded twice."""
-    editions = raw_editions(spark, sf_dir)
-    frames = [(edition, raw, edition) for edition, raw in editions.items()]
-    frames.append((f"{DRIFTED}_twice", editions[DRIFTED].unionByName(editions[DRIFTED]), DRIFTED))
-    reports = (quality_report(df, name, edition_rules(df, RAW_COLUMNS[edition])) for name, df, edition in frames)
-    return reduce(DataFrame.unionByName, reports)
+    """The quality rules over every edition, and over one loaded twice: one scan of the landed answers."""
+    landed = landing.answers(spark, sf_dir)
+    twice = f"{DRIFTED}_twice"
+    datasets = F.when(F.col(EDITION_COLUMN) == DRIFTED, F.array(F.lit(DRIFTED), F.lit(twice), F.lit(twice))).otherwise(F.array(EDITION_COLUMN))
+    rules = edition_rules(landed, {name: name for name in landed.columns})
+    return quality_by(landed.withColumn("_dataset", F.explode(datasets)), "_dataset", rules)
 
 
 # Scalar expressions over every respondent
 
 
-def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    editions = raw_editions(spark, sf_dir)
-    return reduce(DataFrame.unionByName, (map_edition(raw, RAW_COLUMNS[name]) for name, raw in editions.items()))
-
-
 def blank_to_null_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blank answers become missing ones."""
     columns = ["id_respondente", "idade", "genero", "cargo_atual", "lang_sql", "motivo_insatisfacao"]
-    return _mapped(spark, sf_dir).select(*(blank_to_null(c).alias(c) for c in columns))
+    return landing.answers(spark, sf_dir).select(*(blank_to_null(c).alias(c) for c in columns))
 
 
 def band_midpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Salary bands and their midpoints."""
     band = "faixa_salarial"
-    return _mapped(spark, sf_dir).select("id_respondente", band, midpoint(band).alias("faixa_salarial_media"))
+    return landing.answers(spark, sf_dir).select("id_respondente", band, midpoint(band).alias("faixa_salarial_media"))
 
 
 def truth_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixed spellings of yes and no."""
     raw = "satisfeito_empresa"
-    return _mapped(spark, sf_dir).select("id_respondente", F.col(raw).alias("resposta"), truth_label(raw).alias("satisfeito_empresa"))
+    return landing.answers(spark, sf_dir).select("id_respondente", F.col(raw).alias("resposta"), truth_label(raw).alias("satisfeito_empresa"))
 
 
 # Measures over the plain tables
@@ -139,7 +183,8 @@ def share_of_total_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def share_within_edition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of each supplier in the line items of each return flag."""
-    return share(table(spark, sf_dir, "lineitem"), "l_suppkey", within="l_returnflag")
+    shares = share(table(spark, sf_dir, "lineitem"), "l_suppkey", within="l_returnflag", groups=RETURN_FLAGS)
+    return ordered(shares, "l_returnflag", "-total", "l_suppkey")
 
 
 def avg_by_min_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,9 +200,10 @@ def avg_in_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def share_and_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share of each event type and mean of its positive values."""
+    """Share of each event type and mean of its values, as decimals so that every engine sums the same."""
     events = table(spark, sf_dir, "events")
-    return share_and_mean(events.select("event_type", F.when(F.col("value") > 5, F.floor("value")).alias("value")), "event_type", "value")
+    shares = share_and_mean(events.select("event_type", F.col("value").cast("decimal(18,6)").alias("value")), "event_type", "value")
+    return shares.withColumn("salario_medio", F.col("salario_medio").cast("double"))
 
 
 def _line_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,46 +262,77 @@ def _result(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All questions answered and exported as one batch; the rows each result came back with."""
-    folders = gold.export_gold(landing.silver(spark, sf_dir), landing.fresh_folder(spark, "gold"))
-    counts = (
-        read_result(spark, folder, gold.QUESTIONS[name].schema).agg(F.lit(name).alias("question"), F.count("*").alias("rows"))
-        for name, folder in folders.items()
-    )
-    return reduce(DataFrame.unionByName, counts)
+    """All questions answered and exported as one batch, then read back: every row with its position."""
+    folders = gold.export_gold(landing.silver(spark, sf_dir), landing.scratch_folder(spark, "gold"))
+    parts = []
+    for name, folder in folders.items():
+        question = gold.QUESTIONS[name]
+        result = numbered(read_result(spark, folder, question.schema), *question.order)
+        numbers = [c for c in ("total", "total_usuarios", "percentual", "salario_medio") if c in result.columns]
+        keys = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in question.columns if c not in numbers]
+        total = F.col("total_usuarios" if "total_usuarios" in numbers else "total")
+        absent = F.lit(None).cast("double")
+        parts.append(
+            result.select(
+                F.lit(name).alias("question"),
+                RANK,
+                F.concat_ws("|", *keys).alias("chave"),
+                total.alias("total"),
+                *(F.col(c) if c in numbers else absent.alias(c) for c in ("percentual", "salario_medio")),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _mart(name: str) -> Query:
     source, build = charts.CHARTS[name]
-    return lambda spark, sf_dir: build(_result(source, spark, sf_dir))
+    return lambda spark, sf_dir: charts.drawn(name, build(_result(source, spark, sf_dir)))
 
 
 def mart_work_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Work models by edition; the labels are known here, so no job has to look them up."""
-    return charts.work_models(_result("work_model_by_edition", spark, sf_dir), WORK_MODELS)
+    return charts.drawn("work_models", charts.work_models(_result("work_model_by_edition", spark, sf_dir), WORK_MODELS))
+
+
+def mart_work_model_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same when wording is folded before the question: folded labels stay as they are."""
+    folded = gold.answer("work_model_by_edition", gold.fold_answers(landing.silver(spark, sf_dir)), in_order=False)
+    return charts.drawn("work_models", charts.work_models(folded, WORK_MODELS))
 
 
 def mart_display_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Amount and count texts of the region and sector bars, and where their axes end."""
+    """Amount, count and share texts of the region and sector bars."""
     regions = charts.regions(_result("region_pay", spark, sf_dir))
     sectors = charts.sectors(_result("sector_share", spark, sf_dir))
     amounts = charts.with_amount_label(regions, "salario_medio").select(F.col("regiao_onde_mora").alias("barra"), "label")
     counts = charts.with_count_label(sectors, "total").select(F.col("setor").alias("barra"), "label")
     shares = charts.with_share_label(sectors).select(F.col("setor").alias("barra"), "label")
-    axes = [
-        charts.axis_limit(mart, name).select(F.lit(f"eixo {name}").alias("barra"), F.col("eixo_max").cast("string").alias("label"))
-        for name, mart in (("regions", regions), ("sectors", sectors))
-    ]
-    return reduce(DataFrame.unionByName, [amounts, counts, shares, *axes])
+    return reduce(DataFrame.unionByName, [amounts, counts, shares])
+
+
+def mart_axis_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the value axis of every mart ends."""
+    limits = []
+    for name in [*charts.AXES, "gender_stack"]:
+        source, build = charts.CHARTS[name]
+        result = _result(source, spark, sf_dir)
+        mart = charts.work_models(result, WORK_MODELS) if name == "work_models" else build(result)
+        limit = charts.axis_limit(mart, name)
+        limits.append(limit.select(F.lit(name).alias("mart"), charts.axis_text(F.col("eixo_max")).alias("eixo_max")))
+    return reduce(DataFrame.unionByName, limits)
 
 
 def all_queries() -> dict[str, Query]:
     plain = {
         "src_csv_multiline": src_csv_multiline,
+        "src_csv_drifting_files": src_csv_drifting_files,
+        "src_csv_split": src_csv_split,
         "sink_parquet_table": sink_parquet_table,
         "silver_ctas": silver_ctas,
         "silver_overwrite_idempotent": silver_overwrite_idempotent,
+        "silver_replace_fewer": silver_replace_fewer,
         "sink_csv_roundtrip": sink_csv_roundtrip,
+        "schema_lineage": schema_lineage,
         "schema_sanitize": schema_sanitize,
         "edition_map": edition_map,
         "edition_union": edition_union,
@@ -272,7 +349,9 @@ def all_queries() -> dict[str, Query]:
         "flag_adoption": flag_adoption_query,
         "gold_batch": gold_batch,
         "mart_work_model": mart_work_model,
+        "mart_work_model_folded": mart_work_model_folded,
         "mart_display_labels": mart_display_labels,
+        "mart_axis_limits": mart_axis_limits,
     }
     composites = {key: _gold(name) for key, name in QUESTION_NAMES.items()}
     marts = {key: _mart(name) for key, name in MART_QUERIES.items()}

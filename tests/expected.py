@@ -131,6 +131,88 @@ REGION_PAY = [
     ("Norte", 8831.65, 231),
 ]
 
+SECTOR_SHARE = [
+    ("Finanças ou Bancos", 3487, 19.8),
+    ("Tecnologia/Fábrica de Software", 3219, 18.3),
+    ("Área de Consultoria", 1417, 8.1),
+    ("Varejo", 1345, 7.6),
+    ("Outra Opção", 1263, 7.2),
+    ("Indústria", 1192, 6.8),
+    ("Educação", 775, 4.4),
+    ("Área da Saúde", 725, 4.1),
+    ("Setor Público", 626, 3.6),
+    ("Internet/Ecommerce", 516, 2.9),
+]
+
+COMPANY_SIZE_PAY = [
+    ("Acima de 3.000", 12320.93, 7808),
+    ("de 1.001 a 3.000", 11645.71, 1966),
+    ("de 501 a 1.000", 11269.28, 1676),
+    ("de 51 a 100", 10648.74, 1231),
+    ("de 101 a 500", 10533.44, 2944),
+    ("de 11 a 50", 10070.09, 1214),
+    ("de 6 a 10", 8990.43, 299),
+    ("de 1 a 5", 8633.13, 456),
+]
+
+SENIORITY_EDITION_PAY = [
+    ("Especialista/Staff+", "2025_2026", 20029.12, 349),
+    ("Júnior", "2023_2024", 3909.67, 2092),
+    ("Júnior", "2024_2025", 4157.74, 868),
+    ("Júnior", "2025_2026", 4152.99, 518),
+    ("Pleno", "2023_2024", 7539.65, 2784),
+    ("Pleno", "2024_2025", 8047.7, 1377),
+    ("Pleno", "2025_2026", 8301.4, 776),
+    ("Sênior", "2023_2024", 13669.27, 2838),
+    ("Sênior", "2024_2025", 14604.43, 1573),
+    ("Sênior", "2025_2026", 14470.18, 858),
+]
+
+ETHNICITY_BY_EDITION = [
+    ("2023_2024", "Branca", 6828, 64.5),
+    ("2023_2024", "Parda", 2562, 24.2),
+    ("2023_2024", "Preta", 774, 7.3),
+    ("2023_2024", "Amarela", 294, 2.8),
+    ("2023_2024", "Prefiro não informar", 68, 0.6),
+    ("2023_2024", "Outra", 36, 0.3),
+    ("2023_2024", "Indígena", 24, 0.2),
+    ("2024_2025", "Branca", 3478, 66.7),
+    ("2024_2025", "Parda", 1180, 22.6),
+    ("2024_2025", "Preta", 352, 6.7),
+    ("2024_2025", "Amarela", 155, 3.0),
+    ("2024_2025", "Prefiro não informar", 37, 0.7),
+    ("2024_2025", "Indígena", 10, 0.2),
+    ("2024_2025", "Outra", 5, 0.1),
+    ("2025_2026", "Branca", 2273, 65.1),
+    ("2025_2026", "Parda", 842, 24.1),
+    ("2025_2026", "Preta", 217, 6.2),
+    ("2025_2026", "Amarela", 117, 3.3),
+    ("2025_2026", "Prefiro não informar", 28, 0.8),
+    ("2025_2026", "Outra", 12, 0.3),
+    ("2025_2026", "Indígena", 4, 0.1),
+]
+
+ETHNICITY_SENIORITY_PAY = [
+    ("Especialista/Staff+", "Branca", 20498.41, 244),
+    ("Especialista/Staff+", "Preta", 19913.52, 23),
+    ("Especialista/Staff+", "Parda", 18298.99, 67),
+    ("Júnior", "Prefiro não informar", 5855.32, 31),
+    ("Júnior", "Amarela", 4701.53, 97),
+    ("Júnior", "Branca", 4048.69, 2116),
+    ("Júnior", "Parda", 3913.23, 934),
+    ("Júnior", "Preta", 3640.84, 285),
+    ("Pleno", "Prefiro não informar", 9611.61, 18),
+    ("Pleno", "Amarela", 9071.92, 133),
+    ("Pleno", "Branca", 7895.45, 3151),
+    ("Pleno", "Parda", 7669.93, 1266),
+    ("Pleno", "Preta", 6850.36, 353),
+    ("Sênior", "Prefiro não informar", 20307.27, 44),
+    ("Sênior", "Amarela", 14478.21, 157),
+    ("Sênior", "Branca", 14330.16, 3555),
+    ("Sênior", "Parda", 13404.19, 1163),
+    ("Sênior", "Preta", 12485.11, 325),
+]
+
 GOLD = {
     "role_share": ROLE_SHARE,
     "seniority_by_edition": SENIORITY_BY_EDITION,
@@ -142,4 +224,9 @@ GOLD = {
     "ai_priority": AI_PRIORITY,
     "technology_adoption": TECHNOLOGY_ADOPTION,
     "region_pay": REGION_PAY,
+    "sector_share": SECTOR_SHARE,
+    "company_size_pay": COMPANY_SIZE_PAY,
+    "seniority_edition_pay": SENIORITY_EDITION_PAY,
+    "ethnicity_by_edition": ETHNICITY_BY_EDITION,
+    "ethnicity_seniority_pay": ETHNICITY_SENIORITY_PAY,
 }

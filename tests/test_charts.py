@@ -84,6 +84,53 @@ def test_work_models_of_two_wordings_are_summed(spark):
     assert rows(charts.work_models(spark.createDataFrame(given, schema))) == [("x", 0.0, 15.5), ("y", 7.0, 0.0)]
 
 
+def test_work_models_that_are_folded_already_stay(spark):
+    schema = QUESTIONS["work_model_by_edition"].schema
+    given = spark.createDataFrame([("100% remoto", "x", 1, 10.0), ("100% presencial", "x", 2, 90.0)], schema)
+    assert rows(charts.work_models(given)) == [("x", 90.0, 10.0)]
+
+
+def test_a_work_model_that_is_not_listed_is_an_error(spark):
+    schema = QUESTIONS["work_model_by_edition"].schema
+    given = spark.createDataFrame([("100% remoto", "x", 1, 60.0), ("100% presencial", "x", 2, 40.0)], schema)
+    with pytest.raises(Exception, match="modelo_curto is not listed: 100% presencial"):
+        rows(charts.work_models(given, ["100% remoto"]))
+
+
+def test_marts_number_their_rows(gold):
+    marts = build_charts(gold)
+    for name, mart in marts.items():
+        positions = [row.posicao for row in mart.collect()]
+        forwards = list(range(1, len(positions) + 1))
+        assert positions == (forwards[::-1] if name in charts.BAR_MARTS else forwards), name
+    assert marts["top_roles"].collect()[-1].cargo_atual == "Analista de Dados/Data Analyst"
+    assert [row.genero for row in marts["gender_stack"].collect()[:4]] == list(charts.GENDER_ORDER)
+
+
+def test_axes_of_all_marts(gold, spark):
+    limits = {}
+    for name in [*charts.AXES, "gender_stack"]:
+        source, build = charts.CHARTS[name]
+        limit = axis_limit(build(gold[source]), name)
+        limits[name] = limit.select(charts.axis_text(limit.eixo_max)).first()[0]
+    assert limits == {
+        "top_roles": "4111.40",
+        "seniority_matrix": "51.50",
+        "sectors": "4254.14",
+        "work_models": "57.88",
+        "top_profiles": "36812.38",
+        "language_count": limits["language_count"],
+        "gender_gap": limits["gender_gap"],
+        "technologies": "13690.84",
+        "ai_priority": limits["ai_priority"],
+        "regions": "14923.95",
+        "gender_stack": "105.00",
+    }
+    wide = spark.createDataFrame([("x", 46_360_000.0, 1)], QUESTIONS["region_pay"].schema)
+    limit = axis_limit(charts.regions(wide), "regions")
+    assert limit.select(charts.axis_text(limit.eixo_max)).first()[0] == "57950000.00"
+
+
 def test_gender_matrix_and_stack(gold):
     assert rows(charts.gender_matrix(gold["gender_by_edition"]))[0] == ("2023_2024", 75.1, 24.4, 0.2, 0.3)
     stack = rows(charts.gender_stack(gold["gender_by_edition"]))
@@ -127,6 +174,7 @@ def test_a_missing_mean_shows_as_zero(spark):
 def test_bars_are_drawn_smallest_first(gold):
     assert rows(charts.technologies(gold["technology_adoption"])) == expected.TECHNOLOGY_ADOPTION[::-1]
     assert rows(charts.regions(gold["region_pay"])) == expected.REGION_PAY[::-1]
+    assert rows(charts.sectors(gold["sector_share"])) == expected.SECTOR_SHARE[::-1]
 
 
 def test_labels_and_axes(gold, spark):
@@ -142,9 +190,8 @@ def test_labels_and_axes(gold, spark):
 
 
 def test_optional_marts_may_lack_their_result(gold):
-    everything = gold | {"sector_share": gold["role_share"].withColumnRenamed("cargo_atual", "setor")}
-    assert list(build_charts(everything)) == list(CHARTS)
-    fewer = {k: v for k, v in everything.items() if k not in ("ai_priority", "seniority_by_edition")}
+    assert list(build_charts(gold)) == list(CHARTS)
+    fewer = {k: v for k, v in gold.items() if k not in ("ai_priority", "seniority_by_edition")}
     assert set(CHARTS) - set(build_charts(fewer)) == {"ai_priority", "seniority_matrix"}
     with pytest.raises(KeyError, match="regions"):
-        build_charts({k: v for k, v in everything.items() if k != "region_pay"})
+        build_charts({k: v for k, v in gold.items() if k != "region_pay"})

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import expected
 from tallyloom.operators.conform import SILVER_SCHEMA
-from tallyloom.plans.gold import QUESTIONS, answer, fold_answers
+from tallyloom.operators.measures import ordered
+from tallyloom.plans.gold import MIN_GROUP, QUESTIONS, answer, fold_answers
 
 
 def respondents(spark, columns, counted):
@@ -48,6 +49,7 @@ def test_wording_can_be_folded_before_the_cut(spark):
         ("seniority_by_edition", ["senioridade", "ano_pesquisa"]),
         ("work_model_by_edition", ["modelo_trabalho_atual", "ano_pesquisa"]),
         ("gender_by_edition", ["ano_pesquisa", "genero"]),
+        ("ethnicity_by_edition", ["ano_pesquisa", "cor_raca_etnia"]),
     ],
 )
 def test_shares_by_edition(spark, name, columns):
@@ -58,6 +60,28 @@ def test_shares_by_edition(spark, name, columns):
     assert result(name, silver) == published
 
 
+def test_sector_share(spark):
+    # 3025 respondents work in sectors below the cut.
+    others = [(f"setor raro {i:02d}", 55) for i in range(55)]
+    counted = [(sector, total) for sector, total, _ in expected.SECTOR_SHARE] + others
+    assert result("sector_share", respondents(spark, ["setor"], counted)) == expected.SECTOR_SHARE
+
+
+@pytest.mark.parametrize("name", ["company_size_pay", "seniority_edition_pay", "ethnicity_seniority_pay", "role_seniority_pay", "region_pay"])
+def test_published_pay_is_in_the_order_of_its_question(spark, name):
+    question, published = QUESTIONS[name], expected.GOLD[name]
+    shuffled = spark.createDataFrame(sorted(published, key=str, reverse=True), question.schema)
+    assert [tuple(row) for row in ordered(shuffled, *question.order).collect()] == published
+    totals = [row[question.columns.index("total")] for row in published]
+    assert min(totals) >= MIN_GROUP
+
+
+def test_an_edition_that_is_not_listed_is_an_error(spark):
+    silver = respondents(spark, ["senioridade", "ano_pesquisa"], [("Pleno", "1999_2000", 3), ("Pleno", "2023_2024", 3)])
+    with pytest.raises(Exception, match="ano_pesquisa is not listed: 1999_2000"):
+        result("seniority_by_edition", silver)
+
+
 def test_ai_priority_shares(spark):
     counted = [row[:2] for row in expected.AI_PRIORITY]
     rows = result("ai_priority", respondents(spark, ["ia_prioridade_empresa"], counted))

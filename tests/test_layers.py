@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 import pytest
 
 from survey_fixture import RESPONDENTS, write_all, write_raw
@@ -9,13 +12,13 @@ from tallyloom.__main__ import main
 from tallyloom.catalog.answers import SALARY_MIDPOINTS
 from tallyloom.catalog.editions import RAW_COLUMNS, SILVER_COLUMNS
 from tallyloom.functions import midpoint
-from tallyloom.operators.conform import conform_edition, resolve_columns, unify
-from tallyloom.operators.headers import clean_name
+from tallyloom.operators.conform import conform_edition, map_edition, resolve_columns, unify
+from tallyloom.operators.headers import clean_name, column_lineage, sanitize_columns
 from tallyloom.operators.quality import edition_rules, quality_report, require_passed
 from tallyloom.plans.bronze import land_edition
 from tallyloom.plans.gold import QUESTIONS
 from tallyloom.plans.run import read_gold, run_bronze, run_charts, run_gold, run_silver
-from tallyloom.plans.silver import create_silver, read_silver, refresh_edition, refresh_silver
+from tallyloom.plans.silver import create_silver, open_silver, read_silver, refresh_edition, refresh_silver
 from tallyloom.sources.survey_csv import read_survey_csv
 
 
@@ -87,7 +90,10 @@ def test_landing_keeps_raw_names_or_cleans_them(spark, tmp_path):
     raw_names = list(RAW_COLUMNS["2023_2024"].values())
     assert landed.columns[: len(raw_names)] == raw_names
     assert spark.catalog.tableExists("bronze_raw_names")
-    assert [tuple(r) for r in report.collect()] == [("bronze_raw_names", "column_count", len(landed.columns), True)]
+    assert sorted(tuple(r) for r in report.collect()) == [
+        ("bronze_raw_names", "column_count", len(landed.columns), True),
+        ("bronze_raw_names", "header_variants", 1, True),
+    ]
 
     cleaned, _ = land_edition(spark, folder, "bronze_clean_names", str(tmp_path / "b"), clean_names=True)
     assert cleaned.columns[: len(raw_names)] == [clean_name(name) for name in raw_names]
@@ -127,16 +133,75 @@ def test_gate_stops_landing(spark, tmp_path):
     assert run_bronze(spark, folders, str(tmp_path / "w")).where("not passed").count() == 1
 
 
+def test_a_failing_edition_leaves_earlier_tables_and_a_report(spark, tmp_path):
+    warehouse = str(tmp_path / "w")
+    good = {"2024_2025": write_raw(str(tmp_path / "good"), "2024_2025"), "2025_2026": write_raw(str(tmp_path / "good"), "2025_2026")}
+    run_bronze(spark, good, warehouse, gate=True)
+    doubled = dict(good)
+    write_raw(str(tmp_path / "good"), "2024_2025", "part/copy.csv")
+    write_raw(str(tmp_path / "good"), "2025_2026", "part/copy.csv")
+    with pytest.raises(ValueError, match="2024_2025/duplicate_ids=2.*2025_2026/duplicate_ids=3"):
+        run_bronze(spark, doubled, warehouse, gate=True)
+    report = spark.read.csv(f"{warehouse}/quality", header=True)
+    assert report.where("passed = 'false'").count() == 2
+    assert spark.table("bronze_survey_2024_2025").count() == 2 and spark.table("bronze_survey_2025_2026").count() == 3
+    assert len(list((tmp_path / "w/bronze/2024_2025").glob("build-*"))) == 1
+    run_bronze(spark, doubled, warehouse, gate=True, dedupe=True)
+    assert spark.table("bronze_survey_2024_2025").count() == 2
+
+
+def test_files_of_an_edition_that_drift_are_reported(spark, tmp_path):
+    folder = write_raw(str(tmp_path), "2024_2025")
+    with pytest.raises(ValueError, match="headers differ"):  # the fixture's doubled header is then unclear
+        (tmp_path / "2024_2025/part/more.csv").write_text("0.a_token\nz\n")
+        land_edition(spark, folder, "bronze_drift", str(tmp_path / "l"))
+    for path in (tmp_path / "2024_2025/part").glob("*.csv"):
+        path.write_text(path.read_text().replace("9.z_outra_pergunta,9.z_outra_pergunta", "9.y,9.z", 1))
+    landed, report = land_edition(spark, folder, "bronze_drift", str(tmp_path / "l"))
+    assert landed.count() == 3 and {r.rule: r.observed for r in report.collect()}["header_variants"] == 2
+
+
+def test_cleaned_columns_remember_their_raw_names(spark, tmp_path):
+    df = spark.createDataFrame([("other", "right", "x")], "`2.b-setor` string, `2.b_setor` string, id string")
+    cleaned = sanitize_columns(df)
+    assert column_lineage(cleaned.schema) == [(0, "2.b-setor", "2_b_setor"), (1, "2.b_setor", "2_b_setor_1"), (2, "id", "id")]
+    cleaned.write.parquet(str(tmp_path / "p"))
+    for frame in (cleaned, spark.read.parquet(str(tmp_path / "p"))):
+        assert resolve_columns(frame.schema, {"setor": "2.b_setor"}) == {"setor": "2_b_setor_1"}
+        assert map_edition(frame, {"setor": "2.b_setor"}).first().setor == "right"
+    with pytest.raises(ValueError, match="2_b_setor_1"):
+        resolve_columns(cleaned.columns, {"setor": "2.b_setor"})
+
+
+def test_catalog_meets_the_fixture_table():
+    """The table of fixtures was taken from the survey's own mapping, the catalog was typed."""
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "FIXTURES.md")
+    rows = [line.strip().strip("|").split(" | ") for line in open(path, encoding="utf-8") if re.match(r"\| \d+ \| `", line)]
+    mapped = {row[1].strip(" `"): [cell.strip(" `") for cell in row[2:5]] for row in rows if len(row) == 6}
+    mapped = {name: raw for name, raw in mapped.items() if name in RAW_COLUMNS["2023_2024"]}
+    assert len(mapped) == 34
+    for number, edition in enumerate(RAW_COLUMNS):
+        assert {name: raw[number] for name, raw in mapped.items()} == dict(RAW_COLUMNS[edition])
+
+
 def test_silver_is_replaced_as_a_whole_or_by_edition(spark, raw, tmp_path):
     location = str(tmp_path / "silver")
-    table = create_silver(raw, "silver_replaced", location)
-    assert table.count() == 7 and tuple(table.columns) == SILVER_COLUMNS
+    refresh_silver(raw, location)
     refresh_edition(raw["2024_2025"].limit(1), "2024_2025", location)
     refresh_silver({"2025_2026": raw["2025_2026"]}, location)
     counts = dict(read_silver(spark, location).groupBy("ano_pesquisa").count().collect())
     assert counts == {"2023_2024": 2, "2024_2025": 1, "2025_2026": 3}
-    fewer = create_silver({"2025_2026": raw["2025_2026"]}, "silver_replaced", location)
+
+    root = str(tmp_path / "built")
+    table = create_silver(raw, "silver_replaced", root)
+    assert table.count() == 7 and tuple(table.columns) == SILVER_COLUMNS
+    fewer = create_silver({"2025_2026": raw["2025_2026"]}, "silver_replaced", root)
     assert fewer.count() == 3 and spark.table("silver_replaced").count() == 3
+    assert len(list((tmp_path / "built").glob("build-*"))) == 1
+    spark.sql("drop table silver_replaced")  # as in a later session, whose catalog is empty
+    assert open_silver(spark, "silver_replaced", root).count() == 3
+    with pytest.raises(FileNotFoundError):
+        open_silver(spark, "silver_replaced", str(tmp_path / "nowhere"))
 
 
 def test_whole_flow(spark, tmp_path):

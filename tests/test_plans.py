@@ -8,10 +8,12 @@ import pytest
 
 from survey_fixture import RESPONDENTS, write_all
 from tallyloom.operators.conform import conform_edition
+from tallyloom.plans.charts import CHARTS, work_models
 from tallyloom.plans.gold import QUESTIONS, answer
 from tallyloom.plans.silver import refresh_edition
 from tallyloom.sources.survey_csv import read_survey_csv
 from tallyloom.standin import landing
+from tallyloom.standin.queries import dq_report
 
 JVM_COMPILES_UP_TO = 8000  # bytes of bytecode in one method
 
@@ -21,6 +23,16 @@ def final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
 
 
+def scans(df) -> int:
+    """Table scans of a plan; what it uses again is in it once."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.select("*")._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 @pytest.fixture(scope="module")
 def silver(spark, sf_dir):
     return landing.silver(spark, sf_dir)
@@ -42,6 +54,37 @@ def test_adoption_of_all_technologies_is_one_scan(silver):
     assert plan.count("FileScan parquet") == 1 and "partial_sum" in plan
 
 
+@pytest.mark.parametrize("name", QUESTIONS)
+def test_every_question_scans_once(silver, name):
+    assert scans(answer(name, silver)) == 1
+
+
+@pytest.mark.parametrize("name", CHARTS)
+def test_every_mart_scans_once(silver, name):
+    source, build = CHARTS[name]
+    labels = ["100% presencial", "100% remoto", "Modelo híbrido com dias fixos ...", "Modelo híbrido flexível (o fun..."]
+    result = answer(source, silver, in_order=False)
+    assert scans(work_models(result, labels) if name == "work_models" else build(result)) == 1
+
+
+def test_counted_rows_are_never_dealt_by_the_edition_alone(spark, silver):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = answer("ethnicity_by_edition", silver, in_order=False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    dealt = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\((_within|ano_pesquisa)#\d+, \d+\)", line)]
+    assert len(dealt) == 1  # the wholes' own partial sums, a row per task and edition
+
+
+def test_the_quality_report_scans_once(spark, sf_dir):
+    plan = final_plan(dq_report(spark, sf_dir))
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+
+
 @pytest.mark.parametrize("name", ["role_share", "sector_share", "ai_priority", "seniority_by_edition", "gender_by_edition"])
 def test_a_share_scans_once_and_gathers_nothing_in_a_window(silver, name):
     df = answer(name, silver)

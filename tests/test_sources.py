@@ -6,8 +6,8 @@ import pytest
 
 from tallyloom.session import run_together, shared_dir
 from tallyloom.sources.results import read_result, write_result
-from tallyloom.sources.survey_csv import read_survey_csv, write_survey_csv
-from tallyloom.sources.tables import if_present, save_table
+from tallyloom.sources.survey_csv import header_drift, read_survey_csv, survey_files, write_survey_csv
+from tallyloom.sources.tables import new_build, publish, published, register_folder, save_table
 
 TEXTS = ["plain", "two\nlines", 'a "quoted" word', 'ends with "x"', " blanks kept ", "comma, and\r\nreturn", "back\\slash", 'mix "",\n" end']
 
@@ -71,6 +71,54 @@ def test_the_last_header_keeps_no_carriage_return(spark, tmp_path):
     assert list(map(tuple, read.collect())) == [("1", "2", "3"), ("4", "5", None)]
 
 
+@pytest.mark.parametrize("record_end", [None, "\n"])
+def test_files_are_read_each_under_its_own_header(spark, tmp_path, record_end):
+    for name, body in {"a.csv": "id,sql,r\n1,S1,R1\n", "b.csv": "id,r,sql\n2,R2,S2\n", "c/c.csv": "sql,id\nS3,3\n", "d.csv": "id,r,sql,extra\n4,R4,S4,E4\n"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(body)
+    (tmp_path / "empty.csv").write_text("")
+    read = read_survey_csv(spark, str(tmp_path), record_end)
+    got = sorted(tuple(row[c] for c in ("id", "sql", "r", "extra")) for row in read.collect())
+    assert got == [("1", "S1", "R1", None), ("2", "S2", "R2", None), ("3", "S3", None, None), ("4", "S4", "R4", "E4")]
+    drift = header_drift(survey_files(spark, str(tmp_path)))
+    assert sorted(map(sorted, drift.values())) == [[], ["extra"], ["extra"], ["extra", "r"]]
+
+
+@pytest.mark.parametrize("record_end", [None, "\n"])
+@pytest.mark.parametrize("body", ["id,a,b\n1,A,B\n2,A,B,LOST\n", "id,a,b\n1,A\n"])
+def test_a_ragged_record_fails(spark, tmp_path, body, record_end):
+    (tmp_path / "d.csv").write_text(body)
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_survey_csv(spark, str(tmp_path), record_end).select("id").collect()
+
+
+@pytest.mark.parametrize("body", ["a,a\n1,2\n", "a,A\n1,2\n", "a,\n1,2\n"])
+def test_names_that_are_not_their_own_fail_where_headers_differ(spark, tmp_path, body):
+    (tmp_path / "d.csv").write_text(body)
+    (tmp_path / "e.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="headers differ"):
+        read_survey_csv(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_a_carriage_return_in_an_answer_stays(spark, tmp_path, end):
+    (tmp_path / "d.csv").write_bytes(f'id,text{end}1,"abc\r"{end}2,"x\r\ny"{end}3,plain{end}'.encode())
+    assert [row.text for row in read_survey_csv(spark, str(tmp_path)).orderBy("id").collect()] == ["abc\r", "x\r\ny", "plain"]
+
+
+def test_record_ends_that_are_not_the_promised_ones_fail(spark, tmp_path):
+    (tmp_path / "d.csv").write_bytes(b"a,b\r\n1,2\r\n")
+    with pytest.raises(ValueError, match="records do not end"):
+        read_survey_csv(spark, str(tmp_path), record_end="\n")
+    (tmp_path / "d.csv").write_bytes(b"a,b\r\n1,2\n3,4\r\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_survey_csv(spark, str(tmp_path)).collect()
+    with pytest.raises(ValueError, match="no file"):
+        (tmp_path / "none").mkdir()
+        (tmp_path / "none" / "e.csv").write_text("")
+        read_survey_csv(spark, str(tmp_path / "none"))
+
+
 @pytest.mark.parametrize("rows", [[("1", "a\nb", "c")], [("1", "a", "b\nc")], [("1\n2", "a", "b")]])
 def test_a_record_that_spans_lines_is_never_cut_silently(spark, tmp_path, rows):
     _export(tmp_path / "d.csv", [("x", "y", "z"), *rows], "\n")
@@ -99,10 +147,16 @@ def test_table_with_odd_names_is_replaced(spark, tmp_path):
     assert list((tmp_path / "t").glob("*.snappy.parquet"))
 
 
-def test_missing_table_is_skipped(spark):
-    assert if_present(spark, "no_such_table", lambda df: df) is None
-    save_table(spark.range(2), "there")
-    assert if_present(spark, "there", lambda df: df).count() == 2
+def test_a_build_is_present_once_it_is_published(spark, tmp_path):
+    root = str(tmp_path / "t")
+    assert published(spark, root) is None
+    for count in (3, 2):
+        build = new_build(root)
+        spark.range(count).write.parquet(build)
+        publish(spark, root, build, ["x", "y"])
+        assert published(spark, root) == (build, ["x", "y"])
+        assert register_folder(spark, "built_table", build).count() == count
+    assert [p.name for p in (tmp_path / "t").glob("build-*")] == [build.rsplit("/", 1)[1]]
 
 
 def test_shared_folder_comes_from_the_session(spark):
