@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import string
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from functools import lru_cache
 
+import tallyloom
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,11 +33,47 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with a function of this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
+def ship(spark: SparkSession) -> None:
+    """Lets the executors' Python import this package, also where it is not installed on them."""
+    _shipped(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _shipped(application_id: str) -> None:
+    top = os.path.dirname(os.path.abspath(tallyloom.__file__))
+    # The driver hands this file to the executors; none of them reads the folder.
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallyloom-code-"), "tallyloom-code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(top)))
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that ``df`` does not have."""
+    taken = {column.lower() for column in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

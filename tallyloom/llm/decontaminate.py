@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import read
+from tallyloom.llm.common import mapped, read
 
 Q = 8
 SEGMENT = 96
@@ -134,8 +134,8 @@ def regions(codes: np.ndarray, index: Index, q: int = Q) -> tuple[np.ndarray, np
     entry = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
     segment = index.segment[entry]
     width = 2 * index.edits[segment] + 1
-    band = (np.repeat(where, count) - index.at[entry] + index.starts[-1]) // width  # moved up: a diagonal may be negative
-    span = len(codes) + index.starts[-1] + 2
+    band = (np.repeat(where, count) - index.at[entry] + index.starts[-1]) // width + 1  # moved up: a diagonal may be negative
+    span = len(codes) + index.starts[-1] + 3
     code = np.concatenate([segment * span + band, segment * span + band - 1])  # band b holds the diagonals of b and b + 1
     code.sort()
     first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
@@ -144,7 +144,7 @@ def regions(codes: np.ndarray, index: Index, q: int = Q) -> tuple[np.ndarray, np
     segment = code // span
     enough = seen >= index.least[segment]
     segment, band = segment[enough], code[enough] % span
-    return segment, band * (2 * index.edits[segment] + 1) - index.starts[-1]
+    return segment, (band - 1) * (2 * index.edits[segment] + 1) - index.starts[-1]
 
 
 def align(codes: np.ndarray, index: Index, segment: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -229,7 +229,7 @@ def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float =
     schema = "doc_id bigint, item_id bigint, found double, edits bigint, first bigint, last bigint"
     names = [column.split()[0] for column in schema.split(", ")]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    return rows.mapInArrow(batches, schema)
+    return mapped(rows, batches, schema)
 
 
 def blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import ascii_lower, read, text_or_empty
+from tallyloom.llm.common import ascii_lower, free_names, read, stored, text_or_empty
 
 SALTS = 16
 
@@ -42,12 +42,12 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """The rows that stay, with all their columns; of repeated rows of one id and text any one stays."""
-    kept = exact_groups(docs, salts).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n"))
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("n").alias("__n"))
-    sha = F.sha2(ascii_lower(text_or_empty()), 256)
-    rows = docs.withColumn("__of", sha).join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__sha")))
-    once = rows.filter("__n = 1")
-    repeated = rows.filter("__n > 1").dropDuplicates(["__id", "__sha"])
+    of, by_id, by_sha, times = free_names(docs, "__of", "__id", "__sha", "__times")
+    kept = exact_groups(docs, salts).filter("kept").groupBy(F.col("doc_id").alias(by_id), F.col("text_sha256").alias(by_sha)).agg(F.count("*").alias(times))
+    rows = docs.withColumn(of, F.sha2(ascii_lower(text_or_empty()), 256))
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col(by_id)) & (F.col(of) == F.col(by_sha)))
+    once = rows.filter(F.col(times) == 1)
+    repeated = rows.filter(F.col(times) > 1).dropDuplicates([by_id, by_sha])
     return once.unionByName(repeated).select(*docs.columns)
 
 

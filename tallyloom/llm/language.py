@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import held_out, read
+from tallyloom.llm.common import held_out, mapped, read
 
 UNKNOWN = "und"
 WINDOW = 64
@@ -232,7 +232,7 @@ def training_sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, wind
                 parts.append([data[s : s + WINDOW] for s in sorted(set(starts.tolist()))])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.list_(pa.binary()))], ["lang", "order", "parts"])
 
-    rows = drawn.select("lang", "order", "text").mapInArrow(spread, "lang string, order bigint, parts array<binary>").collect()
+    rows = mapped(drawn.select("lang", "order", "text"), spread, "lang string, order bigint, parts array<binary>").collect()
     found: tuple[list[bytes], list[str]] = ([], [])
     taken: dict[str, int] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["order"], [bytes(p) for p in r["parts"]])):
@@ -301,7 +301,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids, pa.array(names, pa.string()), pa.array(np.clip(score, 0.0, 1.0))], ["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(batches, "doc_id bigint, lang_pred string, score double")
+    return mapped(rows, batches, "doc_id bigint, lang_pred string, score double")
 
 
 def learn_and_identify(docs: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import read, stored
+from tallyloom.llm.common import mapped, read, ship, stored
 from tallyloom.llm.tokens import encoder
 
 CAPACITY = 4096
@@ -65,7 +65,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     names = [column.split()[0] for column in schema.split(", ")]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    return rows.mapInArrow(cut, schema)
+    return mapped(rows, cut, schema)
 
 
 def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
@@ -152,6 +152,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         own = own.select(names).append_column("sequence_id", pa.array(sequence))
         return own.append_column("offset", pa.array(goes["offset"].to_numpy()[k]))
 
+    ship(spark)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema) + ", sequence_id bigint, offset bigint"
     return placed.groupBy("__part").cogroup(stretches.groupBy("__part")).applyInArrow(place, schema)
 

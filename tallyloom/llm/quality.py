@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import held_out, read, stored
+from tallyloom.llm.common import held_out, mapped, read, stored
 
 POOLED = 0.1
 IDENTITY = 0.01
@@ -98,7 +98,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "x"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(measured, "doc_id bigint, x array<double>")
+    return mapped(rows, measured, "doc_id bigint, x array<double>")
 
 
 @dataclass(frozen=True)
@@ -168,7 +168,7 @@ def fit(measured: DataFrame, labels: DataFrame, pooled: float = POOLED, identity
             places = pa.array(np.arange(len(held), dtype=np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(held), k, dtype=np.int32)), places, pa.array(held)], ["label", "at", "v"])
 
-    parts = rows.mapInArrow(sums, "label int, at int, v double").groupBy("label", "at").agg(F.sum("v").alias("v"))
+    parts = mapped(rows, sums, "label int, at int, v double").groupBy("label", "at").agg(F.sum("v").alias("v"))
     table = np.zeros((2, 1 + d + d * d))
     for row in parts.collect():  # as many rows as the model has numbers
         table[row["label"], row["at"]] = row["v"]
@@ -184,7 +184,7 @@ def score(measured: DataFrame, model: Discriminant) -> DataFrame:
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(x))], ["doc_id", "score"])
 
-    rows = measured.mapInArrow(scored, "doc_id bigint, score double")
+    rows = mapped(measured, scored, "doc_id bigint, score double")
     return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import read, stored
+from tallyloom.llm.common import mapped, read, ship, stored
 
 BITS = 64
 SHINGLE_WORDS = 3
@@ -59,7 +59,7 @@ def with_fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(marked, "doc_id bigint, fp bigint")
+    return mapped(rows, marked, "doc_id bigint, fp bigint")
 
 
 def covering_masks(radius: int, bits: int = BITS, seed: int = 7) -> list[int]:
@@ -132,6 +132,7 @@ def _linked(rows: DataFrame, keys: list[str], radius: int) -> DataFrame:
         if held is not None and len(held):
             yield links(held["rep"].to_numpy(), held["fp"].to_numpy().view(np.uint64), np.array([], dtype=int))
 
+    ship(rows.sparkSession)
     dealt = rows.select(*keys, "rep", "fp").repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInPandas(batches, "a bigint, b bigint")
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import read, scratch, stored
+from tallyloom.llm.common import read, scratch, ship, stored
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -178,6 +178,7 @@ def read_records(spark: SparkSession, folder: str, with_payload: bool = True, ro
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
+    ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
     return files.select("content").mapInPandas(parse, RECORDS)
 
