@@ -31,17 +31,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import read, scratch, stored
+from tallyloom.llm.common import mapped, read, scratch, ship, stored
 
 LENGTH = 50
 GRAM = 20
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 #: Different texts around one anchor from which its strings are dealt out one by one.
 HOT = 1_024
 #: An aim for the text that one sorting task gets, and the least number of such tasks.
 BUCKET_BYTES = 8_000_000
 LEAST_BUCKETS = 64
 ROWS_AT_ONCE = 1 << 14
+#: Texts that are sorted at once, but for those of one anchor.
+TEXTS_AT_ONCE = 1 << 14
 #: Stands for a missing id: larger than any, so such a document removes nothing.
 NO_ID = np.iinfo(np.int64).max
 
@@ -81,6 +83,14 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((key >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Where each run of equal values begins and ends."""
+    if not len(values):
+        return []
+    bounds = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return list(zip(bounds[:-1], bounds[1:], strict=True))
+
+
 class Hashes:
     """Polynomial hashes of every prefix of a text, and so of every part of it in constant time."""
 
@@ -256,7 +266,7 @@ def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             yield block()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(laid, "block bigint, ids binary, missing binary, ends binary, data binary, size bigint")
+    return mapped(rows, laid, "block bigint, ids binary, missing binary, ends binary, data binary, size bigint")
 
 
 @dataclass
@@ -308,7 +318,8 @@ class Block:
             first = bounds[:-1][inside]
             strings = np.diff(bounds)[inside]
             doc = np.searchsorted(stops, first, "right")
-            key = grams[(least[first] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)] >> KEY_SHIFT
+            # Least hashes are small ones; mixed again they are spread over all buckets.
+            key = _mix(grams[(least[first] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)]) >> KEY_SHIFT
         numbers = np.frombuffer(ids, dtype=np.int64)
         gone = np.frombuffer(missing, dtype=bool)
         return cls(np.where(gone, NO_ID, numbers), gone, stops, text, hashes, first, strings, doc, key)
@@ -380,19 +391,18 @@ def tell_anchors(blocks: DataFrame, buckets: int) -> DataFrame:
             for number, block in _blocks_of(batch):
                 key, texts, several = block.anchors()
                 bucket = _bucket(key, buckets)
-                cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(key) else np.empty(0, np.int64)
                 # Six planes of a byte: in order, the leading ones are almost constant.
                 planes = key.view(np.uint8).reshape(-1, 8)[:, :6]
                 texts = np.minimum(texts, 0xFFFF).astype(np.uint16)
                 rows = [
                     (number, int(bucket[a]), _pack(planes[a:b].T), texts[a:b].tobytes(), np.packbits(several[a:b]).tobytes())
-                    for a, b in zip(cuts, [*cuts[1:], len(key)], strict=True)
+                    for a, b in _runs(bucket)
                 ]
                 if rows:
                     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["block", "bucket", "keys", "texts", "several"])
 
-    return blocks.mapInArrow(told, "block bigint, bucket bigint, keys binary, texts binary, several binary")
+    return mapped(blocks, told, "block bigint, bucket bigint, keys binary, texts binary, several binary")
 
 
 def meet_anchors(told: DataFrame, hot: int = HOT) -> DataFrame:
@@ -418,8 +428,7 @@ def meet_anchors(told: DataFrame, hot: int = HOT) -> DataFrame:
         code = np.where(shared, np.where(total > hot, 2, 1), 0).astype(np.uint8)
         back = np.empty(len(key), dtype=np.uint8)
         back[order] = np.repeat(code, count)
-        cuts = np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]]))
-        out = [_pack(part) for part in np.split(back, cuts[1:])]
+        out = [_pack(back[a:b]) for a, b in _runs(owners)]
         return pa.table({"block": pa.array(blocks, pa.int64()), "bucket": pa.array(_column(table, "bucket"), pa.int64()), "codes": pa.array(out, pa.binary())})
 
     return told.groupBy("bucket").applyInArrow(met, "block bigint, bucket bigint, codes binary")
@@ -440,8 +449,7 @@ def send_texts(blocks: DataFrame, codes: DataFrame, buckets: int) -> DataFrame:
             start, strings, key = items.start[items.opens], items.strings[items.opens], items.key[items.opens]
             ids, length = block.ids[items.doc[items.opens]], strings + LENGTH - 1
             bucket = _bucket(key, buckets)
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(key) else np.empty(0, np.int64)
-            for a, b in zip(cuts, [*cuts[1:], len(key)], strict=True):
+            for a, b in _runs(bucket):
                 data = block.data[_ranges(start[a:b], length[a:b])]
                 rows.append((number, int(bucket[a]), int(a), _pack(key[a:b]), _pack(ids[a:b]), length[a:b].astype(np.uint8).tobytes(), _pack(data)))
         columns = list(zip(*rows, strict=True)) or [[]] * 7
@@ -452,23 +460,20 @@ def send_texts(blocks: DataFrame, codes: DataFrame, buckets: int) -> DataFrame:
     return blocks.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(sent, schema)
 
 
-def smallest(key: np.ndarray, ids: np.ndarray, length: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every text the offset of its strings in the second result: the smallest id that has each string."""
+def smallest(key: np.ndarray, ids: np.ndarray, length: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """The smallest id that has each string, text by text; keys are ascending, texts lie end to end."""
     strings = length - LENGTH + 1
     offset = np.concatenate([[0], np.cumsum(strings)])
-    out = np.repeat(ids, strings)
-    order = np.argsort(key, kind="stable")
-    start = np.concatenate([[0], np.cumsum(length)[:-1]]).astype(np.int64)
+    out = np.empty(offset[-1], dtype=np.int64)
+    start = np.cumsum(length) - length
     hashes = Hashes(data)
-    texts = Suffixes(data, hashes, start[order], length[order])
-    group = key[order]
-    sorted_ = texts.sort(group)
-    same = texts.equal_neighbours(sorted_, group)
+    texts = Suffixes(data, hashes, start, length)
+    member = texts.sort(key)
+    same = texts.equal_neighbours(member, key)
     opens = np.flatnonzero(~same)
-    least = np.minimum.reduceat(ids[order][sorted_], opens)
+    least = np.minimum.reduceat(ids[member], opens)
     class_of = np.cumsum(~same) - 1
-    member = order[sorted_]  # texts as they came, in sorted order
-    class_key = group[sorted_[opens]]
+    class_key = key[member[opens]]
     out[_ranges(offset[member], strings[member])] = np.repeat(least[class_of], strings[member])
 
     # Anchors with more than one text: the suffixes within them, from string to string.
@@ -491,7 +496,7 @@ def smallest(key: np.ndarray, ids: np.ndarray, length: np.ndarray, data: np.ndar
         rows = np.flatnonzero(place[class_of] >= 0)
         texts_at = member[rows]
         out[_ranges(offset[texts_at], strings[texts_at])] = per[_ranges(place[class_of[rows]], strings[texts_at])]
-    return offset, out
+    return out
 
 
 def meet_texts(sent: DataFrame) -> DataFrame:
@@ -504,9 +509,19 @@ def meet_texts(sent: DataFrame) -> DataFrame:
         lengths = [np.frombuffer(x, dtype=np.uint8).astype(np.int64) for x in _column(table, "lengths")]
         data = np.concatenate([_unpack(x, np.uint8) for x in _column(table, "data")])
         sizes = np.array([len(x) for x in keys])
-        own, length = np.concatenate(ids), np.concatenate(lengths)
-        offset, least = smallest(np.concatenate(keys), own, length, data)
+        key, own, length = np.concatenate(keys), np.concatenate(ids), np.concatenate(lengths)
+        start = np.cumsum(length) - length
         strings = length - LENGTH + 1
+        offset = np.concatenate([[0], np.cumsum(strings)])
+        least = np.empty(offset[-1], dtype=np.int64)
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+        a = 0
+        while a < len(order):
+            b = min(a + TEXTS_AT_ONCE, len(order))
+            b = int(np.searchsorted(ordered, ordered[b - 1], "right"))
+            part, a = order[a:b], b
+            least[_ranges(offset[part], strings[part])] = smallest(key[part], own[part], length[part], data[_ranges(start[part], length[part])])
         better = np.logical_or.reduceat(least < np.repeat(own, strings), offset[:-1])
         rows, low = [], 0
         for block, first, n in zip(blocks, firsts, sizes, strict=True):
@@ -560,6 +575,7 @@ def without_repeats(docs: DataFrame, hot: int = HOT, block_bytes: int = BLOCK_BY
     any other document has. Rows that share an id remove nothing from each other. Other columns are ignored.
     """
     spark = docs.sparkSession
+    ship(spark)
     folder = scratch(spark, "blocks")
     name = f"llm_blocks_{folder.rsplit('-', 1)[1]}"
     laid = to_blocks(docs, block_bytes)
