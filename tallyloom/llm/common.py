@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import io
 import os
 import string
-import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable
-from functools import lru_cache
 
-import tallyloom
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tallyloom
 from tallyloom.session import shared_dir
 
+_shipped: set[str] = set()
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -40,22 +41,27 @@ def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Lets the executors' Python import this package, also where it is not installed on them."""
-    _shipped(spark.sparkContext.applicationId)
-
+    """Lets the executors' Python import this package, also where it is not installed on them.
 
-@lru_cache(maxsize=None)
-def _shipped(application_id: str) -> None:
+    The code goes into the shared folder once per application, and from there to the executors.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
     top = os.path.dirname(os.path.abspath(tallyloom.__file__))
-    # The driver hands this file to the executors; none of them reads the folder.
-    archive = os.path.join(tempfile.mkdtemp(prefix="tallyloom-code-"), "tallyloom-code.zip")
-    with zipfile.ZipFile(archive, "w") as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
         for folder, _, names in os.walk(top):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.relpath(path, os.path.dirname(top)))
-    SparkSession.active().sparkContext.addPyFile(archive)
+            for name in (n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(top)))
+    target = f"{scratch(spark, 'code')}/tallyloom-code.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    stream.write(packed.getvalue())
+    stream.close()
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)
 
 
 def ascii_lower(text: Column) -> Column:
