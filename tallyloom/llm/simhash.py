@@ -190,6 +190,8 @@ def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIU
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("rep")).filter("rep is not null")
     roots = components(near_links(classes, radius, bucket_rows))
     named = classes.join(roots, classes["rep"] == roots["node"], "left").select(F.col("fp").alias("__fp"), F.coalesce("root", "rep").alias("component_id"))
+    # Written first: a fingerprint of many documents then meets its component in a join whose skew Spark can split.
+    named = stored(named, "component-names")
     out = marked.join(named, marked["fp"] == named["__fp"], "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
