@@ -8,7 +8,8 @@ share a passage stand together; what the hashes call equal is verified byte by b
 Not every suffix has to be sorted in one place. Every string of ``LENGTH`` bytes has an anchor, the
 least of the hashes of its ``GRAM``-byte parts, and equal strings have equal anchors at equal distances:
 
-1. Documents are laid in blocks, written once as a table that is bucketed by block.
+1. Documents are laid in blocks, written once as a table whose buckets hold neighbouring blocks, so that what is told
+   to a block later reaches it without the texts being dealt out again.
 2. Every block tells the anchors it holds; an anchor that only one document holds in the whole corpus is done with.
 3. For the others a block sends the text around the anchor, once for each different text. Texts of one
    anchor meet in one task, which sorts them, merges equal ones, and sorts the suffixes within those
@@ -36,6 +37,8 @@ from tallyloom.llm.common import mapped, read, scratch, ship, stored
 LENGTH = 50
 GRAM = 20
 BLOCK_BYTES = 1_000_000
+#: Consecutive blocks of a task that are kept together, in one bucket of the table, so that a task writes few files.
+SHELF_BITS = 5
 #: Different texts around one anchor from which its strings are dealt out one by one.
 HOT = 1_024
 #: An aim for the text that one sorting task gets, and the least number of such tasks.
@@ -139,17 +142,23 @@ class Suffixes:
 
     def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """How many leading bytes parts ``i`` and ``j`` share, by binary search over their hashes."""
+        shared = np.minimum(self.length[i], self.length[j])
         a, b = self.start[i], self.start[j]
-        high = np.minimum(self.length[i], self.length[j])
-        low = np.zeros_like(high)
-        while True:
-            open_ = low < high
-            if not open_.any():
-                return low
-            middle = (low + high + 1) // 2
-            agree = self.hashes.of(a, middle) == self.hashes.of(b, middle)
-            low = np.where(open_ & agree, middle, low)
-            high = np.where(open_ & ~agree, middle - 1, high)
+        # Most pairs are equal as far as they go; the others are searched for where they part.
+        apart = np.flatnonzero(self.hashes.of(a, shared) != self.hashes.of(b, shared))
+        if not len(apart):
+            return shared
+        a, b = a[apart], b[apart]
+        prefix, back = self.hashes.prefix, self.hashes.back
+        before_a, before_b, back_a, back_b = prefix[a], prefix[b], back[a], back[b]
+        low, high = np.zeros(len(apart), dtype=np.int64), shared[apart] - 1
+        for _ in range(int(high.max(initial=0)).bit_length()):
+            middle = (low + high + 1) >> 1
+            agree = (prefix[a + middle] - before_a) * back_a == (prefix[b + middle] - before_b) * back_b
+            low = np.where(agree, middle, low)
+            high = np.where(agree, high, np.maximum(middle - 1, low))
+        shared[apart] = low
+        return shared
 
     def before(self, i: np.ndarray, j: np.ndarray, ties: bool | np.ndarray) -> np.ndarray:
         """Whether part ``i`` stands before part ``j``; ``ties`` answers for equal ones."""
@@ -159,17 +168,27 @@ class Suffixes:
         less = self.data[np.minimum(self.start[i] + shared, last)] < self.data[np.minimum(self.start[j] + shared, last)]
         return np.where(left_end, np.where(right_end, ties, True), np.where(right_end, False, less))
 
+    def leading(self, count: int = 8) -> np.ndarray:
+        """The first bytes of every part as a number that sorts as they do."""
+        out, last = np.zeros(len(self.start), dtype=np.uint64), len(self.data) - 1
+        for k in range(count):
+            byte = self.data[np.minimum(self.start + k, last)].astype(np.uint64)
+            out = out << np.uint64(8) | np.where(k < self.length, byte, np.uint64(0))
+        return out
+
     def sort(self, group: np.ndarray) -> np.ndarray:
         """The order of all parts by group and suffix: a mergesort of all groups at once.
 
-        ``group`` is ascending. Runs double in each round; a part finds its place in the neighbouring run by
-        binary search, a logarithmic number of comparisons.
+        ``group`` is ascending. Leading bytes that fit a number divide the groups first; what they do not
+        decide is merged: runs double in each round, and a part finds its place in the neighbouring
+        run by binary search, a logarithmic number of comparisons.
         """
         n = len(group)
-        order = np.arange(n)
         if not n:
-            return order
-        opens = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            return np.arange(0)
+        lead = self.leading()
+        order = np.lexsort((lead, group))
+        opens = np.flatnonzero(np.concatenate([[True], (group[order][1:] != group[order][:-1]) | (lead[order][1:] != lead[order][:-1])]))
         sizes = np.diff(np.append(opens, n))
         several = np.flatnonzero(sizes > 1)
         run = 1
@@ -248,9 +267,10 @@ def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         def block() -> pa.RecordBatch:
             ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
             raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
-            row = [[(part << 32) + number], [np.array(ids, dtype=np.int64).tobytes()], [np.array(missing, dtype=bool).tobytes()], [ends.tobytes()], [_pack(raw)], [size]]
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, kinds, strict=True)], ["block", "ids", "missing", "ends", "data", "size"])
+            at = (part << 32) + number
+            row = [[at >> SHELF_BITS], [at], [np.array(ids, dtype=np.int64).tobytes()], [np.array(missing, dtype=bool).tobytes()], [ends.tobytes()], [_pack(raw)], [size]]
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, kinds, strict=True)], ["shelf", "block", "ids", "missing", "ends", "data", "size"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -266,7 +286,7 @@ def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             yield block()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return mapped(rows, laid, "block bigint, ids binary, missing binary, ends binary, data binary, size bigint")
+    return mapped(rows, laid, "shelf bigint, block bigint, ids binary, missing binary, ends binary, data binary, size bigint")
 
 
 @dataclass
@@ -434,8 +454,15 @@ def meet_anchors(told: DataFrame, hot: int = HOT) -> DataFrame:
     return told.groupBy("bucket").applyInArrow(met, "block bigint, bucket bigint, codes binary")
 
 
-def _codes(table: pa.Table) -> np.ndarray:
-    rows = sorted(zip(_column(table, "bucket"), _column(table, "codes"), strict=True))
+def _on_shelf(rows: DataFrame):
+    """Rows about blocks, grouped as the table of blocks is."""
+    return rows.withColumn("shelf", F.shiftright("block", SHELF_BITS)).groupBy("shelf")
+
+
+def _codes_of(table: pa.Table, block: int) -> np.ndarray:
+    """The codes of a block's anchors, in the order of their keys."""
+    own = table.filter(pc.and_(pc.equal(table["block"], block), pc.is_valid(table["codes"])))
+    rows = sorted(zip(_column(own, "bucket"), _column(own, "codes"), strict=True))
     return np.concatenate([_unpack(data, np.uint8) for _, data in rows]) if rows else np.empty(0, np.uint8)
 
 
@@ -445,7 +472,7 @@ def send_texts(blocks: DataFrame, codes: DataFrame, buckets: int) -> DataFrame:
     def sent(own: pa.Table, codes: pa.Table) -> pa.Table:
         rows = []
         for number, block in _blocks_of(own):
-            items = block.items(_codes(codes))
+            items = block.items(_codes_of(codes, number))
             start, strings, key = items.start[items.opens], items.strings[items.opens], items.key[items.opens]
             ids, length = block.ids[items.doc[items.opens]], strings + LENGTH - 1
             bucket = _bucket(key, buckets)
@@ -457,7 +484,7 @@ def send_texts(blocks: DataFrame, codes: DataFrame, buckets: int) -> DataFrame:
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("block", "bucket", "first", "keys", "ids", "lengths", "data"), columns, kinds, strict=True)})
 
     schema = "block bigint, bucket bigint, first bigint, keys binary, ids binary, lengths binary, data binary"
-    return blocks.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(sent, schema)
+    return blocks.groupBy("shelf").cogroup(_on_shelf(codes)).applyInArrow(sent, schema)
 
 
 def smallest(key: np.ndarray, ids: np.ndarray, length: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -540,10 +567,9 @@ def cut_texts(blocks: DataFrame, told: DataFrame) -> DataFrame:
 
     def cut(own: pa.Table, told: pa.Table) -> pa.Table:
         rows = []
-        codes = told.filter(pc.is_valid(told["codes"]))
-        better = told.filter(pc.is_valid(told["items"]))
-        for _, block in _blocks_of(own):
-            items = block.items(_codes(codes))
+        for number, block in _blocks_of(own):
+            items = block.items(_codes_of(told, number))
+            better = told.filter(pc.and_(pc.equal(told["block"], number), pc.is_valid(told["items"])))
             strings = items.strings[items.opens]
             offset = np.concatenate([[0], np.cumsum(strings)])
             least = np.repeat(block.ids[items.doc[items.opens]], strings)
@@ -565,7 +591,7 @@ def cut_texts(blocks: DataFrame, told: DataFrame) -> DataFrame:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("doc_id", "n_bytes", "n_removed", "n_spans", "kept"), columns, kinds, strict=True)})
 
-    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return blocks.groupBy("shelf").cogroup(_on_shelf(told)).applyInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def without_repeats(docs: DataFrame, hot: int = HOT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -580,7 +606,7 @@ def without_repeats(docs: DataFrame, hot: int = HOT, block_bytes: int = BLOCK_BY
     name = f"llm_blocks_{folder.rsplit('-', 1)[1]}"
     laid = to_blocks(docs, block_bytes)
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 50_000)
-    laid.write.bucketBy(parts, "block").option("path", folder).option("compression", "uncompressed").saveAsTable(name)
+    laid.write.bucketBy(parts, "shelf").option("path", folder).option("compression", "uncompressed").saveAsTable(name)
     blocks = spark.table(name)
     size = blocks.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
