@@ -30,6 +30,8 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     merged = salted.groupBy("sha", "salt", "text").agg(F.max("doc_id").alias("top"), F.count("*").alias("n"))
     combined = merged.groupBy("sha", "text").agg(F.max("top").alias("top"), F.sum("n").alias("n"))
     classes = combined.groupBy("sha").agg(F.max("top").alias("keep_id"), F.max("n").alias("group_size"), F.count("*").alias("contents"))
+    # Written first: a text with many copies then meets its class in a join whose skew Spark can split.
+    classes = stored(classes, "exact-classes")
     one = F.when(F.col("contents") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("one digest, two texts")).cast("bigint"))
     return rows.select("doc_id", "sha").join(classes, "sha").select(
         "doc_id",
