@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ Q = 8
 SEGMENT = 96
 EDIT_RATE = 0.1
 SHARE = 0.5
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 CHARS_AT_ONCE = 1_000_000
 CELLS_AT_ONCE = 4_000_000
 #: Between documents; no character has this number.
@@ -118,6 +119,12 @@ class Index:
         )
 
 
+@lru_cache(maxsize=1)
+def index_of(items: tuple[tuple[int, str], ...], q: int) -> Index:
+    """The index of a block, once per worker."""
+    return Index.of(list(items), q)
+
+
 def regions(codes: np.ndarray, index: Index, q: int = Q) -> tuple[np.ndarray, np.ndarray]:
     """Segments and first diagonals of the bands that hold enough shared q-grams."""
     none = np.empty(0, dtype=np.int64)
@@ -184,10 +191,9 @@ def align(codes: np.ndarray, index: Index, segment: np.ndarray, diagonal: np.nda
 def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float = SHARE, q: int = Q) -> DataFrame:
     """``doc_id``, ``item_id``, ``found`` (part of the item's characters), ``edits`` and the place in characters,
     for every document and item of a block that meet."""
-    index = Index.of(items, q)
-    ids = [item_id for item_id, _ in items]
+    ids, block = [item_id for item_id, _ in items], tuple(items)
 
-    def search(codes: np.ndarray, ends: np.ndarray) -> list[tuple]:
+    def search(codes: np.ndarray, ends: np.ndarray, index: Index) -> list[tuple]:
         """Rows of (document, item, found, edits, first, last) over documents laid end to end, a gap behind each."""
         segment, diagonal = regions(codes, index, q)
         edits, stop = align(codes, index, segment, diagonal)
@@ -209,6 +215,7 @@ def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float =
         return rows
 
     def batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = index_of(block, q)  # tasks get the items, not the index, which is many times as large
         for batch in batches:
             rows: list[tuple] = []
             held, ends, first, size = [], [], 0, 0
@@ -218,7 +225,7 @@ def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float =
                 size += len(codes) + 1
                 ends.append(size - 1)
                 if size >= CHARS_AT_ONCE or i + 1 == len(batch):
-                    rows += [(first + doc, *row) for doc, *row in search(np.concatenate(held), np.array(ends))]
+                    rows += [(first + doc, *row) for doc, *row in search(np.concatenate(held), np.array(ends), index)]
                     held, ends, first, size = [], [], i + 1, 0
             if rows:
                 columns = list(zip(*rows, strict=True))

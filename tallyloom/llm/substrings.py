@@ -594,9 +594,13 @@ def cut_texts(blocks: DataFrame, told: DataFrame) -> DataFrame:
     return blocks.groupBy("shelf").cogroup(_on_shelf(told)).applyInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
-def without_repeats(docs: DataFrame, hot: int = HOT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, hot: int = HOT, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per input row: bytes, removed bytes, removed runs and ``kept``, the bytes that are left.
 
+    Workers need some hundred times ``block_bytes`` and some ten times ``bucket_bytes`` of memory. A block
+    sends at most one row to each bucket, so both should grow with the corpus: the defaults suit up to
+    some hundred gigabytes and small executors, blocks and buckets of 64 MB a hundred terabytes.
+
     A missing text is an empty one. A document without an id removes nothing from others and loses what
     any other document has. Rows that share an id remove nothing from each other. Other columns are ignored.
     """
@@ -609,7 +613,7 @@ def without_repeats(docs: DataFrame, hot: int = HOT, block_bytes: int = BLOCK_BY
     laid.write.bucketBy(parts, "shelf").option("path", folder).option("compression", "uncompressed").saveAsTable(name)
     blocks = spark.table(name)
     size = blocks.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
-    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+    buckets = max(LEAST_BUCKETS, -(-size // bucket_bytes))
     codes = stored(meet_anchors(tell_anchors(blocks, buckets), hot), "anchor-codes")
     better = stored(meet_texts(send_texts(blocks, codes, buckets)), "smaller-ids")
     both = codes.select("block", "bucket", "codes").unionByName(better, allowMissingColumns=True)
