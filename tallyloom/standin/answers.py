@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.catalog.answers import AI_PRIORITY_FOLD, ROLE_FOLD, SALARY_MIDPOINTS, WORK_MODEL_FOLD
 from tallyloom.catalog.editions import EDITION_COLUMN, EDITIONS, RAW_COLUMNS
 from tallyloom.functions import quoted
 
@@ -50,30 +51,36 @@ def _flag(condition: str) -> str:
     return f"case when {_NOT_ASKED} then '' when {condition} then '1' else '0' end"
 
 
+# Two wordings of one title; all other titles, sectors and company sizes are made up.
+FOLDED_ROLE = next(iter(ROLE_FOLD.items()))
 _ROLES = {
-    "NATION_0": "Analista de Dados/Data Analyst",
-    "NATION_1": "Analista de Dados/Data Analyst",
-    "NATION_2": "Cientista de Dados/Data Scientist",
-    "NATION_3": "Cientista de Dados/Data Scientist",
-    "NATION_4": "Analista de BI/BI Analyst",
-    "NATION_5": "Engenheiro de Dados/Arquiteto de Dados/Data Engineer/Data Architect",
-    "NATION_6": "Engenheiro de Dados/Data Engineer/Data Architect",
-    "NATION_7": "Outra Opção",
-    "NATION_8": "Analista de Negócios/Business Analyst",
-    "NATION_9": "Analytics Engineer",
-    "NATION_10": "Desenvolvedor/ Engenheiro de Software/ Analista de Sistemas",
-    "NATION_11": "Engenheiro de Machine Learning/ML Engineer/AI Engineer",
-    "NATION_12": "Analista de Suporte/Analista Técnico",
-    "NATION_13": "Data Product Manager/ Product Manager (PM/APM/DPM/GPM/PO)",
-    "NATION_14": "Outras Engenharias (não inclui dev)",
-    "NATION_15": "Professor/Pesquisador",
-    "NATION_16": "Analista de Inteligência de Mercado/Market Intelligence",
-    "NATION_17": "Estatístico",
-    "NATION_18": "Arquiteto de Dados/Data Architect",
-    "NATION_19": "Economista",
-    "NATION_20": "DBA/Administrador de Banco de Dados",
-    "NATION_21": "Analista de Dados/Data Analyst",
+    "NATION_0": "Relatórios/Reporting",
+    "NATION_1": "Relatórios/Reporting",
+    "NATION_2": "Modelagem/Modelling",
+    "NATION_3": "Modelagem/Modelling",
+    "NATION_4": "Painéis/Dashboards",
+    "NATION_5": FOLDED_ROLE[0],
+    "NATION_6": FOLDED_ROLE[1],
+    "NATION_7": "Outro",
+    "NATION_8": "Processos/Process Design",
+    "NATION_9": "Transformação de Dados",
+    "NATION_10": "Programação/ Integração de Sistemas",
+    "NATION_11": "Aprendizado de Máquina/Learning Systems",
+    "NATION_12": "Atendimento/Support",
+    "NATION_13": "Produto/ Roadmap (dados e serviços)",
+    "NATION_14": "Redes e Infraestrutura (sem dados)",
+    "NATION_15": "Ensino/Pesquisa",
+    "NATION_16": "Pesquisa de Mercado/Market Research",
+    "NATION_17": "Estatística Aplicada",
+    "NATION_18": "Arquitetura/Architecture",
+    "NATION_19": "Economia",
+    "NATION_20": "Bancos de Dados/Databases",
+    "NATION_21": "Relatórios/Reporting",
 }
+BAND_LIMITS = (10000, 25000, 50000, 80000, 115000, 160000, 210000, 270000, 330000, 380000, 415000, 440000, 455000, 470000, 480000)
+OFFICE, REMOTE = ([wording for wording, label in WORK_MODEL_FOLD.items() if label == folded] for folded in dict.fromkeys(WORK_MODEL_FOLD.values()))
+HYBRID = ("Escritório nos dias que cada pessoa quiser, casa nos demais", "Alguns dias marcados no escritório, os demais em casa")
+_PRIORITIES = list(AI_PRIORITY_FOLD)
 
 
 def _answers(choose: Callable[..., str], bands: Callable[..., str]) -> dict[str, str]:
@@ -100,86 +107,52 @@ def _answers(choose: Callable[..., str], bands: Callable[..., str]) -> dict[str,
         "setor": bands(
             "day(o_orderdate)",
             [
-                (8, "Finanças ou Bancos"),
-                (13, "Tecnologia/Fábrica de Software"),
-                (15, "Área de Consultoria"),
-                (17, "Varejo"),
-                (19, "Outra Opção"),
-                (21, "Indústria"),
-                (23, "Educação"),
-                (24, "Área da Saúde"),
-                (25, "Setor Público"),
-                (26, "Internet/Ecommerce"),
-                (27, "Telecomunicação"),
-                (28, "Agronegócios"),
+                (8, "Serviços financeiros"),
+                (13, "Software"),
+                (15, "Consultoria"),
+                (17, "Comércio"),
+                (19, "Outro"),
+                (21, "Fábricas"),
+                (23, "Ensino"),
+                (24, "Saúde"),
+                (25, "Governo"),
+                (26, "Lojas virtuais"),
+                (27, "Telefonia"),
+                (28, "Campo"),
             ],
         ),
         "numero_funcionarios": bands(
             "month(o_orderdate)",
             [
-                (3, "Acima de 3.000"),
-                (4, "de 1.001 a 3.000"),
-                (5, "de 501 a 1.000"),
-                (6, "de 51 a 100"),
-                (8, "de 101 a 500"),
-                (9, "de 11 a 50"),
-                (10, "de 6 a 10"),
-                (11, "de 1 a 5"),
+                (3, "mais de 2000"),
+                (4, "801 a 2000"),
+                (5, "301 a 800"),
+                (6, "41 a 80"),
+                (8, "81 a 300"),
+                (9, "16 a 40"),
+                (10, "6 a 15"),
+                (11, "até 5"),
             ],
         ),
         "cargo_atual": choose("n_name", _ROLES),
         "senioridade": "case when o_orderstatus = 'F' then 'Júnior'"
         " when o_orderstatus = 'O' then case when month(o_orderdate) <= 7 then 'Pleno' else 'Sênior' end"
         " else " + bands("month(o_orderdate)", [(5, "Sênior"), (8, "Especialista/Staff+")]) + " end",
-        "faixa_salarial": _bands(
-            "o_totalprice",
-            [
-                (10000, "Menos de R$ 1.000/mês"),
-                (25000, "de R$ 101/mês a R$ 2.000/mês"),
-                (50000, "de R$ 1.001/mês a R$ 2.000/mês"),
-                (80000, "de R$ 2.001/mês a R$ 3.000/mês"),
-                (115000, "de R$ 3.001/mês a R$ 4.000/mês"),
-                (160000, "de R$ 4.001/mês a R$ 6.000/mês"),
-                (210000, "de R$ 6.001/mês a R$ 8.000/mês"),
-                (270000, "de R$ 8.001/mês a R$ 12.000/mês"),
-                (330000, "de R$ 12.001/mês a R$ 16.000/mês"),
-                (380000, "de R$ 16.001/mês a R$ 20.000/mês"),
-                (415000, "de R$ 20.001/mês a R$ 25.000/mês"),
-                (440000, "de R$ 25.001/mês a R$ 30.000/mês"),
-                (455000, "de R$ 25.001/mês a R$ 3000/mês"),
-                (470000, "de R$ 30.001/mês a R$ 40.000/mês"),
-                (480000, "Acima de R$ 40.001/mês"),
-                (490000, "Prefiro não dizer"),
-            ],
-        ),
+        "faixa_salarial": _bands("o_totalprice", [*zip(BAND_LIMITS, SALARY_MIDPOINTS, strict=True), (490000, "Sem resposta")]),
         # Two wordings of one answer within each edition, so that folding them sums rows.
-        "modelo_trabalho_atual": "case when day(o_orderdate) > 20 and o_orderpriority = '1-URGENT' then 'Trabalho remoto'"
-        " when day(o_orderdate) > 20 and o_orderpriority = '3-MEDIUM' then 'Trabalho presencial' else "
-        + choose(
-            "o_orderpriority",
-            {
-                "1-URGENT": "Modelo 100% remoto",
-                "2-HIGH": "Modelo híbrido flexível (o funcionário tem liberdade para escolher quando estar no escritório presencialmente)",
-                "3-MEDIUM": "Modelo 100% presencial",
-                "5-LOW": "Modelo híbrido com dias fixos de trabalho presencial",
-            },
-        )
+        "modelo_trabalho_atual": "case when day(o_orderdate) > 20 then "
+        + choose("o_orderpriority", {"1-URGENT": REMOTE[0], "2-HIGH": HYBRID[0], "3-MEDIUM": OFFICE[0], "5-LOW": HYBRID[1]})
+        + " else "
+        + choose("o_orderpriority", {"1-URGENT": REMOTE[1], "2-HIGH": HYBRID[0], "3-MEDIUM": OFFICE[1], "5-LOW": HYBRID[1]})
         + " end",
-        "modelo_trabalho_ideal": choose("o_orderstatus", {"F": "Modelo 100% remoto", "O": "Modelo 100% presencial"}),
+        "modelo_trabalho_ideal": choose("o_orderstatus", {"F": REMOTE[1], "O": OFFICE[1]}),
         "numero_pessoas_dados_empresa": bands("day(o_orderdate)", [(10, "1 - 3"), (20, "4 - 10"), (29, "11 - 20")]),
         "ia_prioridade_empresa": "case when o_orderstatus = 'F' then "
         + choose(
             "o_orderpriority",
-            {
-                "1-URGENT": "Sim, é nossa principal prioridade como empresa (com foco executivo significativo e alocação de orçamento relevante).",
-                "2-HIGH": "Sim, está entre nossas principais prioridades para os próximos 2-4 anos (com discussões de iniciativas e orçamentos de curto a médio prazo).",
-                "3-MEDIUM": "Mais ou menos... É uma das várias iniciativas que estamos impulsionando, mas não é uma prioridade (iniciativas isoladas e pouco foco).",
-                "4-NOT SPECIFIED": "Mais ou menos... É uma das várias iniciativas que estamos impulsionando, mas não é uma prioridade (tratam-se de iniciativas isoladas e com pouco foco).",
-                "5-LOW": "Não sei opinar sobre esse assunto.",
-            },
+            {"1-URGENT": _PRIORITIES[1], "2-HIGH": _PRIORITIES[0], "3-MEDIUM": _PRIORITIES[4], "4-NOT SPECIFIED": _PRIORITIES[3], "5-LOW": _PRIORITIES[5]},
         )
-        + " when o_orderstatus = 'O' and month(o_orderdate) <= 9 then"
-        " 'Não é uma iniciativa que estamos focando e não tem sido uma prioridade.' else '' end",
+        + f" when o_orderstatus = 'O' and month(o_orderdate) <= 9 then '{_PRIORITIES[2]}' else '' end",
         "usa_chatgpt_llm": choose("o_orderpriority", {"1-URGENT": "Sim", "2-HIGH": "Não"}),
         "cloud_preferida": bands("month(o_orderdate)", [(4, "AWS"), (7, "GCP"), (10, "Azure")]),
         "ferramenta_bi_preferida": bands("day(o_orderdate)", [(14, "Power BI"), (22, "Tableau"), (27, "Looker")]),

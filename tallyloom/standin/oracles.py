@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tallyloom.catalog.answers import AI_PRIORITY_FOLD, ROLE_FOLD, SALARY_MIDPOINTS, TECHNOLOGY_FLAGS, WORK_MODEL_FOLD
 from tallyloom.catalog.editions import EDITIONS, RAW_COLUMNS, SILVER_COLUMNS
-from tallyloom.standin.answers import SQL_ANSWERS, EDITION_SQL
+from tallyloom.standin.answers import EDITION_SQL, HYBRID, SQL_ANSWERS
 
 _FROM = """from orders
  join customer on o_custkey = c_custkey
@@ -113,7 +113,7 @@ def _cells(column: str, value: str, labels: tuple[str, ...], empty: str) -> str:
 _SENIORITY = ("Júnior", "Pleno", "Sênior", "Especialista/Staff+")
 _GENDERS = ("Masculino", "Feminino", "Outro", "Prefiro não informar")
 _GENDER_RANK = "case genero when 'Masculino' then 1 when 'Feminino' then 2 when 'Outro' then 3 when 'Prefiro não informar' then 4 end"
-_MODELS = ("100% presencial", "100% remoto", "Modelo híbrido com dias fixos ...", "Modelo híbrido flexível (o fun...")
+_MODELS = ("100% presencial", "100% remoto", *(f"{wording[:30]}..." for wording in sorted(HYBRID)))
 
 
 def _amount(value: str) -> str:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.catalog.answers import WORK_MODEL_FOLD
 from tallyloom.catalog.editions import EDITION_COLUMN, EDITIONS, RAW_COLUMNS
 from tallyloom.functions import blank_to_null, midpoint, truth_label
 from tallyloom.operators.conform import map_edition, unify
@@ -21,7 +22,7 @@ from tallyloom.sources.results import read_result, write_result
 from tallyloom.sources.survey_csv import read_survey_csv
 from tallyloom.sources.tables import save_table
 from tallyloom.standin import landing
-from tallyloom.standin.answers import raw_editions, table
+from tallyloom.standin.answers import HYBRID, raw_editions, table
 from tallyloom.standin.oracles import QUESTION_NAMES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,12 +246,7 @@ MART_QUERIES = {
     "mart_region": "regions",
 }
 
-WORK_MODELS = (
-    "100% presencial",
-    "100% remoto",
-    "Modelo híbrido com dias fixos ...",
-    "Modelo híbrido flexível (o fun...",
-)
+WORK_MODELS = (*dict.fromkeys(WORK_MODEL_FOLD.values()), *(f"{wording[:30]}..." for wording in sorted(HYBRID)))
 
 
 def _gold(name: str) -> Query:

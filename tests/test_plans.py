@@ -13,7 +13,7 @@ from tallyloom.plans.gold import QUESTIONS, answer
 from tallyloom.plans.silver import refresh_edition
 from tallyloom.sources.survey_csv import read_survey_csv
 from tallyloom.standin import landing
-from tallyloom.standin.queries import dq_report
+from tallyloom.standin.queries import WORK_MODELS, dq_report
 
 JVM_COMPILES_UP_TO = 8000  # bytes of bytecode in one method
 
@@ -62,7 +62,7 @@ def test_every_question_scans_once(silver, name):
 @pytest.mark.parametrize("name", CHARTS)
 def test_every_mart_scans_once(silver, name):
     source, build = CHARTS[name]
-    labels = ["100% presencial", "100% remoto", "Modelo híbrido com dias fixos ...", "Modelo híbrido flexível (o fun..."]
+    labels = WORK_MODELS
     result = answer(source, silver, in_order=False)
     assert scans(work_models(result, labels) if name == "work_models" else build(result)) == 1
 
