@@ -267,7 +267,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, q: i
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns; rows without an id stay."""
+    """The documents that hold no benchmark item, with all their columns.
+
+    The decision is made for an id: rows that share one go if any of them holds an item. Rows without an id stay.
+    """
     leaking = find_leaks(docs, benchmark, share).filter("doc_id is not null").select(F.col("doc_id").alias("__leaks")).distinct()
     return docs.join(leaking, docs["doc_id"] == leaking["__leaks"], "left_anti")
 

@@ -199,9 +199,11 @@ def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIU
 def near_dedup(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The documents that stay, one of each component (the smallest id), with all their columns.
 
-    Rows without an id are left in: nothing can be told to stay for them.
+    The decision is made for an id: where rows share one, they go only if all of them do. Rows without an
+    id are left in: nothing can be told to stay for them.
     """
-    gone = near_groups(docs, words, radius).filter("doc_id is not null and component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+    last = near_groups(docs, words, radius).filter("doc_id is not null").groupBy("doc_id").agg(F.max("component_id").alias("root"))
+    gone = last.filter("root < doc_id").select(F.col("doc_id").alias("__gone"))
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 
 

@@ -99,6 +99,12 @@ def test_near_dedup_keeps_one_of_each_component(hostile, documents):
     assert near_dedup(hostile).columns == hostile.columns
 
 
+def test_near_dedup_of_rows_that_share_an_id(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, text), (2, text), (2, "quite another text under the second id, and clean"), (3, text)], "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in near_dedup(docs).collect()) == [1, 2, 2]
+
+
 @pytest.mark.parametrize("radius", [1, 2, 3, 4])
 def test_masks_cover_every_difference(radius):
     masks = covering_masks(radius)
