@@ -188,46 +188,49 @@ def align(codes: np.ndarray, index: Index, segment: np.ndarray, diagonal: np.nda
     return edits, ends
 
 
-def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float = SHARE, q: int = Q) -> DataFrame:
+def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float = SHARE, q: int = Q, chars_at_once: int = CHARS_AT_ONCE) -> DataFrame:
     """``doc_id``, ``item_id``, ``found`` (part of the item's characters), ``edits`` and the place in characters,
     for every document and item of a block that meet."""
     ids, block = [item_id for item_id, _ in items], tuple(items)
 
-    def search(codes: np.ndarray, ends: np.ndarray, index: Index) -> list[tuple]:
-        """Rows of (document, item, found, edits, first, last) over documents laid end to end, a gap behind each."""
-        segment, diagonal = regions(codes, index, q)
-        edits, stop = align(codes, index, segment, diagonal)
-        good = np.flatnonzero(edits <= index.edits[segment])
-        best: dict[tuple[int, int], dict[int, tuple[int, int]]] = {}
-        for i in good.tolist():
-            doc = int(np.searchsorted(ends, stop[i] - 1, "right"))
+    def search(pieces: list[tuple[int, int, np.ndarray]], index: Index, best: dict) -> None:
+        """Adds the best place of each segment in each document; pieces are (document, its characters before, characters)."""
+        laid = np.concatenate([part for _, _, codes in pieces for part in (codes, np.array([GAP]))])
+        ends = np.cumsum([len(codes) + 1 for _, _, codes in pieces])
+        segment, diagonal = regions(laid, index, q)
+        edits, stop = align(laid, index, segment, diagonal)
+        for i in np.flatnonzero(edits <= index.edits[segment]).tolist():
+            k = int(np.searchsorted(ends, stop[i] - 1, "right"))
+            doc, before, codes = pieces[k]
             own = best.setdefault((doc, int(index.items[segment[i]])), {})
-            place = (int(edits[i]), int(stop[i]))
+            place = (int(edits[i]), before + int(stop[i]) - int(ends[k]) + len(codes) + 1)
             own[int(segment[i])] = min(own.get(int(segment[i]), place), place)
-        rows = []
+
+    def rows_of(best: dict, index: Index) -> Iterator[tuple]:
+        lengths = np.diff(index.starts)
         for (doc, item), own in best.items():
             found = float(index.shares[list(own)].sum())
             if found >= share - 1e-9:
-                before = int(ends[doc - 1]) + 1 if doc else 0
-                lengths = np.diff(index.starts)
                 first = min(stop - int(lengths[s]) for s, (_, stop) in own.items())
-                rows.append((doc, ids[item], min(found, 1.0), sum(e for e, _ in own.values()), max(first - before, 0), max(stop for _, stop in own.values()) - before))
-        return rows
+                yield doc, ids[item], min(found, 1.0), sum(e for e, _ in own.values()), max(first, 0), max(stop for _, stop in own.values())
 
     def batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = index_of(block, q)  # tasks get the items, not the index, which is many times as large
         for batch in batches:
-            rows: list[tuple] = []
-            held, ends, first, size = [], [], 0, 0
+            best: dict[tuple[int, int], dict[int, tuple[int, int]]] = {}
+            held, size = [], 0
             for i, text in enumerate(batch.column(1)):
                 codes = characters(text.as_py())
-                held += [codes, np.array([GAP])]
-                size += len(codes) + 1
-                ends.append(size - 1)
-                if size >= CHARS_AT_ONCE or i + 1 == len(batch):
-                    rows += [(first + doc, *row) for doc, *row in search(np.concatenate(held), np.array(ends), index)]
-                    held, ends, first, size = [], [], i + 1, 0
-            if rows:
+                # A very long text is searched in parts that overlap by more than any place is long.
+                for low in range(0, max(len(codes), 1), chars_at_once):
+                    held.append((i, low, codes[low : low + chars_at_once + 4 * SEGMENT]))
+                    size += len(held[-1][2]) + 1
+                    if size >= chars_at_once:
+                        search(held, index, best)
+                        held, size = [], 0
+            if held:
+                search(held, index, best)
+            if rows := list(rows_of(best, index)):
                 columns = list(zip(*rows, strict=True))
                 doc_ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
                 kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())

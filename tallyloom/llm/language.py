@@ -36,6 +36,11 @@ COLUMNS = 2_048
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; what the pattern finds may be a number sign, such as a fraction."""
+    return any(found.group().isalpha() for found in _LETTER.finditer(text))
+
+
 @dataclass
 class Direction:
     """One gated recurrent layer: ``table`` holds the input term of every byte for the three gates."""
@@ -278,7 +283,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
             lettered = np.zeros(len(ids), dtype=bool)
             for i, text in enumerate(texts):
                 value = text.as_py() or ""
-                if not net or not _LETTER.search(value):
+                if not net or not has_letter(value):
                     continue
                 lettered[i] = True
                 data = value.encode("utf-8", "replace")

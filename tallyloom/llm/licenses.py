@@ -147,3 +147,45 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses in all documents."""
     return scan(read(spark, sf_dir, "documents"))
+
+
+def scan_sql(templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> str:
+    """The same scan as SQL that compares every block with every template."""
+    window = 2 * max(len(wording.split()) for _, wording in templates)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def at(phrase: str) -> str:
+        same = " and ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(phrase.split(), 1))
+        return f"[i for i in range(len(w)) if coalesce({same}, false)]"
+
+    places = [at(phrase) for phrase, _ in phrases]
+    labels = ", ".join(f"case when len({place}) > 0 then '{label}' end" for place, (_, label) in zip(places, phrases, strict=True))
+    rows = []
+    for label, wording in templates:
+        words = list(dict.fromkeys(wording.split()))
+        listed = "[" + ", ".join(f"'{word}'" for word in words) + "]"
+        least = max(1, math.ceil(threshold * len(words) - 1e-9))
+        rows.append(f"('{label}', {listed}, {len(words)}, {least})")
+    return rf"""
+with d as (
+    select row_number() over () as r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{WORD}') as w
+    from documents
+), base as (
+    select r, doc_id, len(w) as n_words, {" || ".join(places)} as spots, [l for l in [{labels}] if l is not null] as base from d
+), t(label, words, n, least) as (values {", ".join(rows)}),
+blocks as (
+    select r, list_slice(w, s + 1, s + {window}) as b from (select r, w, unnest(range(0, greatest(len(w), 1), {window // 2})) as s from d)
+), found as (
+    select r, label, n, len(list_intersect(words, b)) as overlap, least from blocks, t
+), met as (
+    select r, list(distinct label) as labels, max(overlap / n) as best, count(*) as n_blocks from found where overlap >= least group by r
+)
+select doc_id, cast(n_words as bigint) as n_words, cast(len(spots) as bigint) as n_base,
+       cast(list_min(spots) as bigint) as first_word, cast(list_max(spots) as bigint) as last_word,
+       array_to_string(list_sort(base), ',') as base_labels,
+       array_to_string(list_sort(list_distinct(base || coalesce(labels, []))), ',') as labels,
+       cast(case when len(base) > 0 then 1 else coalesce(best, 0) end as double) as score,
+       coalesce(n_blocks, 0) as n_blocks
+from base left join met using (r)
+"""

@@ -22,6 +22,9 @@ def llm_queries() -> dict:
 
 def llm_oracles() -> dict[str, str]:
     return {
+        "op4_license_scan": licenses.scan_sql(),
+        "op5_suffix_dedup": substrings.OP5_SQL,
         "op6_exact_dedup": exact_dedup.OP6_SQL,
         "op9_chat_formatting": chat.OP9_SQL,
+        "op10_warc": warc.OP10_SQL,
     }

@@ -14,6 +14,7 @@ radius agree on at least one piece, so the division loses no pair either.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,23 +31,39 @@ SHINGLE_WORDS = 3
 RADIUS = 3
 BUCKET_ROWS = 2_048
 SEED = 42
-SHINGLES_AT_ONCE = 65_536
+BYTES_AT_ONCE = 500_000
 
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 
-def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
+
+def _word_runs(data: bytes, size: int) -> Iterator[list[bytes]]:
+    """The words of a text, some at a time."""
+    low = 0
+    while len(data) - low > size:
+        gap = _GAP.search(data, low + size)
+        high = gap.start() if gap else len(data)
+        yield data[low:high].split()
+        low = high
+    yield data[low:].split()
+
+
+def fingerprint(text: str | None, words: int = SHINGLE_WORDS, bytes_at_once: int = BYTES_AT_ONCE) -> int:
     """The SimHash of a text's word shingles, repeats included; 0 for a text without a word."""
-    parts = (text or "").encode("utf-8", "replace").lower().split()  # bytes: A-Z and ASCII white space only
-    if not parts:
-        return 0
-    joined = b" ".join(parts)
-    ends = np.cumsum([len(p) + 1 for p in parts]) - 1
-    starts = [0, *(ends[:-1] + 1).tolist()]
-    ends = ends.tolist()[words - 1 :] or ends[-1:]
-    ones, n, digest = np.zeros(BITS, dtype=np.int64), len(ends), xxhash.xxh64_intdigest
-    for low in range(0, n, SHINGLES_AT_ONCE):
-        pairs = zip(starts[low : low + SHINGLES_AT_ONCE], ends[low : low + SHINGLES_AT_ONCE], strict=False)
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in pairs], dtype="<u8")
+    data = (text or "").encode("utf-8", "replace").lower()  # bytes: A-Z only, as splitting knows ASCII white space only
+    ones, n, digest, last = np.zeros(BITS, dtype=np.int64), 0, xxhash.xxh64_intdigest, []
+    for run in _word_runs(data, bytes_at_once):
+        parts = last + run
+        last = parts[len(parts) - words + 1 :] if len(parts) >= words else parts
+        if len(parts) < words:
+            continue
+        joined = b" ".join(parts)
+        ends = np.cumsum([len(p) + 1 for p in parts]) - 1
+        starts = [0, *(ends[:-1] + 1).tolist()]
+        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends.tolist()[words - 1 :], strict=False)], dtype="<u8")
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(hashes)
+    if not n:
+        return digest(b" ".join(last), SEED) if last else 0  # fewer words than a shingle has: all of them
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 

@@ -8,7 +8,7 @@ share a passage stand together; what the hashes call equal is verified byte by b
 Not every suffix has to be sorted in one place. Every string of ``LENGTH`` bytes has an anchor, the
 least of the hashes of its ``GRAM``-byte parts, and equal strings have equal anchors at equal distances:
 
-1. Documents are laid in blocks, written once as a table whose buckets hold neighbouring blocks, so that what is told
+1. Documents are laid in blocks (a long one in several), written once as a table whose buckets hold neighbouring blocks, so that what is told
    to a block later reaches it without the texts being dealt out again.
 2. Every block tells the anchors it holds; an anchor that only one document holds in the whole corpus is done with.
 3. For the others a block sends the text around the anchor, once for each different text. Texts of one
@@ -38,7 +38,8 @@ LENGTH = 50
 GRAM = 20
 BLOCK_BYTES = 1_000_000
 #: Consecutive blocks of a task that are kept together, in one bucket of the table, so that a task writes few files.
-SHELF_BITS = 5
+SHELF_BLOCKS = 32
+SHELF_BITS = 16
 #: Different texts around one anchor from which its strings are dealt out one by one.
 HOT = 1_024
 #: An aim for the text that one sorting task gets, and the least number of such tasks.
@@ -258,35 +259,50 @@ def _unpack(data: bytes, dtype) -> np.ndarray:
 
 
 def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows of whole documents laid end to end: their ids, their ends, their bytes (compressed)."""
+    """Rows of whole documents laid end to end: their ids, their ends, their bytes (compressed).
+
+    A document longer than a block fills blocks of its own, ``more`` of which follow. Each holds the strings that
+    begin in its ``block_bytes`` bytes, so it also has the bytes in which the last of them end.
+    """
 
     def laid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number = TaskContext.get().partitionId(), 0
+        part, shelf, number = TaskContext.get().partitionId(), 0, 0
         ids, missing, texts, size = [], [], [], 0
 
-        def block() -> pa.RecordBatch:
+        def block(more: bool = False) -> pa.RecordBatch:
+            nonlocal ids, missing, texts, size, number
             ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
             raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
-            at = (part << 32) + number
-            row = [[at >> SHELF_BITS], [at], [np.array(ids, dtype=np.int64).tobytes()], [np.array(missing, dtype=bool).tobytes()], [ends.tobytes()], [_pack(raw)], [size]]
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, kinds, strict=True)], ["shelf", "block", "ids", "missing", "ends", "data", "size"])
+            on = (part << 24) + shelf
+            row = [on, (on << SHELF_BITS) + number, more, np.array(ids, dtype=np.int64).tobytes(), np.array(missing, dtype=bool).tobytes(), ends.tobytes(), _pack(raw), size]
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+            ids, missing, texts, size, number = [], [], [], 0, number + 1
+            return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, kinds, strict=True)], names)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = (text.as_py() or "").encode("utf-8", "replace")
-                ids.append(0 if doc_id is None else doc_id)
-                missing.append(doc_id is None)
-                texts.append(data)
-                size += len(data)
-                if size >= block_bytes:
+                if texts and (size >= block_bytes or len(data) > block_bytes):
                     yield block()
-                    ids, missing, texts, size, number = [], [], [], 0, number + 1
+                if number >= SHELF_BLOCKS and not texts:  # a document is on one shelf
+                    shelf, number = shelf + 1, 0
+                step = max(block_bytes, LENGTH)
+                alone = len(data) > block_bytes
+                for low in range(0, len(data), step) if alone else [0]:
+                    piece = data[low : low + step + LENGTH - 1] if alone else data
+                    ids.append(0 if doc_id is None else doc_id)
+                    missing.append(doc_id is None)
+                    texts.append(piece)
+                    size += len(piece)
+                    if alone:
+                        yield block(more=low + step < len(data))
         if texts:
             yield block()
 
+    schema = "shelf bigint, block bigint, more boolean, ids binary, missing binary, ends binary, data binary, size bigint"
+    names = [column.split()[0] for column in schema.split(", ")]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return mapped(rows, laid, "shelf bigint, block bigint, ids binary, missing binary, ends binary, data binary, size bigint")
+    return mapped(rows, laid, schema)
 
 
 @dataclass
@@ -562,12 +578,13 @@ def meet_texts(sent: DataFrame) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(met, "block bigint, items binary, least binary")
 
 
-def cut_texts(blocks: DataFrame, told: DataFrame) -> DataFrame:
+def cut_texts(blocks: DataFrame, told: DataFrame, block_bytes: int) -> DataFrame:
     """Every document of every block without its repeated passages; ``told`` holds codes and smaller ids per block."""
 
     def cut(own: pa.Table, told: pa.Table) -> pa.Table:
-        rows = []
-        for number, block in _blocks_of(own):
+        rows, begun, tail = [], [], np.empty(0, dtype=bool)
+        own = own.sort_by("block")
+        for more, (number, block) in zip(_column(own, "more"), _blocks_of(own), strict=True):
             items = block.items(_codes_of(told, number))
             better = told.filter(pc.and_(pc.equal(told["block"], number), pc.is_valid(told["items"])))
             strings = items.strings[items.opens]
@@ -580,10 +597,21 @@ def cut_texts(blocks: DataFrame, told: DataFrame) -> DataFrame:
             gone = string[least[_ranges(offset[items.number], items.strings)] < np.repeat(block.ids[items.doc], items.strings)]
             steps = np.bincount(gone, minlength=len(block.data) + 1) - np.bincount(gone + LENGTH, minlength=len(block.data) + 1)[: len(block.data) + 1]
             covered = np.cumsum(steps)[: len(block.data)] > 0
+            covered[: len(tail)] |= tail
+            data, ends, tail = block.data, block.ends, np.empty(0, dtype=bool)
+            if more:
+                size = max(block_bytes, LENGTH)
+                begun.append((covered[:size], data[:size]))
+                tail = covered[size:]
+                continue
+            if begun:  # the last block of a document
+                covered = np.concatenate([*(mask for mask, _ in begun), covered])
+                data = np.concatenate([*(part for _, part in begun), data])
+                ends, begun = np.array([len(data)]), []
             low = 0
-            for doc_id, absent, high in zip(block.ids.tolist(), block.missing.tolist(), block.ends.tolist(), strict=True):
+            for doc_id, absent, high in zip(block.ids.tolist(), block.missing.tolist(), ends.tolist(), strict=True):
                 mask = covered[low:high]
-                kept = block.data[low:high][~mask].tobytes()
+                kept = data[low:high][~mask].tobytes()
                 spans = int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum())
                 rows.append((None if absent else doc_id, high - low, int(mask.sum()), spans, kept))
                 low = high
@@ -617,10 +645,35 @@ def without_repeats(docs: DataFrame, hot: int = HOT, block_bytes: int = BLOCK_BY
     codes = stored(meet_anchors(tell_anchors(blocks, buckets), hot), "anchor-codes")
     better = stored(meet_texts(send_texts(blocks, codes, buckets)), "smaller-ids")
     both = codes.select("block", "bucket", "codes").unionByName(better, allowMissingColumns=True)
-    return cut_texts(blocks, both)
+    return cut_texts(blocks, both, block_bytes)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages of 50 bytes in all documents."""
     found = without_repeats(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Every string of every document as two hexadecimal digits a byte, the smallest id of equal ones, and runs of what they cover.
+OP5_SQL = f"""
+with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+s as (
+    select r, doc_id, i, substr(x, 2 * i + 1, {2 * LENGTH}) as w
+    from (select r, doc_id, x, unnest(range(0, length(x) // 2 - {LENGTH - 1})) as i from d)
+),
+gone as (select r, i from (select r, i, doc_id, min(doc_id) over (partition by w) as first from s) where first < doc_id),
+steps as (select r, i, lag(i) over (partition by r order by i) as before from gone),
+runs as (select r, i, sum(case when i <= before + {LENGTH} then 0 else 1 end) over (partition by r order by i) as run from steps),
+spans as (select r, min(i) as a, max(i) + {LENGTH} as b from runs group by r, run),
+counts as (select r, sum(b - a) as n_removed, count(*) as n_spans from spans group by r),
+parts as (
+    select r, coalesce(lag(b) over (partition by r order by a), 0) as p, a as q from spans
+    union all select r, max(b), null from spans group by r
+),
+kept as (
+    select r, string_agg(substr(x, 2 * p + 1, 2 * (coalesce(q, length(x) // 2) - p)), '' order by p) as x from parts join d using (r) group by r
+)
+select doc_id, cast(length(d.x) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+       cast(coalesce(n_spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(kept.x, d.x))) as kept_sha256
+from d left join counts using (r) left join kept using (r)
+"""

@@ -214,3 +214,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     repeats = rows.filter("record_type = 'revisit'").join(named, F.col("__refers") == F.col("__original"), "left")
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return originals.withColumn("refers_to", F.lit(None).cast("bigint")).select(names).unionByName(repeats.select(names))
+
+
+def _sql_base32(digest: str) -> str:
+    letters = (
+        f"substr('{BASE32}', cast(((('0x' || substr({digest}, {1 + 10 * five}, 10))::bigint >> {shift}) & 31) + 1 as integer), 1)"
+        for five in range(4)
+        for shift in range(35, -1, -5)
+    )
+    return " || ".join(letters)
+
+
+OP10_SQL = f"""
+with p as (select distinct page_id, coalesce(html, '') as t from pages),
+k as (select page_id, strlen(t) as payload_bytes, sha1(t) as h, max(page_id) over (partition by t) as keep from p)
+select page_id, payload_bytes, {_sql_base32('h')} as payload_digest,
+       case when page_id is not distinct from keep then 'response' else 'revisit' end as record_type,
+       case when page_id is distinct from keep then keep end as refers_to
+from k
+"""

@@ -117,7 +117,9 @@ def test_masks_cover_every_difference(radius):
 
 def test_long_shingle_runs_are_counted_in_parts():
     text = " ".join(f"w{i % 977}" for i in range(70_000))
-    assert fingerprint(text) == simhash(text)
+    assert fingerprint(text) == fingerprint(text, bytes_at_once=30) == simhash(text)
+    for short in ("", " ", "a", "a b", "A  b\tC", "a b c d"):
+        assert fingerprint(short) == fingerprint(short, bytes_at_once=1) == simhash(short)
 
 
 def test_dense_bucket_becomes_one_tree():

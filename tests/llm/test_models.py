@@ -191,6 +191,7 @@ def test_languages_of_hostile_rows(hostile, hostile_rows, nothing):
     by_text = {(r[0], r[1]): r[1] for r in hostile_rows}
     lettered = {doc_id for doc_id, text in by_text if any(c.isalpha() for c in text or "")}
     assert all((r.lang_pred == "und") == (r.doc_id not in lettered) for r in rows if r.doc_id is not None)
+    assert [language.has_letter(t) for t in ("½ ² Ⅷ 12 _ !", "½ é", "日", "")] == [False, True, True, False]
     assert language.learn_and_identify(nothing).count() == 0
     unlearnt = hostile.withColumn("lang", F.lit(None).cast("string"))
     assert {(r.lang_pred, r.score) for r in language.learn_and_identify(unlearnt).collect()} == {("und", 0.0)}
@@ -278,6 +279,12 @@ def test_leaks_of_hostile_rows_and_benchmarks(spark, hostile, nothing):
     assert decontaminate.without_leaks(hostile, benchmark.limit(0)).count() == hostile.count()
 
 
+def test_texts_are_searched_alike_in_parts_of_any_size(documents, spark, sf_dir):
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    whole = sorted(map(tuple, decontaminate.contaminations(documents, items).collect()))
+    assert whole == sorted(map(tuple, decontaminate.contaminations(documents, items, chars_at_once=700).collect()))
+
+
 def test_benchmarks_larger_than_a_block(spark, sf_dir, monkeypatch):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     blocks = list(decontaminate.blocks(benchmark, 2_000))
