@@ -5,8 +5,13 @@ Benchmark items are cut into segments of about equal length. A place of a docume
 diagonals (position in the text minus position in the segment) at most ``k`` off. Shared q-grams are
 counted in diagonal bands twice as wide as that and half overlapping, so the place's q-grams
 lie in one band whole. Regions whose count meets the bound are aligned with the segment in a band, and
-kept if the alignment needs at most ``k`` edits. An item is found in a document when such segments hold
-at least ``share`` of its characters.
+kept if the alignment needs at most ``k`` edits.
+
+An excerpt may begin and end inside segments. So items are also cut into windows that overlap by half or
+more, and in each the longest part within its edits is sought, of at least half a segment or
+``share`` of the item's characters, whichever is less. Every stretch of that many characters lies in a window whole.
+The bound of a window is the least of all such parts. An item is found in a document when
+segments and parts together cover at least ``share`` of its characters, each counted once.
 
 Characters are compared after lower-casing A-Z and with every ASCII white space as a blank. The
 items are taken in blocks of bounded size, each of which passes over all documents.
@@ -17,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +40,8 @@ CHARS_AT_ONCE = 1_000_000
 CELLS_AT_ONCE = 4_000_000
 #: Between documents; no character has this number.
 GAP = np.uint32(0xFFFFFFFF)
+#: Edits to go over a gap: no place lies in two documents.
+APART = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _BASES = tuple(np.uint64(pow(_BASE, 2**i, 2**64)) for i in range(6))
@@ -69,11 +77,14 @@ def budget(m: int, rate: float = EDIT_RATE, q: int = Q) -> tuple[int, int]:
 
 @dataclass
 class Index:
-    """The segments of a block of items and where their q-grams stand."""
+    """The segments and windows of a block of items and where their q-grams stand; windows count as segments."""
 
     items: np.ndarray  # item of a segment
+    sizes: np.ndarray  # characters of an item
     starts: np.ndarray  # of a segment in codes, with its end behind the last
-    shares: np.ndarray  # part of the item's characters
+    lows: np.ndarray  # where a segment starts in its item
+    cuts: np.ndarray  # true for segments, which do not overlap
+    parts: np.ndarray  # characters a part must have, 0 where only the whole segment counts
     edits: np.ndarray
     least: np.ndarray
     codes: np.ndarray
@@ -83,20 +94,29 @@ class Index:
     sieve: np.ndarray
 
     @classmethod
-    def of(cls, items: list[tuple[int, str]], q: int = Q, segment: int = SEGMENT, rate: float = EDIT_RATE) -> Index:
-        parts, owner, shares = [], [], []
+    def of(cls, items: list[tuple[int, str]], q: int = Q, segment: int = SEGMENT, rate: float = EDIT_RATE, share: float = SHARE) -> Index:
+        parts, owner, sizes, lows, cuts, needed = [], [], [], [], [], []
         for number, (_, text) in enumerate(items):
             codes = characters(text.strip())
+            sizes.append(len(codes))
             n = max(1, -(-len(codes) // segment))
-            bounds = np.linspace(0, len(codes), n + 1).astype(int)
-            for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            bounds = np.linspace(0, len(codes), n + 1).astype(int).tolist()
+            whole = list(zip(bounds[:-1], bounds[1:], strict=True))
+            last = max(0, len(codes) - segment)
+            windows = [(low, min(low + segment, len(codes))) for low in [*range(0, last, segment // 2), last]]
+            need = max(1, min(ceil(share * len(codes) - 1e-9), segment // 2))
+            for low, high in dict.fromkeys(whole + windows):
                 if high - low >= q:  # shorter ones have no q-gram
                     parts.append(codes[low:high])
                     owner.append(number)
-                    shares.append((high - low) / len(codes))
+                    lows.append(low)
+                    cuts.append((low, high) in whole)
+                    needed.append(max(q, need) if (low, high) in windows else 0)
         lengths = np.array([len(p) for p in parts], dtype=np.int64)
         starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         limits = [budget(int(m), rate, q) for m in lengths]
+        bounds = [budget(m, rate, q)[1] for m in range(int(lengths.max(initial=0)) + 1)]
+        least = [min(bounds[part or m : m + 1]) for m, part in zip(lengths.tolist(), needed, strict=True)]
         hashes = [grams(p, q) for p in parts]
         keys = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         number = np.repeat(np.arange(len(parts)), [len(h) for h in hashes]) if hashes else np.empty(0, np.int64)
@@ -107,10 +127,13 @@ class Index:
         sieve[(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
         return cls(
             np.array(owner, dtype=np.int64),
+            np.array(sizes, dtype=np.int64),
             starts,
-            np.array(shares),
+            np.array(lows, dtype=np.int64),
+            np.array(cuts, dtype=bool),
+            np.array(needed, dtype=np.int64),
             np.array([k for k, _ in limits], dtype=np.int64),
-            np.array([t for _, t in limits], dtype=np.int64),
+            np.array(least, dtype=np.int64),
             np.concatenate(parts) if parts else np.empty(0, np.uint32),
             keys[order],
             number[order].astype(np.int64),
@@ -120,9 +143,9 @@ class Index:
 
 
 @lru_cache(maxsize=1)
-def index_of(items: tuple[tuple[int, str], ...], q: int) -> Index:
+def index_of(items: tuple[tuple[int, str], ...], q: int, share: float) -> Index:
     """The index of a block, once per worker."""
-    return Index.of(list(items), q)
+    return Index.of(list(items), q, share=share)
 
 
 def regions(codes: np.ndarray, index: Index, q: int = Q) -> tuple[np.ndarray, np.ndarray]:
@@ -175,12 +198,14 @@ def align(codes: np.ndarray, index: Index, segment: np.ndarray, diagonal: np.nda
             at = first[:, None] + np.arange(width + m)
             inside = (at >= 0) & (at < len(codes))
             around = np.where(inside, codes[np.clip(at, 0, len(codes) - 1)], GAP)
-            slope = np.arange(width, dtype=np.int32)
+            price = np.where(around == GAP, np.int32(APART), np.int32(1))
+            slopes = np.cumsum(price, axis=1, dtype=np.int32)
             row = np.zeros((len(part), width), dtype=np.int32)
             for j in range(m):
-                here = row + (around[:, j : j + width] != text[:, j, None])
+                here = row + price[:, j : j + width] * (around[:, j : j + width] != text[:, j, None])
                 here[:, :-1] = np.minimum(here[:, :-1], row[:, 1:] + 1)
                 # An extra character moves one column on, at one edit each.
+                slope = slopes[:, j : j + width]
                 row = np.minimum.accumulate(here - slope, axis=1) + slope
             best = row.argmin(axis=1)
             edits[part] = row[np.arange(len(part)), best]
@@ -188,6 +213,74 @@ def align(codes: np.ndarray, index: Index, segment: np.ndarray, diagonal: np.nda
     return edits, ends
 
 
+def promising(codes: np.ndarray, index: Index, segment: np.ndarray, diagonal: np.ndarray, rate: float = EDIT_RATE) -> np.ndarray:
+    """Whether a region may hold the segment or a part within its edits, by the same lemma over shorter grams.
+
+    A part of ``p`` characters shares at least ``p - 3 - 4 rate p`` of its 4-grams with diagonals of the band. So the
+    shared ones less ``1 - 4 rate`` of all come to at least ``-12 rate`` over some stretch of that length.
+    """
+    held = np.zeros(len(segment), dtype=bool)
+    if not len(segment):
+        return held
+    # Numbers of 16 bits may be equal for unequal grams, which only retains more.
+    shown, asked = ((grams(c, 4) >> np.uint64(48)).astype(np.uint16) for c in (codes, index.codes))
+    m_of = np.diff(index.starts)[segment]
+    due = np.float32(1 - 4 * rate)
+    for m in np.unique(m_of):
+        own = np.flatnonzero(m_of == m)
+        width = 2 * (2 * int(index.edits[segment[own[0]]]) + 1)
+        n = int(m) - 3
+        for low in range(0, len(own), 1024):
+            part = own[low : low + 1024]
+            at = diagonal[part, None] + np.arange(width + n)
+            around = shown[np.clip(at, 0, len(shown) - 1)]
+            text = asked[index.starts[segment[part], None] + np.arange(n)]
+            shared = np.zeros(text.shape, dtype=bool)
+            for d in range(width):
+                shared |= around[:, d : d + n] == text
+            sums = np.zeros((len(part), n + 1), dtype=np.float32)
+            np.cumsum(shared - due, axis=1, out=sums[:, 1:])
+            fewest = np.minimum.accumulate(sums, axis=1)
+            need = np.where(index.parts[segment[part]] > 0, index.parts[segment[part]], m) - 3
+            for k in np.unique(need).tolist():
+                same = need == k
+                held[part[same]] = (sums[same, k:] - fewest[same, : n + 1 - k]).max(axis=1) >= -12 * rate - 0.01
+    return held
+
+
+def longest(codes: np.ndarray, index: Index, segment: np.ndarray, diagonal: np.ndarray, q: int = Q, rate: float = EDIT_RATE) -> tuple[np.ndarray, ...]:
+    """The longest part of each segment within its edits in its region: length (0 if none is long enough), edits,
+    first character in the segment and where the place ends. Every first character is tried."""
+    lengths, edits, lows, ends = (np.zeros(len(segment), dtype=np.int64) for _ in range(4))
+    m_of = np.diff(index.starts)[segment]
+    for i in range(len(segment)):
+        s, m, need = int(segment[i]), int(m_of[i]), int(index.parts[segment[i]])
+        k = int(index.edits[s])
+        width = 2 * (2 * k + 1) + 2 * k + 1
+        tried = np.arange(m - need + 1)
+        # Behind the end of the segment nothing matches, and no part reaches there.
+        text = np.append(index.codes[index.starts[s] : index.starts[s + 1]], np.full(m, GAP - 1))
+        at = diagonal[i] - k + np.arange(width + 2 * m)
+        around = np.where((at >= 0) & (at < len(codes)), codes[np.clip(at, 0, len(codes) - 1)], GAP)
+        price = np.where(around == GAP, np.int32(APART), np.int32(1))
+        windows, prices, slopes = (np.lib.stride_tricks.sliding_window_view(x, width) for x in (around, price, np.cumsum(price, dtype=np.int32)))
+        row = np.zeros((len(tried), width), dtype=np.int32)
+        best = (0, 0, 0, 0)
+        for j in range(m):
+            here = row + prices[tried + j] * (windows[tried + j] != text[tried + j, None])
+            here[:, :-1] = np.minimum(here[:, :-1], row[:, 1:] + 1)
+            slope = slopes[tried + j]
+            row = np.minimum.accumulate(here - slope, axis=1) + slope
+            if j + 1 >= need:
+                fewest = row.min(axis=1)
+                fits = np.flatnonzero((fewest <= budget(j + 1, rate, q)[0]) & (tried + j < m))
+                if len(fits):
+                    low = int(fits[fewest[fits].argmin()])
+                    best = (j + 1, int(fewest[low]), low, int(diagonal[i] - k + low + j + 1 + row[low].argmin()))
+        lengths[i], edits[i], lows[i], ends[i] = best
+    return lengths, edits, lows, ends
+
+
 def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float = SHARE, q: int = Q, chars_at_once: int = CHARS_AT_ONCE) -> DataFrame:
     """``doc_id``, ``item_id``, ``found`` (part of the item's characters), ``edits`` and the place in characters,
     for every document and item of a block that meet."""
@@ -198,24 +291,37 @@ def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float =
         laid = np.concatenate([part for _, _, codes in pieces for part in (codes, np.array([GAP]))])
         ends = np.cumsum([len(codes) + 1 for _, _, codes in pieces])
         segment, diagonal = regions(laid, index, q)
+        held = promising(laid, index, segment, diagonal)
+        segment, diagonal = segment[held], diagonal[held]
         edits, stop = align(laid, index, segment, diagonal)
-        for i in np.flatnonzero(edits <= index.edits[segment]).tolist():
+        whole = edits <= index.edits[segment]
+        length, low = np.diff(index.starts)[segment], np.zeros(len(segment), dtype=np.int64)
+        rest = np.flatnonzero(~whole & (index.parts[segment] > 0))
+        length[rest], edits[rest], low[rest], stop[rest] = longest(laid, index, segment[rest], diagonal[rest], q)
+        whole[rest] = length[rest] > 0
+        for i in np.flatnonzero(whole).tolist():
             k = int(np.searchsorted(ends, stop[i] - 1, "right"))
             doc, before, codes = pieces[k]
             own = best.setdefault((doc, int(index.items[segment[i]])), {})
-            place = (int(edits[i]), before + int(stop[i]) - int(ends[k]) + len(codes) + 1)
+            place = (-int(length[i]), int(edits[i]), int(low[i]), before + int(stop[i]) - int(ends[k]) + len(codes) + 1)
             own[int(segment[i])] = min(own.get(int(segment[i]), place), place)
 
     def rows_of(best: dict, index: Index) -> Iterator[tuple]:
-        lengths = np.diff(index.starts)
+        sizes = np.diff(index.starts)
         for (doc, item), own in best.items():
-            found = float(index.shares[list(own)].sum())
+            covered = np.zeros(index.sizes[item], dtype=bool)
+            used = []
+            # Whole segments first: they do not overlap. Of the others those that cover more.
+            for _, length, e, low, stop in sorted((not (index.cuts[s] and -p[0] == sizes[s]), p[0], p[1], int(index.lows[s]) + p[2], p[3]) for s, p in own.items()):
+                if not covered[low : low - length].all():
+                    covered[low : low - length] = True
+                    used.append((e, stop + length, stop))
+            found = float(covered.mean())
             if found >= share - 1e-9:
-                first = min(stop - int(lengths[s]) for s, (_, stop) in own.items())
-                yield doc, ids[item], min(found, 1.0), sum(e for e, _ in own.values()), max(first, 0), max(stop for _, stop in own.values())
+                yield doc, ids[item], found, sum(u[0] for u in used), max(min(u[1] for u in used), 0), max(u[2] for u in used)
 
     def batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = index_of(block, q)  # tasks get the items, not the index, which is many times as large
+        index = index_of(block, q, share)  # tasks get the items, not the index, which is many times as large
         for batch in batches:
             best: dict[tuple[int, int], dict[int, tuple[int, int]]] = {}
             held, size = [], 0
@@ -258,6 +364,7 @@ def blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list[tupl
 def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, q: int = Q) -> DataFrame:
     """Every document and benchmark item of which it holds at least ``share``, one row each.
 
+    Parts of the item count where they hold half a segment or ``share`` of it (see above), whichever is less, with a tenth of edits.
     Missing and empty texts hold and are nothing; items shorter than ``q`` characters cannot be searched for.
     Repeated documents are reported each; a repeated item's rows are reported each. Other columns
     are ignored.

@@ -291,6 +291,57 @@ def test_benchmarks_larger_than_a_block(spark, sf_dir, monkeypatch):
     assert len(blocks) > 2 and sum(map(len, blocks)) == benchmark.count()
 
 
+def test_excerpts_that_begin_and_end_inside_segments(spark, sf_dir):
+    rng = np.random.default_rng(11)
+    letters = np.array(list("abcdefghijklmnopqrstuvw    "))
+    items = [(n, "".join(rng.choice(letters, n)).replace("  ", "xy").strip()) for n in (60, 90, 97, 120, 150, 192, 200, 288, 300, 450)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    filler = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(40).collect() if r.text]
+    shown = {}
+    for item_id, text in items:
+        for percent in (20, 40, 55, 60, 75, 90):
+            size = -(-len(text) * percent // 100)
+            for low in {0, (len(text) - size) // 2, (len(text) - size) // 3, len(text) - size}:
+                excerpt = text[low : low + size]
+                shown[len(shown)] = (item_id, percent, excerpt)
+                if percent >= 75:  # an edit in about thirty characters
+                    shown[len(shown)] = (item_id, percent, "".join("#" if k % 30 == 14 else c for k, c in enumerate(excerpt)))
+    rows = [(i, f"{filler[i % len(filler)][:500]} {excerpt} {filler[(i + 7) % len(filler)][:500]}") for i, (_, _, excerpt) in shown.items()]
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), benchmark).collect()}
+    assert found == {(i, item_id) for i, (item_id, percent, _) in shown.items() if percent > 50}
+
+
+def test_the_longest_parts_are_those_of_all_alignments():
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefgh "))
+    items = [(i, "".join(rng.choice(letters, n)).strip()) for i, n in enumerate((60, 90, 130))]
+    index = decontaminate.Index.of(items)
+    for trial in range(6):
+        own = items[trial % 3][1]
+        size = len(own) * (55 + 6 * trial) // 100
+        own = list(own[(len(own) - size) // 2 :][:size])
+        for at in rng.integers(0, len(own), size // 14):
+            own[at] = str(rng.choice(letters))
+        codes = decontaminate.characters("".join(rng.choice(letters, 70)) + "".join(own) + "".join(rng.choice(letters, 70)))
+        segment, diagonal = decontaminate.regions(codes, index)
+        held = decontaminate.promising(codes, index, segment, diagonal) & (index.parts[segment] > 0)
+        lengths, edits, lows, _ = decontaminate.longest(codes, index, segment[held], diagonal[held])
+        found = {}
+        for s, length in zip(segment[held].tolist(), lengths.tolist(), strict=True):
+            found[s] = max(found.get(s, 0), length)
+        for s in np.flatnonzero(index.parts).tolist():
+            text = index.codes[index.starts[s] : index.starts[s + 1]]
+            want = 0
+            for low in range(len(text) - int(index.parts[s]) + 1):
+                row = np.zeros(len(codes) + 1, dtype=int)
+                for j, c in enumerate(text[low:], 1):
+                    now = np.append(j, np.minimum(row[:-1] + (codes != c), row[1:] + 1))
+                    row = np.minimum.accumulate(now - np.arange(len(now))) + np.arange(len(now))
+                    if j >= index.parts[s] and row.min() <= decontaminate.budget(j)[0]:
+                        want = max(want, j)
+            assert found.get(s, 0) == want
+
+
 # Pipeline
 
 
