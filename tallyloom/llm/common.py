@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import tallyloom
 from tallyloom.session import shared_dir
@@ -34,7 +35,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def mapped(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with a function of this package."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)

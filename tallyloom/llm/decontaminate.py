@@ -19,7 +19,7 @@ items are taken in blocks of bounded size, each of which passes over all documen
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from math import ceil
@@ -281,9 +281,8 @@ def longest(codes: np.ndarray, index: Index, segment: np.ndarray, diagonal: np.n
     return lengths, edits, lows, ends
 
 
-def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float = SHARE, q: int = Q, chars_at_once: int = CHARS_AT_ONCE) -> DataFrame:
-    """``doc_id``, ``item_id``, ``found`` (part of the item's characters), ``edits`` and the place in characters,
-    for every document and item of a block that meet."""
+def searcher(items: list[tuple[int, str]], share: float = SHARE, q: int = Q, chars_at_once: int = CHARS_AT_ONCE) -> Callable[[pa.Array], list[tuple]]:
+    """Finds in a column of texts every row and item of a block that meet: row, item's id, part of its characters, edits, place."""
     ids, block = [item_id for item_id, _ in items], tuple(items)
 
     def search(pieces: list[tuple[int, int, np.ndarray]], index: Index, best: dict) -> None:
@@ -320,23 +319,34 @@ def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float =
             if found >= share - 1e-9:
                 yield doc, ids[item], found, sum(u[0] for u in used), max(min(u[1] for u in used), 0), max(u[2] for u in used)
 
-    def batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found_in(texts: pa.Array) -> list[tuple]:
         index = index_of(block, q, share)  # tasks get the items, not the index, which is many times as large
+        best: dict[tuple[int, int], dict[int, tuple[int, int, int, int]]] = {}
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            codes = characters(text.as_py())
+            # A very long text is searched in parts that overlap by more than any place is long.
+            for low in range(0, max(len(codes), 1), chars_at_once):
+                held.append((i, low, codes[low : low + chars_at_once + 4 * SEGMENT]))
+                size += len(held[-1][2]) + 1
+                if size >= chars_at_once:
+                    search(held, index, best)
+                    held, size = [], 0
+        if held:
+            search(held, index, best)
+        return list(rows_of(best, index))
+
+    return found_in
+
+
+def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float = SHARE, q: int = Q, chars_at_once: int = CHARS_AT_ONCE) -> DataFrame:
+    """``doc_id``, ``item_id``, ``found`` (part of the item's characters), ``edits`` and the place in characters,
+    for every document and item of a block that meet."""
+    found_in = searcher(items, share, q, chars_at_once)
+
+    def batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best: dict[tuple[int, int], dict[int, tuple[int, int]]] = {}
-            held, size = [], 0
-            for i, text in enumerate(batch.column(1)):
-                codes = characters(text.as_py())
-                # A very long text is searched in parts that overlap by more than any place is long.
-                for low in range(0, max(len(codes), 1), chars_at_once):
-                    held.append((i, low, codes[low : low + chars_at_once + 4 * SEGMENT]))
-                    size += len(held[-1][2]) + 1
-                    if size >= chars_at_once:
-                        search(held, index, best)
-                        held, size = [], 0
-            if held:
-                search(held, index, best)
-            if rows := list(rows_of(best, index)):
+            if rows := found_in(batch.column(1)):
                 columns = list(zip(*rows, strict=True))
                 doc_ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
                 kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
@@ -377,12 +387,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, q: i
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns.
+    """The rows that hold no benchmark item, with all their columns; each is decided by its own text, whatever its id."""
+    out = docs
+    for items in blocks(benchmark):
+        out = _without(out, items, share)
+    return out
 
-    The decision is made for an id: rows that share one go if any of them holds an item. Rows without an id stay.
-    """
-    leaking = find_leaks(docs, benchmark, share).filter("doc_id is not null").select(F.col("doc_id").alias("__leaks")).distinct()
-    return docs.join(leaking, docs["doc_id"] == leaking["__leaks"], "left_anti")
+
+def _without(docs: DataFrame, items: list[tuple[int, str]], share: float) -> DataFrame:
+    found_in = searcher(items, share)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stays = np.ones(batch.num_rows, dtype=bool)
+            stays[[row[0] for row in found_in(batch.column(0))]] = False
+            yield pa.RecordBatch.from_arrays(batch.columns[1:], names).filter(pa.array(stays))
+
+    names = docs.columns
+    return mapped(docs.select(F.col("text").cast("string").alias("__searched"), "*"), clean, docs.schema)
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,13 +200,17 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose predicted quality is 1, with all their columns; rows without an id stay.
+    """The rows of ``docs`` whose predicted quality is 1, with all their columns; each is decided by its own text, whatever its id."""
+    model = fit(stored(with_statistics(docs), "statistics"), labels)
 
-    Rows that share an id with a row of good text stay: the decision is made for an id.
-    """
-    good = classify(docs, labels).groupBy("doc_id").agg(F.max("predicted").alias("good"))
-    bad = good.filter("good = 0 and doc_id is not null").select(F.col("doc_id").alias("__bad"))
-    return docs.join(bad, docs["doc_id"] == bad["__bad"], "left_anti")
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = np.array([statistics(text.as_py()) for text in batch.column(0)])
+                yield pa.RecordBatch.from_arrays(batch.columns[1:], names).filter(pa.array(model.scores(x) >= 0.5))
+
+    names = docs.columns
+    return mapped(docs.select(F.col("text").cast("string").alias("__judged"), "*"), good, docs.schema)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -342,6 +342,26 @@ def test_the_longest_parts_are_those_of_all_alignments():
             assert found.get(s, 0) == want
 
 
+def test_rows_are_decided_by_their_own_text(spark, sf_dir, documents, hostile):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    item = benchmark.orderBy("item_id").first().text
+    rows = spark.createDataFrame([(1, f"xx {item} yy"), (1, "a clean text"), (None, f"zz {item}"), (None, "another clean text")], "doc_id bigint, text string")
+    kept = decontaminate.without_leaks(rows, benchmark).collect()
+    assert sorted(r.text for r in kept) == ["a clean text", "another clean text"]
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    missing = documents.limit(60).withColumn("doc_id", F.lit(None).cast("bigint"))
+    shared = documents.limit(60).withColumn("doc_id", F.lit(-5).cast("bigint"))
+    known = {r.doc_id: r.predicted for r in quality.classify(documents, labels).collect()}
+    bad = sorted(r.text or "" for r in documents.limit(60).collect() if not known[r.doc_id])
+    assert bad
+    for extra in (missing, shared):
+        docs = documents.unionByName(extra)
+        predicted = [bool(r.predicted) for r in quality.classify(docs, labels).collect()]
+        kept = quality.keep_good(docs, labels)
+        assert kept.columns == docs.columns
+        assert len(predicted) > sum(predicted) == kept.count()
+
+
 # Pipeline
 
 
