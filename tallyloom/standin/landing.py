@@ -87,8 +87,10 @@ def drifting_csv(spark: SparkSession, sf_dir: str) -> str:
 
     def write(folder: str) -> None:
         documents = table(spark, sf_dir, "documents")
+        # Every row goes to a file: negative remainders to the first layout, missing ids to the last.
+        layout = F.coalesce(F.col("doc_id") % len(layouts), F.lit(len(layouts) - 1))
         for number, columns in enumerate(layouts):
-            part = documents.where(F.col("doc_id") % len(layouts) == number)
+            part = documents.where(F.greatest(layout, F.lit(0)) == number)
             write_survey_csv(part.select(*columns), f"{folder}/{number}", rows_per_file=50_000)
 
     return _once(spark, sf_dir, "drifting-csv", write)

@@ -185,3 +185,14 @@ def test_jobs_run_together_and_a_failure_is_raised(spark):
 
     with pytest.raises(ValueError, match="job failed"):
         run_together(spark, [lambda: spark.range(1).count(), fail], concurrency=2)
+
+
+def test_drifting_files_hold_rows_with_negative_and_missing_ids(spark, tmp_path):
+    from tallyloom.standin.queries import src_csv_drifting_files
+
+    rows = [(i, f"text {i}", "en", "web") for i in (0, 1, 2, -1, -2, -3, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r.text, r.lang, r.source) for r in src_csv_drifting_files(spark, str(tmp_path)).collect()}
+    first, last = ("en", None), (None, None)
+    places = {0: first, 1: ("en", "web"), 2: last, -1: first, -2: first, -3: first, None: last}
+    assert got == {(f"text {i}", *place) for i, place in places.items()}
