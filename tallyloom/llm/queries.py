@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyloom.llm import chat, decontaminate, exact_dedup, language, licenses, packing, quality, simhash, substrings, warc
+from tallyloom.llm import chat, collocations, decontaminate, exact_dedup, language, licenses, lm, negatives, packing, quality, simhash, substrings, warc
 
 
 def llm_queries() -> dict:
@@ -17,6 +17,9 @@ def llm_queries() -> dict:
         "op8_simhash": simhash.op8_simhash,
         "op9_chat_formatting": chat.op9_chat_formatting,
         "op10_warc": warc.op10_warc,
+        "op11_collocations": collocations.op11_collocations,
+        "op12_hard_negatives": negatives.op12_hard_negatives,
+        "op13_lm_scores": lm.op13_lm_scores,
     }
 
 
@@ -27,4 +30,6 @@ def llm_oracles() -> dict[str, str]:
         "op6_exact_dedup": exact_dedup.OP6_SQL,
         "op9_chat_formatting": chat.OP9_SQL,
         "op10_warc": warc.OP10_SQL,
+        "op11_collocations": collocations.OP11_SQL,
+        "op12_hard_negatives": negatives.OP12_SQL,
     }
