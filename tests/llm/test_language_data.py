@@ -354,5 +354,6 @@ def test_training_lowers_the_loss_and_rounds_average_replicas(spark):
     docs = [spark.createDataFrame([(text.encode(),) for text in texts[:n]], "text binary").coalesce(1) for n in (20, 40)]
     parts = [lm.train_round(model, vocab, own, lanes=4).flat() for own in docs]
     assert not np.allclose(parts[0], parts[1])
-    both = lm.train_round(model, vocab, docs[0].union(docs[0]), lanes=4).flat()
+    twice = spark.createDataFrame(spark.sparkContext.parallelize([(text.encode(),) for text in texts[:20]] * 2, 2), "text binary")
+    both = lm.train_round(model, vocab, twice, lanes=4).flat()
     assert np.allclose(both, parts[0], atol=1e-6)  # the mean of two equal replicas
