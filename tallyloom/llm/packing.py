@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import mapped, read, ship, stored
+from tallyloom.llm.common import mapped, read, ship, stored, text_or_empty
 from tallyloom.llm.tokens import encoder
+from tallyloom.llm.words import column_bytes
 
 CAPACITY = 4096
 END_ID = 1
@@ -48,11 +49,11 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     step = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path).encode_all
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py() or "") + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(column_bytes(batch.column(1))), strict=True):
+                ids += end
                 for k, low in enumerate(range(0, len(ids), step)):
                     part = ids[low : low + step]
                     row = (doc_id, k, low // 4, len(part) // 4, zlib.crc32(part))
@@ -63,7 +64,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
 
     schema = PIECES + (", ids binary" if with_ids else "")
     names = [column.split()[0] for column in schema.split(", ")]
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     return mapped(rows, cut, schema)
 
