@@ -24,6 +24,8 @@ from tallyloom.llm.common import read, scratch, ship, stored
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
+#: Bytes of an archive, before compression; a task reads and parses one archive at a time.
+FILE_BYTES = 128 << 20
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 RECORDS = (
@@ -40,28 +42,30 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def captures(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Pages with what their record will be: ``record_type`` and, for a revisit, the page it repeats.
+    """A row for every row of ``pages`` with what its record will be: ``repeats`` names the record that a revisit repeats.
 
-    Of equal payloads of at least ``least_bytes`` bytes the one with the largest ``page_id`` is the
-    response. A missing payload is an empty one, a missing id is smaller than any. Rows that repeat
-    id and payload are one capture. Other columns are ignored.
+    Of equal payloads of at least ``least_bytes`` bytes the one with the largest ``page_id`` is the response; of several
+    with that id the one with the largest url, and of those the first. A missing payload is an empty one, a missing id or url
+    is smaller than any. Rows that repeat id, payload and url are numbered from 1. Other columns are ignored.
     """
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumn("sha", F.sha2("payload", 256)).withColumn("bytes", F.octet_length("payload").cast("bigint"))
-    # One column names a capture, so that the payloads are dealt once, for their repeats and for the join.
-    rows = rows.withColumn("capture", F.concat_ws(" ", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), "sha"))
-    ids = rows.select("capture", "page_id", "sha", "bytes").groupBy("capture").agg(F.max("page_id").alias("page_id"), F.max("sha").alias("sha"), F.max("bytes").alias("bytes"))
-    first = ids.groupBy("sha").agg(F.max("page_id").alias("keep"))
-    told = ids.join(first, "sha").select(
-        "capture",
-        F.when((F.col("bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("keep")), F.struct(F.col("keep").alias("page"))).alias("repeats"),
-    )
-    unique = rows.groupBy("capture").agg(F.max(F.struct("page_id", "url", "payload", "bytes", "sha")).alias("row"))
-    return unique.join(told, "capture").select("row.*", "repeats")
-
-
-def _record_id(kind: str, page: Column, sha: Column) -> Column:
-    digest = F.md5(F.concat_ws("\n", F.lit(kind), F.coalesce(page.cast("string"), F.lit("none")), sha))
+    # One column names equal rows, so that the payloads are dealt once, for their repeats and for the join.
+    rows = rows.withColumn("capture", F.concat_ws(" ", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), "sha", F.coalesce(F.concat(F.lit("="), "url"), F.lit("none"))))
+    ids = rows.groupBy("capture").agg(F.max("page_id").alias("page_id"), F.max("url").alias("url"), F.max("sha").alias("sha"), F.max("bytes").alias("bytes"))
+    # Written first: a payload of many pages then meets its response in a join whose skew Spark can split.
+    first = stored(ids.groupBy("sha").agg(F.max(F.struct("page_id", "url")).alias("keep")), "payload-classes")
+    is_kept = F.col("page_id").eqNullSafe(F.col("keep.page_id")) & F.col("url").eqNullSafe(F.col("keep.url"))
+    told = ids.join(first, "sha").select("capture", "keep", is_kept.alias("is_kept"))
+    unique = rows.groupBy("capture").agg(F.max(F.struct("page_id", "url", "payload", "bytes", "sha")).alias("row"), F.count("*").alias("n"))
+    each = unique.join(told, "capture").select("row.*", "keep", "is_kept", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("number"))
+    repeats = F.when((F.col("bytes") >= least_bytes) & ~(F.col("is_kept") & (F.col("number") == 1)), F.col("keep"))
+    return each.select("page_id", "url", "payload", "bytes", "sha", "number", repeats.alias("repeats"))
+
+
+def _record_id(kind: str, page: Column, sha: Column, url: Column, number: Column) -> Column:
+    named = F.concat_ws("\n", F.lit(kind), F.coalesce(page.cast("string"), F.lit("none")), sha, number.cast("string"), F.coalesce(F.concat(F.lit("="), url), F.lit("none")))
+    digest = F.md5(named)
     parts = [F.substring(digest, start, length) for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -70,10 +74,20 @@ def _clean(text: Column) -> Column:
     return F.regexp_replace(text, r"[\r\n]+", " ")
 
 
+def records_within(pages: DataFrame, file_bytes: int = FILE_BYTES, most: int = 30_000) -> int:
+    """So many records of these pages make an archive of about ``file_bytes`` bytes, uncompressed; ``most`` at most."""
+    size = pages.agg(F.avg(F.coalesce(F.octet_length(F.col("html").cast("string")), F.lit(0)))).first()[0] or 0
+    return int(max(3, min(most, 3 * file_bytes // (size + 1_500))))
+
+
 def write_archives(found: DataFrame, folder: str, records_per_file: int = 30_000) -> None:
     """Three records for each capture, as compressed archives of bounded length."""
+
+    def own_id(kind: str) -> Column:
+        return _record_id(kind, F.col("page_id"), F.col("sha"), F.col("url"), F.col("number"))
+
     uri = _clean(F.col("url"))
-    response = _record_id("response", F.col("page_id"), F.col("sha"))
+    response = own_id("response")
     digest = F.concat(F.lit("sha1:"), base32_sha1(F.col("payload")))
 
     def record(kind: Column, record_id: Column, headers: list[Column], media: str, block: Column, length: Column | None = None) -> Column:
@@ -93,10 +107,10 @@ def write_archives(found: DataFrame, folder: str, records_per_file: int = 30_000
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
     concurrent = F.concat(F.lit("WARC-Concurrent-To: "), response)
     records = F.array(
-        record(F.lit("request"), _record_id("request", F.col("page_id"), F.col("sha")), [concurrent], "application/http;msgtype=request", F.lit(f"GET / HTTP/1.1{END}")),
+        record(F.lit("request"), own_id("request"), [concurrent], "application/http;msgtype=request", F.lit(f"GET / HTTP/1.1{END}")),
         record(
             F.lit("metadata"),
-            _record_id("metadata", F.col("page_id"), F.col("sha")),
+            own_id("metadata"),
             [concurrent],
             "application/warc-fields",
             F.concat(F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("none"))), F.when(F.col("url").isNull(), F.lit("\r\nurl: none")).otherwise(F.lit("")), F.lit("\r\n")),
@@ -106,7 +120,7 @@ def write_archives(found: DataFrame, folder: str, records_per_file: int = 30_000
             response,
             [
                 F.concat(F.lit("WARC-Payload-Digest: "), digest),
-                F.when(repeats, F.concat(F.lit(f"WARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), _record_id("response", F.col("repeats.page"), F.col("sha")))),
+                F.when(repeats, F.concat(F.lit(f"WARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), _record_id("response", F.col("repeats.page_id"), F.col("sha"), F.col("repeats.url"), F.lit(1)))),
             ],
             "application/http;msgtype=response",
             F.when(repeats, http).otherwise(F.concat(http, F.col("payload"))),
@@ -202,9 +216,10 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages archived and read back, one row per capture."""
+    """All pages archived and read back, one row for each row of them."""
     folder = scratch(spark, "warc")
-    write_archives(captures(read(spark, sf_dir, "pages")), folder)
+    pages = read(spark, sf_dir, "pages")
+    write_archives(captures(pages), folder, records_within(pages))
     records = stored(read_records(spark, folder, with_payload=False), "records")
     page = F.nullif(F.col("metadata.fields")["page-id"], F.lit("none")).cast("bigint")
     rows = assemble(records).select(page.alias("page_id"), F.col("record_id").alias("__record"), *(f"response.{c}" for c in ("type", "digest", "payload_bytes", "refers_to")))
@@ -226,10 +241,13 @@ def _sql_base32(digest: str) -> str:
 
 
 OP10_SQL = f"""
-with p as (select distinct page_id, coalesce(html, '') as t from pages),
-k as (select page_id, strlen(t) as payload_bytes, sha1(t) as h, max(page_id) over (partition by t) as keep from p)
+with p as (select page_id, coalesce(html, '') as t from pages),
+k as (
+  select page_id, strlen(t) as payload_bytes, sha1(t) as h, max(page_id) over (partition by t) as keep,
+         row_number() over (partition by t order by page_id desc nulls last) as place
+  from p)
 select page_id, payload_bytes, {_sql_base32('h')} as payload_digest,
-       case when page_id is not distinct from keep then 'response' else 'revisit' end as record_type,
-       case when page_id is distinct from keep then keep end as refers_to
+       case when place = 1 then 'response' else 'revisit' end as record_type,
+       case when place > 1 then keep end as refers_to
 from k
 """

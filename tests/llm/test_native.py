@@ -115,18 +115,16 @@ def test_chats_with_missing_values_repeats_and_clashing_columns(spark):
 
 
 def expected_captures(rows):
-    pages = {}
-    for page_id, url, html in rows:
-        pages[(page_id, html or "")] = max(pages.get((page_id, html or ""), ""), url or "")
-    keep = {}
-    for page_id, html in pages:
-        keep[html] = max((p for p, h in pages if h == html and p is not None), default=None) if html not in keep else keep[html]
+    of = {}
+    for page_id, _, html in rows:
+        of.setdefault(html or "", []).append(page_id)
     out = []
-    for page_id, html in pages:
+    for html, ids in of.items():
         data = html.encode()
-        first = page_id == keep[html]
         digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
-        out.append(repr((page_id, len(data), digest, "response" if first else "revisit", None if first else keep[html])))
+        first, *others = sorted(ids, key=lambda page_id: (page_id is None, -(page_id or 0)))
+        out.append(repr((first, len(data), digest, "response", None)))
+        out.extend(repr((page_id, len(data), digest, "revisit", first)) for page_id in others)
     return sorted(out)
 
 
@@ -147,6 +145,10 @@ PAGES = [
     (6, "http://a/6", "other"),
     (None, "http://a/n", "<p>one</p>"),
     (None, None, "alone"),
+    (None, None, "alone"),
+    (2, "http://a/2b", "<p>one</p>"),
+    (1, "http://a/1b", "<p>one</p>"),
+    (1, "http://a/1", "<p>one</p>"),
 ]
 
 
@@ -168,14 +170,15 @@ def test_all_pages_come_back(spark, sf_dir):
 def test_captures_nest_their_records(spark):
     folder = back(spark, spark.createDataFrame(PAGES, "page_id bigint, url string, html string"))
     rows = assemble(read_records(spark, folder)).collect()
-    assert len(rows) == 9 and all(r.request and r.metadata for r in rows)
+    assert len(rows) == len(PAGES) == len({r.record_id for r in rows}) and all(r.request and r.metadata for r in rows)
+    assert {r.response.uri for r in rows} >= {"http://a/1", "http://a/1b", "http://a/2b"}
     by_page = {r.metadata.fields["page-id"]: r for r in rows if r.response.type == "response"}
     assert bytes(by_page["3"].response.payload).decode() == PAGES[2][2]
     revisits = [r for r in rows if r.response.type == "revisit"]
     assert {r.response.refers_to for r in revisits} <= {r.record_id for r in rows}
     records = read_records(spark, folder)
     alone = assemble(records.filter("type != 'request'")).collect()
-    assert len(alone) == 9 and not any(r.request for r in alone)
+    assert len(alone) == len(PAGES) and not any(r.request for r in alone)
 
 
 def test_parser_reads_members_and_refuses_damage(spark):
