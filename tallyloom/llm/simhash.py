@@ -21,10 +21,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import mapped, read, ship, stored
+from tallyloom.llm.common import free_names, mapped, read, ship, stored
 
 BITS = 64
 SHINGLE_WORDS = 3
@@ -67,16 +67,21 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS, bytes_at_once: int
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def row_key(docs: DataFrame) -> Column:
+    """Names a row by its id, which may be missing, and its whole text."""
+    return F.concat_ws(" ", F.coalesce(docs["doc_id"].cast("string"), F.lit("none")), F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")), 256))
+
+
 def with_fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed long."""
+    """``doc_id``, the row's ``key`` and ``fp``, the fingerprint as a signed long."""
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(text.as_py(), words) for text in batch.column(1)], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            fps = np.array([fingerprint(text.as_py(), words) for text in batch.column(2)], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], ["doc_id", "key", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return mapped(rows, marked, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key(docs).alias("key"), F.col("text").cast("string").alias("text"))
+    return mapped(rows, marked, "doc_id bigint, key string, fp bigint")
 
 
 def covering_masks(radius: int, bits: int = BITS, seed: int = 7) -> list[int]:
@@ -196,32 +201,53 @@ def components(links: DataFrame, rounds: int = 100) -> DataFrame:
     return edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
 
 
+def fingerprint_roots(marked: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``__fp`` and ``root``, one fingerprint that names the component, for every fingerprint.
+
+    Fingerprints are linked as they are, whatever ids their rows have or lack.
+    """
+    classes = marked.select("fp").distinct().withColumn("rep", F.col("fp"))
+    roots = components(near_links(classes, radius, bucket_rows))
+    named = classes.join(roots, classes["rep"] == roots["node"], "left")
+    return stored(named.select(F.col("fp").alias("__fp"), F.coalesce("root", "rep").alias("root")), "component-roots")
+
+
 def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per input row: ``doc_id``, ``fingerprint`` and ``component_id``, the smallest id reachable.
 
     A missing text is an empty one; texts without a word have fingerprint zero and are linked like any.
-    A row whose id is missing has its fingerprint's component; an id that is missing in a whole
-    fingerprint class takes part in no link and its component is missing. Other columns are ignored.
+    Rows without an id are linked like any too; a component in which no row has an id has no name. Other columns are ignored.
     """
-    marked = stored(with_fingerprints(docs, words), "fingerprints")
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("rep")).filter("rep is not null")
-    roots = components(near_links(classes, radius, bucket_rows))
-    named = classes.join(roots, classes["rep"] == roots["node"], "left").select(F.col("fp").alias("__fp"), F.coalesce("root", "rep").alias("component_id"))
+    marked = stored(with_fingerprints(docs, words).drop("key"), "fingerprints")
+    roots = fingerprint_roots(marked, radius, bucket_rows)
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    names = least.join(roots, F.col("fp") == F.col("__fp")).groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "__root")
     # Written first: a fingerprint of many documents then meets its component in a join whose skew Spark can split.
-    named = stored(named, "component-names")
+    named = stored(roots.join(names, F.col("root") == F.col("__root")).select("__fp", "component_id"), "component-names")
     out = marked.join(named, marked["fp"] == named["__fp"], "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def near_dedup(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """The documents that stay, one of each component (the smallest id), with all their columns.
+    """The documents that stay, one row of each component, with all their columns.
 
-    The decision is made for an id: where rows share one, they go only if all of them do. Rows without an
-    id are left in: nothing can be told to stay for them.
+    The row with the smallest id stays, one with an id rather than one without, and of several with that id the one whose
+    text has the smallest digest. Rows that share id and text stand for each other: one of them stays, if any does.
     """
-    last = near_groups(docs, words, radius).filter("doc_id is not null").groupBy("doc_id").agg(F.max("component_id").alias("root"))
-    gone = last.filter("root < doc_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    key, = free_names(docs, "__key")
+    marked = stored(with_fingerprints(docs, words), "fingerprints")
+    roots = fingerprint_roots(marked, radius)
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key")
+    rows = marked.groupBy("fp", "doc_id", "key").agg(F.count("*").alias("n"))
+    rows = stored(rows.join(roots, F.col("fp") == F.col("__fp")).select("root", "key", "n", order.alias("order")), "rows-of-components")
+    first = stored(rows.groupBy(F.col("root").alias("__root")).agg(F.min("order").alias("first")), "first-rows")
+    decided = rows.join(first, F.col("root") == F.col("__root")).select("key", "n", (F.col("order.key") == F.col("first.key")).alias("stays"))
+    apart = stored(decided.filter(~F.col("stays") | (F.col("n") > 1)), "rows-apart")
+    keyed = docs.withColumn(key, row_key(docs))
+    alone = keyed.join(apart.select("key"), keyed[key] == apart["key"], "left_anti")
+    repeated = apart.filter("stays")
+    one_each = keyed.join(repeated, keyed[key] == repeated["key"], "left_semi").dropDuplicates([key])
+    return alone.unionByName(one_each).drop(key)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

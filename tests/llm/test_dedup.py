@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from tallyloom.llm.exact_dedup import exact_dedup, exact_groups
@@ -60,7 +61,7 @@ def linked(rows, radius=3):
     fps = {}
     for doc_id, text in rows:
         fps.setdefault(simhash(text), []).append(doc_id)
-    known = [fp for fp, ids in fps.items() if any(i is not None for i in ids)]
+    known = list(fps)
     parent = {fp: fp for fp in known}
 
     def find(fp):
@@ -74,9 +75,8 @@ def linked(rows, radius=3):
                 parent[find(a)] = find(b)
     least = {}
     for fp in known:
-        own = min(i for i in fps[fp] if i is not None)
-        least[find(fp)] = min(least.get(find(fp), own), own)
-    return sorted(repr((i, f"{fp:016x}", least[find(fp)] if fp in parent else None)) for fp, ids in fps.items() for i in ids)
+        least.setdefault(find(fp), []).extend(i for i in fps[fp] if i is not None)
+    return sorted(repr((i, f"{fp:016x}", min(least[find(fp)], default=None))) for fp, ids in fps.items() for i in ids)
 
 
 def test_near_groups(hostile, hostile_rows, documents, nothing):
@@ -102,7 +102,23 @@ def test_near_dedup_keeps_one_of_each_component(hostile, documents):
 def test_near_dedup_of_rows_that_share_an_id(spark):
     text = "one two three four five six seven eight nine ten"
     docs = spark.createDataFrame([(1, text), (2, text), (2, "quite another text under the second id, and clean"), (3, text)], "doc_id bigint, text string")
-    assert sorted(r.doc_id for r in near_dedup(docs).collect()) == [1, 2, 2]
+    assert sorted(r.doc_id for r in near_dedup(docs).collect()) == [1, 2]
+
+
+def test_near_dedup_decides_by_row(spark):
+    text, other = "one two three four five six seven eight nine ten", "one text that is like no other text in this table at all"
+    rows = [(None, text), (None, text), (4, text), (None, text), (None, other), (None, other), (9, ""), (9, ""), (9, "")]
+    docs = spark.createDataFrame([(*row, i) for i, row in enumerate(rows)], "doc_id bigint, text string, at int")
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in near_dedup(docs).collect()))) == sorted(map(repr, [(4, text), (None, other), (9, "")]))
+
+
+def test_a_chain_through_rows_without_ids(spark, monkeypatch):
+    fps = {"a": 0, "b": 0b111, "c": 0b111111, "d": 0b111111111}
+    monkeypatch.setattr("tallyloom.llm.simhash.with_fingerprints", lambda docs, words: docs.select("doc_id", "key", F.col("text").cast("bigint").alias("fp")))
+    rows = [(5, fps["a"]), (None, fps["b"]), (3, fps["c"]), (None, fps["d"]), (8, 0xFF << 40), (None, 0xFF << 52)]
+    docs = spark.createDataFrame([(i, str(fp), f"{i} {fp}") for i, fp in rows], "doc_id bigint, text string, key string")
+    got = {(r.doc_id, int(r.fingerprint, 16)): r.component_id for r in near_groups(docs).collect()}
+    assert got == {(i, fp): 3 if fp < 1 << 20 else i for i, fp in rows}
 
 
 @pytest.mark.parametrize("radius", [1, 2, 3, 4])
