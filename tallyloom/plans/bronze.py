@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyloom.operators.headers import sanitize_columns
 from tallyloom.operators.quality import Rule, has_columns, one_header, quality_report, require_passed
 from tallyloom.sources.results import read_result, write_result
-from tallyloom.sources.survey_csv import read_survey_csv, survey_files
+from tallyloom.sources.survey_csv import header_layouts, read_survey_csv, scanned
 from tallyloom.sources.tables import drop_folder, new_build, publish, register_folder
 
 Rules = Callable[[DataFrame], Iterable[Rule]]
@@ -45,11 +45,12 @@ def land_aside(
     Names stay raw unless ``clean_names``. ``dedupe`` drops rows that repeat another in every column, as
     an edition delivered twice has; by default they stay and the report shows them.
     """
-    raw = read_survey_csv(spark, folder, record_end)
+    ranges = scanned(spark, folder)
+    raw = read_survey_csv(spark, folder, record_end, ranges)
     rows = raw.dropDuplicates() if dedupe else raw
     build = new_build(root)
     (sanitize_columns(rows) if clean_names else rows).write.option("compression", "snappy").parquet(build)
-    headers = len({export.header for export in survey_files(spark, folder)})
+    headers = len({header for header, _ in header_layouts(ranges).values()})
     return Landed(table, root, build, spark.read.parquet(build), headers)
 
 
@@ -59,10 +60,9 @@ def report_on(landed: Landed, rules: Rules) -> DataFrame:
 
 
 def publish_landed(spark: SparkSession, landed: Landed) -> DataFrame:
-    """Point the edition's table to what lies aside and drop what was there before."""
-    table = register_folder(spark, landed.table, landed.build)
+    """Publish what lies aside as the edition's present version, and point its table there."""
     publish(spark, landed.root, landed.build)
-    return table
+    return register_folder(spark, landed.table, landed.build)
 
 
 def land_edition(

@@ -10,7 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyloom.catalog.editions import EDITION_COLUMN, EDITIONS
 from tallyloom.operators.conform import SILVER_SCHEMA, conform_edition
 from tallyloom.session import run_together
-from tallyloom.sources.tables import new_build, overwrite_partition, partition_folder, publish, published, register_partitions
+from tallyloom.sources.tables import (
+    Outrun,
+    drop_folder,
+    new_build,
+    overwrite_partition,
+    partition_folder,
+    present,
+    publish,
+    register_partitions,
+)
 
 
 def refresh_edition(raw: DataFrame, edition: str, location: str) -> None:
@@ -28,25 +37,51 @@ def refresh_silver(raw_editions: Mapping[str, DataFrame], location: str) -> None
 def create_silver(raw_editions: Mapping[str, DataFrame], table: str, location: str) -> DataFrame:
     """Build the table of exactly the given editions, replacing any earlier one as a whole.
 
-    The editions are written into a folder of their own. Only when all are there does the table point to
-    it, and the folder of the earlier build goes: no reader meets half a build, and an edition that is no
-    longer given is in neither table nor folder.
+    The editions are written into a folder of their own. Only when all are there is the version published and does the
+    table point to it: no reader meets half a build, and an edition that is no longer given is in neither.
     """
     spark = next(iter(raw_editions.values())).sparkSession
     build = new_build(location)
     refresh_silver(raw_editions, build)
-    silver = register_partitions(spark, table, build, SILVER_SCHEMA, EDITION_COLUMN, raw_editions)
-    publish(spark, location, build, list(raw_editions))
-    return silver
+    return _publish(spark, table, location, build, {edition: _part(build, edition) for edition in raw_editions})
+
+
+def replace_edition(raw: DataFrame, edition: str, table: str, location: str) -> DataFrame:
+    """Replace, or add, one edition of a published table; the others are neither read nor written.
+
+    The edition is written aside; then a version is published in which it takes the place of the earlier one, and the
+    table's partition points to it. A reader sees the old rows of the edition or the new ones, never fewer. Of
+    two writers who began with one version the second raises ``Outrun`` and leaves the table as it is.
+    """
+    spark = raw.sparkSession
+    version = present(spark, location)
+    if version is None:
+        raise FileNotFoundError(f"no Silver table was built below {location}")
+    build = new_build(location)
+    refresh_edition(raw, edition, build)
+    try:
+        return _publish(spark, table, location, build, {**version.parts, edition: _part(build, edition)}, version.number)
+    except Outrun:
+        drop_folder(spark, build)
+        raise
+
+
+def _part(build: str, edition: str) -> str:
+    return partition_folder(build.rsplit("/", 1)[1], EDITION_COLUMN, edition)
+
+
+def _publish(spark: SparkSession, table: str, location: str, build: str, parts: Mapping[str, str], after: int | None = None) -> DataFrame:
+    publish(spark, location, build, parts, after)
+    return open_silver(spark, table, location)
 
 
 def open_silver(spark: SparkSession, table: str, location: str) -> DataFrame:
-    """The table as it was last built below ``location``, put into this session's catalog if need be."""
-    present = published(spark, location)
-    if present is None:
+    """The table as it was last published below ``location``, put into this session's catalog if need be."""
+    version = present(spark, location)
+    if version is None:
         raise FileNotFoundError(f"no Silver table was built below {location}")
-    build, editions = present
-    return register_partitions(spark, table, build, SILVER_SCHEMA, EDITION_COLUMN, editions)
+    folders = {edition: f"{location}/{folder}" for edition, folder in version.parts.items()}
+    return register_partitions(spark, table, location, SILVER_SCHEMA, EDITION_COLUMN, folders)
 
 
 def read_silver(spark: SparkSession, location: str, editions: Iterable[str] = EDITIONS) -> DataFrame:

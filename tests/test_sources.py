@@ -6,8 +6,10 @@ import pytest
 
 from tallyloom.session import run_together, shared_dir
 from tallyloom.sources.results import read_result, write_result
-from tallyloom.sources.survey_csv import header_drift, read_survey_csv, survey_files, write_survey_csv
-from tallyloom.sources.tables import new_build, publish, published, register_folder, save_table
+from tallyloom.sources.split_csv import read_records
+from tallyloom.sources.survey_csv import DIALECT, header_drift, header_layouts, read_survey_csv, scanned, survey_files, write_survey_csv
+from tallyloom.sources import tables
+from tallyloom.sources.tables import Outrun, new_build, present, publish, published, register_folder, save_table, versions
 
 TEXTS = ["plain", "two\nlines", 'a "quoted" word', 'ends with "x"', " blanks kept ", "comma, and\r\nreturn", "back\\slash", 'mix "",\n" end']
 
@@ -156,7 +158,7 @@ def test_a_build_is_present_once_it_is_published(spark, tmp_path):
         publish(spark, root, build, ["x", "y"])
         assert published(spark, root) == (build, ["x", "y"])
         assert register_folder(spark, "built_table", build).count() == count
-    assert [p.name for p in (tmp_path / "t").glob("build-*")] == [build.rsplit("/", 1)[1]]
+    assert len(list((tmp_path / "t").glob("build-*"))) == 2  # the one before stays for its readers
 
 
 def test_shared_folder_comes_from_the_session(spark):
@@ -196,3 +198,126 @@ def test_drifting_files_hold_rows_with_negative_and_missing_ids(spark, tmp_path)
     first, last = ("en", None), (None, None)
     places = {0: first, 1: ("en", "web"), 2: last, -1: first, -2: first, -3: first, None: last}
     assert got == {(f"text {i}", *place) for i, place in places.items()}
+
+
+def _layouts(ranges):
+    return {text: number for number, text in enumerate(header_layouts(ranges))}
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("quoting", [csv.QUOTE_MINIMAL, csv.QUOTE_ALL])
+def test_every_range_border_reads_the_same(spark, tmp_path, end, quoting):
+    rows = [(str(i), TEXTS[i % len(TEXTS)] + '"\nx\n\ny,' * (i % 3), "" if i % 5 else "\n") for i in range(23)]
+    with open(tmp_path / "d.csv", "w", newline="", encoding="utf-8") as file:
+        csv.writer(file, lineterminator=end, quoting=quoting).writerows([("id", "text", "more"), *rows])
+    expected = sorted((i, text, more or None) for i, text, more in rows)
+    size = (tmp_path / "d.csv").stat().st_size
+    tasks = set()
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for length in (41, 97, size - 3):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(length))
+            read = read_survey_csv(spark, str(tmp_path))
+            tasks.add(read.rdd.getNumPartitions())
+            assert sorted(map(tuple, read.collect())) == expected, length
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert max(tasks) > 10
+
+
+def test_divided_files_equal_the_multiline_reader(spark, tmp_path):
+    rows = [(str(i), f'answer "{i}",\nsecond line é\n' * (i % 40), "z") for i in range(3_000)]
+    for part in range(3):
+        _export(tmp_path / f"{part}.csv", [("id", "te\nxt", "z"), *rows[part::3]], "\n")
+    whole = spark.read.options(**DIALECT).options(multiLine=True, lineSep="\n").csv(str(tmp_path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        read = read_survey_csv(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 50 and read.columns == whole.columns
+        assert sorted(map(tuple, read.collect())) == sorted(map(tuple, whole.collect()))
+        ranges = scanned(spark, str(tmp_path))
+        apart, together = (read_records(spark, str(tmp_path), ranges, _layouts(ranges), most).select("layout", "text") for most in (0, 10**6))
+        assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, together.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_many_files_cost_one_job(spark, tmp_path):
+    for i in range(60):
+        (tmp_path / f"{i}.csv").write_text(f'id,"te\nxt"\n{i},a\n' if i % 2 else f"text,id\nb,{i}\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        ranges = scanned(spark, str(tmp_path))
+        assert len(tracker.getJobIdsForGroup("headers")) == 1
+        assert len(survey_files(spark, str(tmp_path), ranges)) == 60
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = {row["id"]: (row["te\nxt"], row["text"]) for row in read_survey_csv(spark, str(tmp_path), ranges=ranges).collect()}
+    assert got == {str(i): ("a", None) if i % 2 else (None, "b") for i in range(60)}
+
+
+def test_a_header_with_open_quotes_and_a_file_without_a_last_line_break(spark, tmp_path):
+    (tmp_path / "d.csv").write_bytes(b'a,b\r\n1,"x\r\ny"\r\n\r\n2,z')
+    assert sorted(map(tuple, read_survey_csv(spark, str(tmp_path)).collect())) == [("1", "x\r\ny"), ("2", "z")]
+    (tmp_path / "d.csv").write_text('a,"b\n1,2\n')
+    with pytest.raises(ValueError, match="quotes stay open"):
+        read_survey_csv(spark, str(tmp_path))
+
+
+def _builds(root):
+    return sorted(p.name for p in root.glob("build-*"))
+
+
+def test_versions_stay_for_the_readers_that_are_on_them(spark, tmp_path):
+    root, readers = str(tmp_path / "t"), []
+    for count in (4, 3, 2):
+        build = new_build(root)
+        spark.range(count).write.parquet(build)
+        version = publish(spark, root, build)
+        assert present(spark, root) == version and published(spark, root) == (build, [])
+        readers.append((count, register_folder(spark, "versioned_table", build)))
+        assert spark.table("versioned_table").count() == count
+        if len(readers) > 1:  # began before this version was published
+            before, reader = readers[-2]
+            assert reader.count() == before
+    assert [v.number for v in versions(spark, root)] == [2, 3] and len(_builds(tmp_path / "t")) == 2
+
+
+def test_a_crash_between_two_steps_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    first, second = new_build(root), new_build(root)
+    spark.range(3).write.parquet(first)
+    publish(spark, root, first)
+    spark.range(9).write.parquet(second)  # written, never published
+    assert spark.read.parquet(published(spark, root)[0]).count() == 3
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "_rename", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            publish(spark, root, second)
+    assert spark.read.parquet(published(spark, root)[0]).count() == 3
+    with monkeypatch.context() as broken:  # published, then lost before the old folders go
+        broken.setattr(tables, "drop_folder", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            publish(spark, root, second, keep=1)
+    assert spark.read.parquet(published(spark, root)[0]).count() == 9
+
+
+def test_of_two_writers_one_publishes(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    publish(spark, root, new_build(root))
+    with pytest.raises(Outrun):
+        publish(spark, root, new_build(root), after=0)
+    seen = versions(spark, root)
+    publish(spark, root, new_build(root))
+    monkeypatch.setattr(tables, "versions", lambda *_: seen)  # a writer that looked before the other had published
+    with pytest.raises(Outrun):
+        publish(spark, root, new_build(root), after=1)
+    monkeypatch.undo()
+    assert [v.number for v in versions(spark, root)] == [1, 2]
+    assert not [p for p in (tmp_path / "t" / "versions").iterdir() if "v0" not in p.name]
