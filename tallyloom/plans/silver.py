@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.catalog.editions import EDITION_COLUMN, EDITIONS
 from tallyloom.operators.conform import SILVER_SCHEMA, conform_edition
 from tallyloom.session import run_together
 from tallyloom.sources.tables import (
     Outrun,
+    Version,
     drop_folder,
     new_build,
     overwrite_partition,
@@ -84,6 +87,16 @@ def open_silver(spark: SparkSession, table: str, location: str) -> DataFrame:
     return register_partitions(spark, table, location, SILVER_SCHEMA, EDITION_COLUMN, folders)
 
 
+def read_version(spark: SparkSession, location: str, version: Version) -> DataFrame:
+    """The rows of a version that is still kept, whatever was published after it."""
+    schema = T.StructType([field for field in SILVER_SCHEMA if field.name != EDITION_COLUMN])
+    frames = [
+        spark.read.schema(schema).parquet(f"{location}/{folder}").withColumn(EDITION_COLUMN, F.lit(edition))
+        for edition, folder in version.parts.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def read_silver(spark: SparkSession, location: str, editions: Iterable[str] = EDITIONS) -> DataFrame:
     """Scan exactly these editions of a folder with the fixed schema, so no file is opened to infer one."""
     folders = [partition_folder(location, EDITION_COLUMN, edition) for edition in editions]

@@ -281,6 +281,8 @@ PLAIN_SQL: dict[str, str] = {
     "src_csv_multiline": "select doc_id, nullif(text, '') as text from documents",
     "src_csv_drifting_files": "select doc_id, nullif(text, '') as text, case when doc_id % 3 < 2 then nullif(lang, '') end as lang,"
     " case when doc_id % 3 = 1 then nullif(source, '') end as source from documents",
+    "src_csv_headers": "select case greatest(coalesce(doc_id % 3, 2), 0) when 0 then 'doc_id,text,lang' when 1 then 'lang,text,source,doc_id'"
+    " else 'text,doc_id' end as colunas, count(*) as registros from documents group by 1",
     "src_csv_split": "select doc_id, nullif(replace(replace(text, chr(10), '¶'), chr(13), '¶'), '') as text from documents",
     "sink_parquet_table": _mapped(", ".join([*RAW_COLUMNS[EDITIONS[0]], "ano_pesquisa"])),
     "silver_replace_fewer": _silver(
@@ -288,6 +290,12 @@ PLAIN_SQL: dict[str, str] = {
  union all select * from (select cargo_atual, {_TOTAL} from fewer where cargo_atual is not null group by 1 order by total desc, cargo_atual limit 15)""",
         "fewer as (select * from silver where ano_pesquisa <> '2023_2024')",
     ),
+    "silver_replace_edition": _silver(
+        " union all ".join(
+            f"select ano_pesquisa, {_TOTAL}, count(cargo_atual) as com_cargo, '{read}' as leitura from silver group by 1"
+            for read in ("antes", "depois", "tabela")
+        )
+    ),
     "silver_ctas": _silver("select * from silver"),
     "silver_overwrite_idempotent": _silver("select * from silver"),
     "sink_csv_roundtrip": _silver(
@@ -300,6 +308,7 @@ PLAIN_SQL: dict[str, str] = {
         for position, raw, name, column in (
             (1, "Área b", "area_b", "c_name"),
             (2, "area-b", "area_b_1", "c_nationkey"),
+            (3, "AREA_B", "area_b_2", "cast(c_acctbal as decimal(18,2))"),
             (4, "???", "col_sem_nome", "c_mktsegment"),
         )
     ),
@@ -389,4 +398,6 @@ def _batch_part(key: str, query: str) -> str:
 
 
 def all_oracles() -> dict[str, str]:
-    return PLAIN_SQL | {"gold_batch": _silver(" union all ".join(f"select * from ({_batch_part(key, query)})" for key, query in GOLD_SQL.items()))} | {key: _silver(query) for key, query in GOLD_SQL.items()} | MART_SQL
+    batch = _silver(" union all ".join(f"select * from ({_batch_part(key, query)})" for key, query in GOLD_SQL.items()))
+    composites = {key: _silver(query) for key, query in GOLD_SQL.items()}
+    return PLAIN_SQL | {"gold_batch": batch, "gold_batch_states": batch} | composites | MART_SQL

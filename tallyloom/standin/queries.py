@@ -15,12 +15,13 @@ from tallyloom.operators.conform import map_edition, unify
 from tallyloom.operators.headers import long_format, sanitize_columns
 from tallyloom.operators.measures import RANK, flag_adoption, flag_profile, mean_by, numbered, ordered, share, share_and_mean
 from tallyloom.operators.quality import edition_rules, quality_by
-from tallyloom.plans import charts, gold
+from tallyloom.plans import charts, gold, states
 from tallyloom.plans.run import run_gold
-from tallyloom.plans.silver import create_silver, read_silver, refresh_edition, refresh_silver
+from tallyloom.plans.silver import create_silver, read_silver, read_version, refresh_edition, refresh_silver, replace_edition
 from tallyloom.sources.results import read_result, write_result
-from tallyloom.sources.survey_csv import read_survey_csv
-from tallyloom.sources.tables import save_table
+from tallyloom.sources.split_csv import read_records
+from tallyloom.sources.survey_csv import header_layouts, read_survey_csv, scanned
+from tallyloom.sources.tables import save_table, versions
 from tallyloom.standin import landing
 from tallyloom.standin.answers import HYBRID, raw_editions, table
 from tallyloom.standin.oracles import QUESTION_NAMES
@@ -128,8 +129,9 @@ def schema_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schema_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same answers by question: position, raw and cleaned name of each column."""
-    rows = long_format(schema_sanitize(spark, sf_dir), ["c_custkey"])
-    return rows.where("name != 'area_b_2'")
+    raw = _customers(spark, sf_dir)
+    amounts = raw.select("('P0', 'c_custkey ')", "Área b", "area-b", F.col("AREA_B").cast("decimal(18,2)").alias("AREA_B"), "???")
+    return long_format(sanitize_columns(amounts), ["c_custkey"])
 
 
 def edition_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,29 +259,63 @@ def _result(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.answer(name, landing.silver(spark, sf_dir), in_order=False)
 
 
+def _with_positions(name: str, result: DataFrame) -> DataFrame:
+    """A question's rows in one layout for all questions, each with its position."""
+    question = gold.QUESTIONS[name]
+    result = numbered(result, *question.order)
+    numbers = [c for c in ("total", "total_usuarios", "percentual", "salario_medio") if c in result.columns]
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in question.columns if c not in numbers]
+    total = F.col("total_usuarios" if "total_usuarios" in numbers else "total")
+    absent = F.lit(None).cast("double")
+    return result.select(
+        F.lit(name).alias("question"),
+        RANK,
+        F.concat_ws("|", *keys).alias("chave"),
+        total.alias("total"),
+        *(F.col(c) if c in numbers else absent.alias(c) for c in ("percentual", "salario_medio")),
+    )
+
+
 def gold_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All questions answered and exported as one batch, then read back: every row with its position."""
     folders = gold.export_gold(landing.silver(spark, sf_dir), landing.scratch_folder(spark, "gold"))
-    parts = []
-    for name, folder in folders.items():
-        question = gold.QUESTIONS[name]
-        result = numbered(read_result(spark, folder, question.schema), *question.order)
-        numbers = [c for c in ("total", "total_usuarios", "percentual", "salario_medio") if c in result.columns]
-        keys = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in question.columns if c not in numbers]
-        total = F.col("total_usuarios" if "total_usuarios" in numbers else "total")
-        absent = F.lit(None).cast("double")
-        parts.append(
-            result.select(
-                F.lit(name).alias("question"),
-                RANK,
-                F.concat_ws("|", *keys).alias("chave"),
-                total.alias("total"),
-                *(F.col(c) if c in numbers else absent.alias(c) for c in ("percentual", "salario_medio")),
-            )
-        )
+    parts = (_with_positions(name, read_result(spark, folder, gold.QUESTIONS[name].schema)) for name, folder in folders.items())
     return reduce(DataFrame.unionByName, parts)
 
 
+def gold_batch_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batch from kept states: two editions, then the third, then one of them again, each scanned alone."""
+    silver, folder = landing.silver(spark, sf_dir), landing.scratch_folder(spark, "states")
+    states.write_states(silver, EDITIONS[:-1], folder)
+    for edition in (EDITIONS[-1], DRIFTED):
+        states.replace_states(silver, edition, folder)
+    kept = states.read_states(spark, folder)
+    return reduce(DataFrame.unionByName, (_with_positions(name, states.answer_from_states(name, kept, in_order=False)) for name in gold.QUESTIONS))
+
+
+def silver_replace_edition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two editions published, the third added, one replaced; counts of both versions that readers may be on."""
+    folder, name = landing.scratch_folder(spark, "silver-edition"), _table_name("silver_edition")
+    editions = raw_editions(spark, sf_dir)
+    create_silver({edition: editions[edition] for edition in EDITIONS[:-1]}, name, folder)
+    for edition in (EDITIONS[-1], DRIFTED):
+        replace_edition(editions[edition], edition, name, folder)
+    before, after = versions(spark, folder)
+    reads = (("antes", read_version(spark, folder, before)), ("depois", read_version(spark, folder, after)), ("tabela", spark.table(name)))
+    counts = (df.groupBy(EDITION_COLUMN).agg(F.count("*").alias("total"), F.count("cargo_atual").alias("com_cargo")).withColumn("leitura", F.lit(read)) for read, df in reads)
+    return reduce(DataFrame.unionByName, counts)
+
+
+def src_csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of each layout among files that drift, and its records: every file read under its own header."""
+    folder = landing.drifting_csv(spark, sf_dir)
+    ranges = scanned(spark, folder)
+    layouts = header_layouts(ranges)
+    records = read_records(spark, folder, ranges, {text: number for number, text in enumerate(layouts)})
+    names = F.array(*(F.lit(",".join(header)) for header, _ in layouts.values()))
+    return records.groupBy(F.get(names, "layout").alias("colunas")).agg(F.count("*").alias("registros"))
+
+
 def _mart(name: str) -> Query:
     source, build = charts.CHARTS[name]
     return lambda spark, sf_dir: charts.drawn(name, build(_result(source, spark, sf_dir)))
@@ -322,10 +358,12 @@ def all_queries() -> dict[str, Query]:
     plain = {
         "src_csv_multiline": src_csv_multiline,
         "src_csv_drifting_files": src_csv_drifting_files,
+        "src_csv_headers": src_csv_headers,
         "src_csv_split": src_csv_split,
         "sink_parquet_table": sink_parquet_table,
         "silver_ctas": silver_ctas,
         "silver_overwrite_idempotent": silver_overwrite_idempotent,
+        "silver_replace_edition": silver_replace_edition,
         "silver_replace_fewer": silver_replace_fewer,
         "sink_csv_roundtrip": sink_csv_roundtrip,
         "schema_lineage": schema_lineage,
@@ -344,6 +382,7 @@ def all_queries() -> dict[str, Query]:
         "flag_count_profile": flag_count_profile,
         "flag_adoption": flag_adoption_query,
         "gold_batch": gold_batch,
+        "gold_batch_states": gold_batch_states,
         "mart_work_model": mart_work_model,
         "mart_work_model_folded": mart_work_model_folded,
         "mart_display_labels": mart_display_labels,

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import re
+import threading
+import time
 
 import pytest
+from pyspark import inheritable_thread_target
 
 from survey_fixture import RESPONDENTS, write_all, write_raw
 from tallyloom.__main__ import main
@@ -16,10 +19,12 @@ from tallyloom.operators.conform import conform_edition, map_edition, resolve_co
 from tallyloom.operators.headers import clean_name, column_lineage, sanitize_columns
 from tallyloom.operators.quality import edition_rules, quality_report, require_passed
 from tallyloom.plans.bronze import land_edition
-from tallyloom.plans.gold import QUESTIONS
+from tallyloom.plans.gold import QUESTIONS, answer
 from tallyloom.plans.run import read_gold, run_bronze, run_charts, run_gold, run_silver
-from tallyloom.plans.silver import create_silver, open_silver, read_silver, refresh_edition, refresh_silver
+from tallyloom.plans.silver import create_silver, open_silver, read_silver, read_version, refresh_edition, refresh_silver, replace_edition
+from tallyloom.plans.states import answer_from_states, read_states, replace_states, survey_states, write_states
 from tallyloom.sources.survey_csv import read_survey_csv
+from tallyloom.sources.tables import present
 
 
 @pytest.fixture(scope="module")
@@ -197,13 +202,68 @@ def test_silver_is_replaced_as_a_whole_or_by_edition(spark, raw, tmp_path):
     assert table.count() == 7 and tuple(table.columns) == SILVER_COLUMNS
     fewer = create_silver({"2025_2026": raw["2025_2026"]}, "silver_replaced", root)
     assert fewer.count() == 3 and spark.table("silver_replaced").count() == 3
-    assert len(list((tmp_path / "built").glob("build-*"))) == 1
+    assert len(list((tmp_path / "built").glob("build-*"))) == 2  # the earlier one stays for its readers
     spark.sql("drop table silver_replaced")  # as in a later session, whose catalog is empty
     assert open_silver(spark, "silver_replaced", root).count() == 3
     with pytest.raises(FileNotFoundError):
         open_silver(spark, "silver_replaced", str(tmp_path / "nowhere"))
 
 
+def test_one_edition_of_a_published_table_is_replaced(spark, raw, tmp_path):
+    root, name = str(tmp_path / "built"), "silver_by_edition"
+    with pytest.raises(FileNotFoundError):
+        replace_edition(raw["2024_2025"], "2024_2025", name, root)
+    create_silver({edition: raw[edition] for edition in ("2023_2024", "2024_2025")}, name, root)
+    assert replace_edition(raw["2025_2026"], "2025_2026", name, root).count() == 7
+    others = sorted((tmp_path / "built").rglob("ano_pesquisa=2023_2024/*.parquet"))
+    stamps = [path.stat().st_mtime_ns for path in others]
+
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append(spark.table(name).where("ano_pesquisa = '2024_2025'").count())
+
+    reader = threading.Thread(target=inheritable_thread_target(spark)(read))
+    reader.start()
+    try:
+        version = present(spark, root)
+        replaced = replace_edition(raw["2024_2025"].limit(1), "2024_2025", name, root)
+    finally:
+        time.sleep(1)
+        stop.set()
+        reader.join()
+    assert replaced.count() == 6 and set(seen) == {2, 1} and sorted(seen, reverse=True) == seen
+    assert read_version(spark, root, version).count() == 7
+    assert [path.stat().st_mtime_ns for path in others] == stamps
+    spark.sql(f"drop table {name}")
+    assert dict(open_silver(spark, name, root).groupBy("ano_pesquisa").count().collect()) == {"2023_2024": 2, "2024_2025": 1, "2025_2026": 3}
+
+
+def test_questions_from_kept_states(spark, raw, tmp_path):
+    root, silver_at = str(tmp_path / "states"), str(tmp_path / "silver")
+    refresh_silver(raw, silver_at)
+    silver = read_silver(spark, silver_at)
+    many = silver.crossJoin(spark.range(17)).drop("id")
+
+    def answers(ask, source):
+        return {name: [tuple(row) for row in ask(name, source).collect()] for name in QUESTIONS}
+
+    write_states(many, ["2023_2024", "2024_2025"], root)
+    with pytest.raises(FileNotFoundError):
+        replace_states(many, "2024_2025", str(tmp_path / "nowhere"))
+    replace_states(many, "2025_2026", root)
+    expected = answers(answer, many)
+    assert answers(answer_from_states, read_states(spark, root)) == expected
+    assert sum(map(len, expected.values())) > 15
+    # Another edition of the survey: one scan, and of that edition alone.
+    fewer = many.where("ano_pesquisa <> '2024_2025' or genero is not null").where("ano_pesquisa <> '2024_2025' or id_respondente is not null")
+    plan = survey_states(silver.where("ano_pesquisa = '2024_2025'"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and re.search(r"PartitionFilters: \[[^]]*ano_pesquisa#\d+ = 2024_2025", plan)
+    replace_states(fewer, "2024_2025", root)
+    assert answers(answer_from_states, read_states(spark, root)) == answers(answer, fewer)
+
+
 def test_whole_flow(spark, tmp_path):
     warehouse = str(tmp_path / "warehouse")
     run_bronze(spark, write_all(str(tmp_path / "raw")), warehouse)
