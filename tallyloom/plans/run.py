@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyloom.catalog.editions import EDITIONS, RAW_COLUMNS
 from tallyloom.operators.conform import resolve_columns
 from tallyloom.operators.quality import Rule, edition_rules, require_passed
-from tallyloom.plans.bronze import Landed, land_aside, publish_landed, report_on
+from tallyloom.plans.bronze import Landed, keep_report, land_aside, publish_landed, report_on
 from tallyloom.plans.charts import build_charts
 from tallyloom.plans.gold import QUESTIONS, export_gold, fold_answers
 from tallyloom.plans.silver import create_silver, open_silver
@@ -44,7 +44,7 @@ def run_bronze(
 
     def land(edition: str) -> None:
         root = f"{warehouse}/bronze/{edition}"
-        landed[edition] = land_aside(spark, folders[edition], bronze_table(edition), root, clean_names, record_end, dedupe)
+        landed[edition] = land_aside(spark, folders[edition], bronze_table(edition), root, clean_names, record_end, dedupe, partial(rules, edition))
 
     def rules(edition: str, rows: DataFrame) -> list[Rule]:
         return edition_rules(rows, resolve_columns(rows.schema, RAW_COLUMNS[edition]))
@@ -54,6 +54,7 @@ def run_bronze(
         reports = [report_on(landed[edition], partial(rules, edition)) for edition in folders]
         write_result(reduce(DataFrame.unionByName, reports), f"{warehouse}/quality")
         report = read_result(spark, f"{warehouse}/quality", reports[0].schema)
+        keep_report(report, f"{warehouse}/quality-history")
         if gate:
             require_passed(report)
     except Exception:

@@ -47,7 +47,7 @@ def register_partitions(spark: SparkSession, table: str, root: str, schema: T.St
     A table that exists with these columns stays: the folders of its partitions are set one by one, and values no
     longer given are dropped. Otherwise it is created anew.
     """
-    own = [(field.name, field.dataType) for field in schema] + [(column, T.StringType())]
+    own = [(field.name, field.dataType) for field in schema if field.name != column] + [(column, T.StringType())]
     if spark.catalog.tableExists(table) and [(field.name, field.dataType) for field in spark.table(table).schema] == own:
         present = {row[0].split("=", 1)[1] for row in spark.sql(f"show partitions {table}").collect()}
         for value, folder in folders.items():

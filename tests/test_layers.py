@@ -17,7 +17,7 @@ from tallyloom.catalog.editions import RAW_COLUMNS, SILVER_COLUMNS
 from tallyloom.functions import midpoint
 from tallyloom.operators.conform import conform_edition, map_edition, resolve_columns, unify
 from tallyloom.operators.headers import clean_name, column_lineage, sanitize_columns
-from tallyloom.operators.quality import edition_rules, quality_report, require_passed
+from tallyloom.operators.quality import edition_rules, observed, quality_report, report_with, require_passed
 from tallyloom.plans.bronze import land_edition
 from tallyloom.plans.gold import QUESTIONS, answer
 from tallyloom.plans.run import read_gold, run_bronze, run_charts, run_gold, run_silver
@@ -131,6 +131,28 @@ def test_quality_flags_unknown_answers(spark, raw):
     assert rows["unknown_salary_bands"] == 1 and rows["bad_language_flags"] == 0 and rows["duplicate_ids"] == 0
 
 
+def test_rules_are_observed_by_the_write(spark, raw, tmp_path):
+    edition = "2023_2024"
+    rules = edition_rules(raw[edition], RAW_COLUMNS[edition])
+    watched, watch = observed(raw[edition], rules)
+    watched.write.parquet(str(tmp_path / "p"))
+    assert set(watch.get) == {"unknown_salary_bands", "bad_language_flags"}
+    written = spark.read.parquet(str(tmp_path / "p"))
+    expected = sorted(map(tuple, quality_report(written, "x", rules).collect()))
+    assert sorted(map(tuple, report_with(written, "x", rules, watch.get).collect())) == expected
+    plain = report_with(written, "x", [rule for rule in rules if rule.plain], watch.get)
+    assert "FileScan" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert observed(written, []) == (written, None)
+
+
+def test_every_evaluation_is_kept(spark, tmp_path):
+    folder = write_raw(str(tmp_path / "raw"), "2024_2025")
+    for _ in range(2):
+        land_edition(spark, folder, "bronze_history", str(tmp_path / "h"))
+    history = spark.read.parquet(str(tmp_path / "h/quality-history"))
+    assert history.count() == 4 and history.select("evaluated_at").distinct().count() == 2
+
+
 def test_gate_stops_landing(spark, tmp_path):
     folders = {"2023_2024": write_raw(str(tmp_path / "raw"), "2023_2024")}
     with pytest.raises(ValueError, match="unknown_salary_bands=1"):
