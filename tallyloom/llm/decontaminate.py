@@ -13,7 +13,9 @@ more, and in each the longest part within its edits is sought, of at least half
 The bound of a window is the least of all such parts. An item is found in a document when
 segments and parts together cover at least ``share`` of its characters, each counted once.
 
-Characters are compared after lower-casing A-Z and with every ASCII white space as a blank. The
+Characters are compared after lower-casing A-Z and with every run of white space as one blank. Items of
+fewer characters than a q-gram must stand whole, without edits, and neither begin nor end inside a word. Where a tenth of
+a length asks for no q-gram (10 to 15, 20 to 23, 30 and 31 characters) one edit less is allowed. The
 items are taken in blocks of bounded size, each of which passes over all documents.
 """
 
@@ -47,12 +49,50 @@ _BASE = 0x9E3779B97F4A7C15
 _BASES = tuple(np.uint64(pow(_BASE, 2**i, 2**64)) for i in range(6))
 
 
+#: White space beyond ASCII, and its separators, which Python takes for white space too.
+BLANKS = np.array([code for code in (*range(28, 32), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)], dtype=np.uint32)
+
+
 def characters(text: str | None) -> np.ndarray:
-    """The code points that are compared."""
+    """The code points that are compared: A-Z in lower case, every run of white space as one blank."""
+    return _placed(text)[0]
+
+
+def _placed(text: str | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """The same, and the place of each in the text where that differs."""
     codes = np.frombuffer((text or "").encode("utf-32-le", "replace"), dtype="<u4").copy()
     codes += np.uint32(32) * ((codes >= 65) & (codes <= 90)).astype(np.uint32)
-    codes[(codes >= 9) & (codes <= 13)] = 32
-    return codes
+    blank = ((codes >= 9) & (codes <= 13)) | (codes == 32)
+    odd = np.flatnonzero((codes > 126) | ((codes > 27) & (codes < 32)))
+    blank[odd[np.isin(codes[odd], BLANKS)]] = True
+    codes[blank] = 32
+    again = blank[1:] & blank[:-1]
+    if not again.any():
+        return codes, None
+    kept = np.flatnonzero(np.append(True, ~again))
+    return codes[kept], kept
+
+
+def words_apart(codes: np.ndarray, first: int, last: int) -> bool:
+    """Whether a place does not begin or end inside a word."""
+
+    def joined(left: int, right: int) -> bool:
+        return left >= 0 and right < len(codes) and chr(codes[left]).isalnum() and chr(codes[right]).isalnum()
+
+    return not joined(first - 1, first) and not joined(last - 1, last)
+
+
+def short_places(codes: np.ndarray, short: dict[int, dict[bytes, list[int]]]) -> Iterator[tuple[int, int, int]]:
+    """Items too short for a q-gram, by their length and characters, where they stand whole and apart: item, first, behind the last."""
+    for length, wanted in short.items():
+        if len(codes) < length:
+            continue
+        windows = np.lib.stride_tricks.sliding_window_view(codes, length)
+        likely = np.isin(codes[: len(windows)], np.array([np.frombuffer(item, "<u4")[0] for item in wanted], dtype=np.uint32))
+        for at in np.flatnonzero(likely).tolist():
+            for item in wanted.get(windows[at].tobytes(), ()):
+                if words_apart(codes, at, at + length):
+                    yield item, at, at + length
 
 
 def grams(codes: np.ndarray, q: int = Q) -> np.ndarray:
@@ -284,6 +324,11 @@ def longest(codes: np.ndarray, index: Index, segment: np.ndarray, diagonal: np.n
 def searcher(items: list[tuple[int, str]], share: float = SHARE, q: int = Q, chars_at_once: int = CHARS_AT_ONCE) -> Callable[[pa.Array], list[tuple]]:
     """Finds in a column of texts every row and item of a block that meet: row, item's id, part of its characters, edits, place."""
     ids, block = [item_id for item_id, _ in items], tuple(items)
+    short: dict[int, dict[bytes, list[int]]] = {}
+    for number, (_, text) in enumerate(items):
+        own = characters(text.strip())
+        if 0 < len(own) < q:
+            short.setdefault(len(own), {}).setdefault(own.tobytes(), []).append(number)
 
     def search(pieces: list[tuple[int, int, np.ndarray]], index: Index, best: dict) -> None:
         """Adds the best place of each segment in each document; pieces are (document, its characters before, characters)."""
@@ -319,12 +364,20 @@ def searcher(items: list[tuple[int, str]], share: float = SHARE, q: int = Q, cha
             if found >= share - 1e-9:
                 yield doc, ids[item], found, sum(u[0] for u in used), max(min(u[1] for u in used), 0), max(u[2] for u in used)
 
+    def in_text(text: str, first: int, last: int) -> tuple[int, int]:
+        """A place among the characters compared as one in the text."""
+        codes, at = _placed(text)
+        return (first, last) if at is None else (int(at[min(first, len(codes) - 1)]), int(at[min(last, len(codes)) - 1]) + 1)
+
     def found_in(texts: pa.Array) -> list[tuple]:
         index = index_of(block, q, share)  # tasks get the items, not the index, which is many times as large
         best: dict[tuple[int, int], dict[int, tuple[int, int, int, int]]] = {}
+        whole: dict[tuple[int, int], tuple[int, int]] = {}
         held, size = [], 0
         for i, text in enumerate(texts):
             codes = characters(text.as_py())
+            for item, first, last in short_places(codes, short) if short else ():
+                whole.setdefault((i, item), (first, last))
             # A very long text is searched in parts that overlap by more than any place is long.
             for low in range(0, max(len(codes), 1), chars_at_once):
                 held.append((i, low, codes[low : low + chars_at_once + 4 * SEGMENT]))
@@ -334,7 +387,8 @@ def searcher(items: list[tuple[int, str]], share: float = SHARE, q: int = Q, cha
                     held, size = [], 0
         if held:
             search(held, index, best)
-        return list(rows_of(best, index))
+        found = [*rows_of(best, index), *((i, ids[item], 1.0, 0, *place) for (i, item), place in whole.items())]
+        return [(i, item, part, edits, *in_text(texts[i].as_py(), first, last)) for i, item, part, edits, first, last in sorted(found, key=lambda row: (row[0], repr(row[1])))]
 
     return found_in
 
@@ -375,7 +429,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, q: i
     """Every document and benchmark item of which it holds at least ``share``, one row each.
 
     Parts of the item count where they hold half a segment or ``share`` of it (see above), whichever is less, with a tenth of edits.
-    Missing and empty texts hold and are nothing; items shorter than ``q`` characters cannot be searched for.
+    Missing and empty texts hold and are nothing; items shorter than ``q`` characters count only whole (see above).
+    Places are in characters of the text as it is.
     Repeated documents are reported each; a repeated item's rows are reported each. Other columns
     are ignored.
     """

@@ -53,6 +53,9 @@ NO_ID = np.iinfo(np.int64).max
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
+#: Of the 64 bits that decide an anchor these hold its place, the others lead its hash: as many in a block of any size,
+#: so that equal strings have one anchor in all of them.
+PLACE_BITS = 32
 KEY_SHIFT = np.uint64(16)  # anchors are told by their 48 leading bits
 
 
@@ -328,7 +331,7 @@ class Block:
         first, strings, doc, key = empty, empty, empty, np.empty(0, np.uint64)
         if len(text) >= LENGTH:
             grams = _mix(hashes.grams(GRAM))
-            bits = np.uint64(max(1, int(len(grams)).bit_length()))
+            bits = np.uint64(PLACE_BITS)
             # The least hash of a window with its place; of equal hashes the leftmost.
             least = grams >> bits
             least <<= bits

@@ -7,10 +7,12 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 import xxhash
 
 from tallyloom.llm.exact_dedup import exact_dedup, exact_groups
+from tallyloom.llm import substrings
 from tallyloom.llm.simhash import bucket_links, components, covering_masks, fingerprint, near_dedup, near_groups, near_links
 from tallyloom.llm.substrings import Hashes, Suffixes, without_repeats
 
@@ -195,6 +197,22 @@ def test_repeated_passages_of_hostile_rows(spark, hostile, hostile_rows, nothing
     assert without_repeats(nothing).count() == 0
 
 
+def test_equal_strings_have_one_anchor_in_blocks_of_any_size(monkeypatch):
+    rng = np.random.default_rng(6)
+    text = rng.integers(97, 123, 3_000).astype(np.uint8).tobytes()
+    filler = rng.integers(97, 123, 900_000).astype(np.uint8).tobytes()
+    mix = substrings._mix
+    monkeypatch.setattr(substrings, "_mix", lambda h: mix(h) & np.uint64(0xFF << 12 | 0xF << 60))  # ties in most of the bits
+
+    def keys(data):
+        one = np.array([1], dtype=np.int64)
+        block = substrings.Block.of(one.tobytes(), np.array([False]).tobytes(), np.array([len(data)], dtype=np.int64).tobytes(), zstandard.ZstdCompressor().compress(data))
+        return {int(first) + i: int(key) for first, n, key in zip(block.first, block.strings, block.key, strict=True) for i in range(n)}
+
+    small, large = keys(text), keys(text + filler)
+    assert len(small) == 2_951 and all(large[at] == key for at, key in small.items())
+
+
 def test_suffix_sort_by_hashes():
     rng = np.random.default_rng(3)
     for trial in range(30):

@@ -268,6 +268,29 @@ def test_edited_cut_and_shouted_leaks(spark, sf_dir):
     assert {r.doc_id for r in decontaminate.find_leaks(docs, benchmark).collect() if r.item_id == item.item_id} == {1, 2, 3, 4}
 
 
+@pytest.mark.parametrize("blank", ["  ", "\u00a0", " \t\u2003 ", "\n\n"])
+def test_white_space_of_any_kind_is_one_blank(spark, sf_dir, blank):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    items = [(r.item_id, r.text) for r in benchmark.collect()]
+    ahead, behind = "before it " * 9, " and behind it" * 9
+    docs = spark.createDataFrame([(i, ahead.replace(" ", "   ") + text.replace(" ", blank) + behind) for i, text in items], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in decontaminate.find_leaks(docs, benchmark).collect() if r.doc_id == r.item_id}
+    assert set(found) == {i for i, _ in items}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for i, text in items:
+        own = texts[i][found[i].first : found[i].last]
+        assert abs(len(" ".join(own.split())) - len(" ".join(text.split()))) <= 0.2 * len(text) + 2
+
+
+def test_short_items_count_whole_and_apart(spark):
+    benchmark = spark.createDataFrame([(1, "a b"), (2, "Query"), (3, "½"), (4, " x+y "), (5, "")], "item_id bigint, text string")
+    rows = [(10, "the A   B of it"), (11, "a bc"), (12, "no queryx, no xquery"), (13, "(query)"), (14, "3½"), (15, "x + y"), (16, "say x+y."), (17, None), (18, "b a  b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.item_id, r.first, r.last, r.found) for r in decontaminate.find_leaks(docs, benchmark).collect())
+    assert got == [(10, 1, 4, 9, 1.0), (13, 2, 1, 6, 1.0), (16, 4, 4, 7, 1.0), (18, 1, 2, 6, 1.0)]
+    assert sorted(r.doc_id for r in decontaminate.without_leaks(docs, benchmark).collect()) == [11, 12, 14, 15, 17]
+
+
 def test_leaks_of_hostile_rows_and_benchmarks(spark, hostile, nothing):
     rows = [(1, None), (2, ""), (3, "abc"), (4, "one two three four five six seven eight nine ten eleven twelve"), (4, "thion anea stble of the erou " * 4), (None, "released under the mit license.")]
     benchmark = spark.createDataFrame(rows, "item_id bigint, text string").withColumn("doc_id", F.lit("clash"))
