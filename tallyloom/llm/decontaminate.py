@@ -21,6 +21,7 @@ items are taken in blocks of bounded size, each of which passes over all documen
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -53,13 +54,23 @@ _BASES = tuple(np.uint64(pow(_BASE, 2**i, 2**64)) for i in range(6))
 BLANKS = np.array([code for code in (*range(28, 32), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)], dtype=np.uint32)
 
 
+_LOWERED = bytes(byte + 32 if 65 <= byte <= 90 else 32 if byte in (*range(9, 14), *range(28, 32)) else byte for byte in range(256))
+_ODD_BLANK = re.compile("[%s]" % "".join(map(chr, BLANKS[BLANKS > 126])))
+_MAYBE_ODD = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+
+
 def characters(text: str | None) -> np.ndarray:
     """The code points that are compared: A-Z in lower case, every run of white space as one blank."""
-    return _placed(text)[0]
+    data = (text or "").encode("utf-8", "replace").translate(_LOWERED)
+    if _MAYBE_ODD.search(data):
+        data = _ODD_BLANK.sub(" ", data.decode()).encode()
+    if b"  " in data:
+        data = re.sub(b"  +", b" ", data)
+    return np.frombuffer(data.decode().encode("utf-32-le"), dtype="<u4")
 
 
 def _placed(text: str | None) -> tuple[np.ndarray, np.ndarray | None]:
-    """The same, and the place of each in the text where that differs."""
+    """The same, and the place of each in the text where that differs; for the few texts in which something was found."""
     codes = np.frombuffer((text or "").encode("utf-32-le", "replace"), dtype="<u4").copy()
     codes += np.uint32(32) * ((codes >= 65) & (codes <= 90)).astype(np.uint32)
     blank = ((codes >= 9) & (codes <= 13)) | (codes == 32)

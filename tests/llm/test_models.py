@@ -282,6 +282,19 @@ def test_white_space_of_any_kind_is_one_blank(spark, sf_dir, blank):
         assert abs(len(" ".join(own.split())) - len(" ".join(text.split()))) <= 0.2 * len(text) + 2
 
 
+def test_characters_are_those_that_places_are_told_of():
+    rng = np.random.default_rng(3)
+    alphabet = list("aB \t\n\u00a0\u2003\u3000\x1c\u0085\u2028é日½\x00😀")
+    for n in (0, 1, 2, 30, 300):
+        for _ in range(60):
+            text = "".join(rng.choice(alphabet, n))
+            codes, at = decontaminate._placed(text)
+            assert decontaminate.characters(text).tolist() == codes.tolist()
+            plain = "".join(chr(c) for c in codes)
+            assert plain.split() == text.replace("\x1c", " ").translate({c: c + 32 for c in range(65, 91)}).split() and "  " not in plain
+            assert at is None or [len(at), text[at[0]].isspace()] == [len(codes), plain[0] == " "]
+
+
 def test_short_items_count_whole_and_apart(spark):
     benchmark = spark.createDataFrame([(1, "a b"), (2, "Query"), (3, "½"), (4, " x+y "), (5, "")], "item_id bigint, text string")
     rows = [(10, "the A   B of it"), (11, "a bc"), (12, "no queryx, no xquery"), (13, "(query)"), (14, "3½"), (15, "x + y"), (16, "say x+y."), (17, None), (18, "b a  b")]
