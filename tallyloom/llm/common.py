@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import io
 import os
 import string
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -36,9 +39,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def mapped(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
+    """``mapInArrow`` with a function of this package; workers give back the memory they needed when a task ends."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: an idle worker would keep it beside those that work."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps its memory
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def ship(spark: SparkSession) -> None:

@@ -21,8 +21,8 @@ import pyarrow.compute as pc
 
 from tallyloom.llm.words import cut_points, tokens, translation
 
-CHUNK_BYTES = 8 << 20
-CACHED_PARTS = 700_000
+CHUNK_BYTES = 4 << 20
+CACHED_PARTS = 400_000
 CACHED_CHARS = 48
 WORD_END = "</w>"
 
