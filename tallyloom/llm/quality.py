@@ -203,7 +203,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose predicted quality is 1, with all their columns; each is decided by its own text, whatever its id."""
     known = labels.filter("quality in (0, 1)").select(F.col("doc_id").alias("__known")).distinct()
     rows = docs.select("doc_id", "text")  # the fit needs the statistics of labelled rows alone
-    model = fit(stored(with_statistics(rows.join(known, rows["doc_id"] == known["__known"], "left_semi")), "statistics"), labels)
+    model = fit(stored(with_statistics(rows.join(known.hint("merge"), rows["doc_id"] == known["__known"], "left_semi")), "statistics"), labels)
 
     def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
