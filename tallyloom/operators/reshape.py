@@ -59,6 +59,31 @@ def pivot_sum(df: DataFrame, index: str, column: str, value: str, order: Sequenc
     return pivoted.na.fill(0)
 
 
+def matrix(df: DataFrame, index: str, column: str, value: str, cells: str = "celulas") -> DataFrame:
+    """One row per ``index`` with a map from category to summed value, for categories that nobody has listed.
+
+    Nothing has to look the categories up first, and there is no limit to their number but what one row
+    holds. Cells are summed before they are gathered, so a row gathers each of its categories once.
+    Missing values add nothing; a missing category is called ``null``, as a pivot calls it.
+    """
+    category = F.coalesce(F.col(column).cast("string"), F.lit("null")).alias(column)
+    summed = df.groupBy(F.col(index), category).agg(F.coalesce(F.sum(value), F.lit(0)).alias(value))
+    entries = F.sort_array(F.collect_list(F.struct(column, value)))
+    return summed.groupBy(index).agg(F.map_from_entries(entries).alias(cells))
+
+
+def spread(rows: DataFrame, index: str, cells: str, order: Sequence[str]) -> DataFrame:
+    """The columns of a :func:`matrix` drawn out in the given order; a category a row lacks is 0 there.
+
+    A category that is not in ``order`` is an error, as in a listed pivot.
+    """
+    unlisted = F.array_except(F.map_keys(cells), F.array(*(F.lit(c) for c in order)).cast("array<string>"))
+    failed = F.raise_error(F.concat(F.lit("not listed: "), F.array_join(unlisted, ", "))).cast(rows.schema[index].dataType)
+    checked = F.when(F.size(unlisted) > 0, failed).otherwise(F.col(index)).alias(index)
+    kind = rows.schema[cells].dataType.valueType
+    return rows.select(checked, *(F.coalesce(F.col(cells)[F.lit(c)], F.lit(0).cast(kind)).alias(c) for c in order))
+
+
 def group_gap(
     df: DataFrame, index: str, column: str, value: str, base: str, other: str, order: Sequence[str], digits: int = 1
 ) -> DataFrame:

@@ -185,6 +185,12 @@ _MARTS: dict[str, str] = {
         f"""merged as (select coalesce({_case('ia_prioridade_empresa', _texts(AI_PRIORITY_FOLD))}, ia_prioridade_empresa) as rotulo_curto,
  round(sum(percentual), 1) as percentual, round(sum(salario_medio * percentual) / sum(percentual), 6) as salario_medio
  from gold group by 1)""",
+    ),
+    "mart_without_counts": _over_gold(
+        "gold_share_and_pay",
+        f"select *, format('{{:.1f}}%', percentual) || '  |  Média: ' || {_amount('coalesce(salario_medio, 0.0)')} as label from merged",
+        f"""merged as (select coalesce({_case('ia_prioridade_empresa', _texts(AI_PRIORITY_FOLD))}, ia_prioridade_empresa) as rotulo_curto,
+ round(sum(percentual), 1) as percentual, round(avg(salario_medio), 6) as salario_medio from gold group by 1)""",
     ),
     "mart_region": _over_gold("gold_region_pay", "select * from gold"),
     "mart_display_labels": _silver(
@@ -214,7 +220,7 @@ MART_SQL: dict[str, str] = (
     | _positions(f"ano_pesquisa, {_GENDER_RANK}", _MARTS, "mart_stack_offsets")
     | _positions("list_position(['Júnior', 'Pleno', 'Sênior', 'Especialista/Staff+'], senioridade)", _MARTS, "mart_gap")
     | _positions("total_usuarios desc nulls last, tecnologia", _MARTS, "mart_tech")
-    | _positions("percentual desc nulls last, rotulo_curto", _MARTS, "mart_ai_priority")
+    | _positions("percentual desc nulls last, rotulo_curto", _MARTS, "mart_ai_priority", "mart_without_counts")
     | _positions("salario_medio desc nulls last, regiao_onde_mora", _MARTS, "mart_region")
     | {"mart_display_labels": _MARTS["mart_display_labels"]}
 )
@@ -340,6 +346,17 @@ PLAIN_SQL: dict[str, str] = {
     "share_and_avg": f"""select event_type, {_TOTAL}, {_share('count(*)', 'sum(count(*)) over ()')} as percentual,
  cast(round(avg(cast(value as decimal(18,6))), 2) as double) as salario_medio
  from events where event_type is not null group by event_type""",
+    "sink_csv_typed": """select l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as bigint) as l_linenumber, l_quantity, l_extendedprice,
+ l_returnflag, l_linestatus = 'O' as aberta, cast(case when l_returnflag <> 'N' then l_linenumber end as double) as linha_devolvida,
+ cast(null as double) as nada from lineitem""",
+    "positions_running": """select *, row_number() over o as posicao, cast(sum(total) over (o rows unbounded preceding) as bigint) as acumulado
+ from (select l_partkey, l_suppkey, count(*) as total from lineitem group by 1, 2)
+ window o as (order by total desc, l_partkey nulls last, l_suppkey nulls last)""",
+    "matrix_open": """select l_returnflag, count(*) as categorias, string_agg(chave || '=' || soma, ' ' order by chave) as celulas
+ from (select l_returnflag, coalesce(cast(l_suppkey as varchar), 'null') as chave,
+ cast(cast(coalesce(sum(l_quantity), 0) as bigint) as varchar) as soma from lineitem group by 1, 2) group by 1""",
+    "matrix_spread": """select l_suppkey, count(*) filter (l_returnflag = 'A') as "A", count(*) filter (l_returnflag = 'N') as "N",
+ count(*) filter (l_returnflag = 'R') as "R" from lineitem group by 1""",
     "flag_count_profile": f"""with {_LINE_FLAGS} select discounted + taxed + bulk as flags, {_MEAN_QUANTITY}
  from flags where l_quantity is not null group by 1 having count(*) >= 15""",
     "flag_adoption": f"""with {_LINE_FLAGS}
@@ -397,7 +414,45 @@ def _batch_part(key: str, query: str) -> str:
  {chave} as chave, cast({total} as bigint) as total, {shares} as percentual, {pay} as salario_medio from ({query})"""
 
 
+def _type_part(key: str, query: str) -> str:
+    """The type of every column of a result by its values, and how many are known."""
+    keys, _ = BATCH_ROWS[key]
+    numbers = [n for n in ("total_usuarios" if "total_usuarios" in query else "total", "percentual", "salario_medio") if n in query]
+    parts = []
+    for column in [*keys, *numbers]:
+        text = f"cast({column} as varchar)"
+        parts.append(
+            f"""select '{QUESTION_NAMES[key]}' as question, '{column}' as coluna,
+ case when count({column}) = 0 then 'double'
+ when count(*) filter (regexp_full_match({text}, '[+-]?[0-9]+')) = count(*) then 'bigint'
+ when count(try_cast({text} as double)) = count({column}) then 'double' else 'string' end as tipo,
+ count({column}) as preenchidas from ({query})"""
+        )
+    return " union all ".join(parts)
+
+
+def _chart_rows() -> str:
+    """Rows of every mart but the two that may be missing."""
+    return " union all ".join(
+        f"select '{mart}' as mart, count(*) as linhas from ({MART_SQL[key]})"
+        for mart, key in (
+            ("top_roles", "mart_top_roles"),
+            ("sectors", "mart_sector"),
+            ("work_models", "mart_work_model"),
+            ("top_profiles", "mart_top_profiles"),
+            ("language_count", "mart_flag_count"),
+            ("gender_matrix", "mart_gender_pivot"),
+            ("gender_stack", "mart_stack_offsets"),
+            ("gender_gap", "mart_gap"),
+            ("technologies", "mart_tech"),
+            ("regions", "mart_region"),
+        )
+    )
+
+
 def all_oracles() -> dict[str, str]:
     batch = _silver(" union all ".join(f"select * from ({_batch_part(key, query)})" for key, query in GOLD_SQL.items()))
     composites = {key: _silver(query) for key, query in GOLD_SQL.items()}
-    return PLAIN_SQL | {"gold_batch": batch, "gold_batch_states": batch} | composites | MART_SQL
+    types = _silver(" union all ".join(f"select * from ({_type_part(key, query)})" for key, query in GOLD_SQL.items()))
+    batches = {"gold_batch": batch, "gold_batch_states": batch, "gold_export_order": batch, "gold_export_types": types}
+    return PLAIN_SQL | batches | composites | MART_SQL | {"charts_without_sources": _chart_rows()}

@@ -14,14 +14,17 @@ from tallyloom.functions import blank_to_null, midpoint, truth_label
 from tallyloom.operators.conform import map_edition, unify
 from tallyloom.operators.headers import long_format, sanitize_columns
 from tallyloom.operators.measures import RANK, flag_adoption, flag_profile, mean_by, numbered, ordered, share, share_and_mean
+from tallyloom.operators.positions import positioned, running_total
 from tallyloom.operators.quality import edition_rules, quality_by
+from tallyloom.operators.reshape import matrix, spread
 from tallyloom.plans import charts, gold, states
-from tallyloom.plans.run import run_gold
+from tallyloom.plans.run import read_gold, run_gold
 from tallyloom.plans.silver import create_silver, read_silver, read_version, refresh_edition, refresh_silver, replace_edition
 from tallyloom.sources.results import read_result, write_result
 from tallyloom.sources.split_csv import read_records
 from tallyloom.sources.survey_csv import header_layouts, read_survey_csv, scanned
 from tallyloom.sources.tables import save_table, versions
+from tallyloom.sources.typed import found_types, read_typed, typed
 from tallyloom.standin import landing
 from tallyloom.standin.answers import HYBRID, raw_editions, table
 from tallyloom.standin.oracles import QUESTION_NAMES
@@ -114,6 +117,34 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_result(spark, folder, exported.schema)
 
 
+def sink_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All line items exported as CSV and read back under the types their values have."""
+    lines = table(spark, sf_dir, "lineitem")
+    exported = lines.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
+        (F.col("l_linestatus") == "O").alias("aberta"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_linenumber")).alias("linha_devolvida"),
+        F.lit(None).cast("string").alias("nada"),
+    )
+    folder = landing.scratch_folder(spark, "typed")
+    write_result(exported, folder)
+    return read_typed(spark, folder)
+
+
+def gold_export_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported results read back without their schemas: the type of every column and its known values."""
+    folders = gold.export_gold(landing.silver(spark, sf_dir), landing.scratch_folder(spark, "gold-types"))
+    parts = []
+    for name, folder in folders.items():
+        names = gold.QUESTIONS[name].columns
+        texts = read_result(spark, folder, ", ".join(f"`{column}` string" for column in names))
+        types = found_types(texts)
+        known = typed(texts, types).agg(*(F.count(c).alias(c) for c in names)).unpivot([], names, "coluna", "preenchidas")
+        kinds = F.create_map(*(F.lit(v) for pair in types.items() for v in pair))
+        parts.append(known.select(F.lit(name).alias("question"), "coluna", kinds[F.col("coluna")].alias("tipo"), "preenchidas"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Schema
 
 
@@ -259,10 +290,10 @@ def _result(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.answer(name, landing.silver(spark, sf_dir), in_order=False)
 
 
-def _with_positions(name: str, result: DataFrame) -> DataFrame:
-    """A question's rows in one layout for all questions, each with its position."""
+def _with_positions(name: str, result: DataFrame, order: tuple[str, ...] | None = None) -> DataFrame:
+    """A question's rows in one layout for all questions, each with its position in its own or the given order."""
     question = gold.QUESTIONS[name]
-    result = numbered(result, *question.order)
+    result = numbered(result, *(question.order if order is None else order))
     numbers = [c for c in ("total", "total_usuarios", "percentual", "salario_medio") if c in result.columns]
     keys = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in question.columns if c not in numbers]
     total = F.col("total_usuarios" if "total_usuarios" in numbers else "total")
@@ -293,6 +324,54 @@ def gold_batch_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, (_with_positions(name, states.answer_from_states(name, kept, in_order=False)) for name in gold.QUESTIONS))
 
 
+def gold_export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported results in the order in which their rows stand in the files."""
+    folders = gold.export_gold(landing.silver(spark, sf_dir), landing.scratch_folder(spark, "gold-order"))
+    parts = []
+    for name, folder in folders.items():
+        rows = read_result(spark, folder, gold.QUESTIONS[name].schema)
+        standing = rows.withColumn("_file", F.col("_metadata.file_name")).withColumn("_row", F.monotonically_increasing_id())
+        parts.append(_with_positions(name, standing, ("_file", "_row")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def positions_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of part and supplier by its line items: position and running total, no task holding all pairs."""
+    pairs = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("total"))
+    return running_total(positioned(pairs, "-total", "l_partkey", "l_suppkey"), "total", "acumulado")
+
+
+def matrix_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantity by return flag and supplier, as one map a row; no job looks the suppliers up."""
+    rows = matrix(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_suppkey", "l_quantity")
+    entries = F.transform(F.map_entries("celulas"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("bigint").cast("string")))
+    return rows.select("l_returnflag", F.size("celulas").cast("bigint").alias("categorias"), F.array_join(entries, " ").alias("celulas"))
+
+
+def matrix_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by supplier and return flag, the flags drawn out as columns at the end."""
+    counted = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(F.count("*").alias("total"))
+    return spread(matrix(counted, "l_suppkey", "l_returnflag", "total"), "l_suppkey", "celulas", RETURN_FLAGS)
+
+
+def mart_without_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AI priority from a result without counts: shares summed, pay averaged plainly."""
+    return charts.drawn("ai_priority", charts.ai_priority(_result("ai_priority", spark, sf_dir).drop("total")))
+
+
+def charts_without_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which marts are drawn, and with how many rows, when the exports of two optional ones are missing."""
+    warehouse = landing.scratch_folder(spark, "gold-missing")
+    silver = landing.silver(spark, sf_dir)
+    left_out = {charts.CHARTS[mart][0] for mart in charts.OPTIONAL}
+    for name, question in gold.QUESTIONS.items():
+        if name not in left_out and any(source == name for source, _ in charts.CHARTS.values()):
+            write_result(gold.answer(name, silver), f"{warehouse}/gold/{name}")
+    marts = charts.build_charts(read_gold(spark, warehouse))
+    counts = (mart.agg(F.count(F.lit(1)).alias("linhas")).withColumn("mart", F.lit(name)) for name, mart in marts.items())
+    return reduce(DataFrame.unionByName, counts)
+
+
 def silver_replace_edition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two editions published, the third added, one replaced; counts of both versions that readers may be on."""
     folder, name = landing.scratch_folder(spark, "silver-edition"), _table_name("silver_edition")
@@ -366,6 +445,7 @@ def all_queries() -> dict[str, Query]:
         "silver_replace_edition": silver_replace_edition,
         "silver_replace_fewer": silver_replace_fewer,
         "sink_csv_roundtrip": sink_csv_roundtrip,
+        "sink_csv_typed": sink_csv_typed,
         "schema_lineage": schema_lineage,
         "schema_sanitize": schema_sanitize,
         "edition_map": edition_map,
@@ -383,6 +463,13 @@ def all_queries() -> dict[str, Query]:
         "flag_adoption": flag_adoption_query,
         "gold_batch": gold_batch,
         "gold_batch_states": gold_batch_states,
+        "gold_export_order": gold_export_order,
+        "gold_export_types": gold_export_types,
+        "positions_running": positions_running,
+        "matrix_open": matrix_open,
+        "matrix_spread": matrix_spread,
+        "mart_without_counts": mart_without_counts,
+        "charts_without_sources": charts_without_sources,
         "mart_work_model": mart_work_model,
         "mart_work_model_folded": mart_work_model_folded,
         "mart_display_labels": mart_display_labels,
