@@ -421,11 +421,12 @@ def _type_part(key: str, query: str) -> str:
     parts = []
     for column in [*keys, *numbers]:
         text = f"cast({column} as varchar)"
+        number = "[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
         parts.append(
             f"""select '{QUESTION_NAMES[key]}' as question, '{column}' as coluna,
  case when count({column}) = 0 then 'double'
  when count(*) filter (regexp_full_match({text}, '[+-]?[0-9]+')) = count(*) then 'bigint'
- when count(try_cast({text} as double)) = count({column}) then 'double' else 'string' end as tipo,
+ when count(*) filter (regexp_full_match({text}, '{number}')) = count({column}) then 'double' else 'string' end as tipo,
  count({column}) as preenchidas from ({query})"""
         )
     return " union all ".join(parts)
