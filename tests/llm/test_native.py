@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import queries
 from tallyloom.llm.chat import format_chats, read_chats
 from tallyloom.llm.common import scratch
-from tallyloom.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, scan
+from tallyloom.llm.licenses import BAG, PHRASES, TEMPLATES, THRESHOLD, scan, widths
 from tallyloom.llm.warc import assemble, captures, parse_archive, read_records, write_archives
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -35,17 +35,17 @@ def scanned(text):
         places += found
         names |= {label} if found else set()
     base = ",".join(sorted(names))
-    width = 2 * max(len(wording.split()) for _, wording in TEMPLATES)
-    for start in range(0, max(len(words), 1), width // 2):
-        block = set(words[start : start + width])
-        for label, wording in TEMPLATES:
-            own = set(wording.split())
-            shared = len(own & block)
-            if shared >= math.ceil(THRESHOLD * len(own) - 1e-9):
-                names.add(label)
-                best = max(best, shared / len(own))
-                blocks += 1
-    score = 1.0 if base else best
+    for longest, members in widths(TEMPLATES).items():
+        for start in range(0, max(len(words), 1), longest // 2):
+            block = set(words[start : start + longest + longest // 2])
+            for label, wording in (TEMPLATES[t] for t in members):
+                own = set(wording.split())
+                shared = len(own & block)
+                if shared >= math.ceil(THRESHOLD * len(own) - 1e-9):
+                    names.add(label)
+                    best = max(best, shared / len(own))
+                    blocks += 1
+    score = 1.0 if base else BAG * best
     return (len(words), len(places), min(places, default=None), max(places, default=None), base, ",".join(sorted(names)), score, blocks)
 
 
@@ -68,6 +68,28 @@ def test_license_wording_across_lines_with_a_word_missing(spark):
     assert got[2].base_labels == "mit" and got[2].labels == "mit"
 
 
+def test_every_template_is_found_in_prose_and_with_a_tenth_of_its_words_changed(spark):
+    rows = []
+    for number, (_, wording) in enumerate(TEMPLATES):
+        words = wording.split()
+        changed = [f"w{k}" if k % 10 == 9 else word for k, word in enumerate(words)]
+        rows += [(2 * number, "before it " * 31 + wording.upper() + "\nbehind it" * 17), (2 * number + 1, "so " * number + ", ".join(changed))]
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for number, (label, _) in enumerate(TEMPLATES):
+        for doc_id in (2 * number, 2 * number + 1):
+            assert label in got[doc_id].labels.split(","), (label, doc_id)
+    texts = {r.doc_id: scanned(text) for r, text in ((got[d], t) for d, t in rows)}
+    assert {d: tuple(r)[1:] for d, r in got.items()} == texts
+
+
+def test_words_of_a_template_far_apart_or_in_any_order_are_worth_less(spark):
+    far = "released " + "x " * 30 + "under the " + "y " * 30 + "license of mit"
+    bag = "the license under which a bus was released is with the mit"
+    got = {r.doc_id: r for r in scan(spark.createDataFrame([(1, far), (2, bag), (3, "mit license")], "doc_id bigint, text string")).collect()}
+    assert got[1].labels == "" and got[1].score == 0
+    assert got[2].score <= BAG < got[3].score == 1
+
+
 @pytest.mark.parametrize("name", ["op4_license_scan", "op9_chat_formatting"])
 def test_native_plans_run_no_python(spark, sf_dir, name):
     plan = queries.llm_queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
