@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import held_out, mapped, read
@@ -217,16 +217,20 @@ def train(windows: list[bytes], labels: list[str], steps: int = STEPS, batch: in
 
 
 def training_sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, windows: int = WINDOWS_PER_DOC) -> tuple[list[bytes], list[str]]:
-    """At most ``per_language`` documents of each language, chosen by a hash of their ids, as windows
-    spread over their whole texts."""
-    known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    counts = {row["lang"]: row["n"] for row in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    """At most ``per_language`` documents of each language, as windows spread over their whole texts.
+
+    They are drawn by a hash of id and text, so rows that share an id are drawn each for itself and copies of a
+    row count once. The draw is made in Spark: the driver gets no more than is learnt from.
+    """
+    known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = known.select("lang", F.col("text").cast("string").alias("text"), F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(11)).alias("draw"))
+    counts = {row["lang"]: row["n"] for row in known.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).collect()}
     if not counts:
         return [], []
     # Half as many again as needed pass, then the smallest hashes are taken.
-    bounds = F.create_map(*(F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, 1.5 * (per_language + 20) / n) * 2**31)))
-    order = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(2**31))
-    drawn = known.withColumn("order", order).filter(F.col("order") < F.coalesce(bounds[F.col("lang")], F.lit(0.0)))
+    shares = {lang: min(1.0, 1.5 * (per_language + 20) / n) for lang, n in counts.items()}
+    bounds = F.create_map(*(F.lit(v) for lang, share in shares.items() for v in (lang, min(int(2**64 * share) - 2**63, 2**63 - 1))))
+    passed = known.filter(F.col("draw") <= bounds[F.col("lang")])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,18 +239,18 @@ def training_sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, wind
                 data = text.as_py().encode("utf-8", "replace")
                 starts = np.linspace(0, max(len(data) - WINDOW, 0), windows).astype(int)
                 parts.append([data[s : s + WINDOW] for s in sorted(set(starts.tolist()))])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.list_(pa.binary()))], ["lang", "order", "parts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.list_(pa.binary()))], ["lang", "draw", "parts"])
 
-    rows = mapped(drawn.select("lang", "order", "text"), spread, "lang string, order bigint, parts array<binary>").collect()
+    cut_up = mapped(passed.select("lang", "draw", "text"), spread, "lang string, draw bigint, parts array<binary>")
+    once = cut_up.groupBy("lang", "draw").agg(F.min("parts").alias("parts"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    drawn = once.withColumn("place", place).filter(F.col("place") <= per_language).collect()
     found: tuple[list[bytes], list[str]] = ([], [])
-    taken: dict[str, int] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["order"], [bytes(p) for p in r["parts"]])):
-        taken[row["lang"]] = taken.get(row["lang"], 0) + 1
-        if taken[row["lang"]] <= per_language:
-            for part in row["parts"]:
-                if part:
-                    found[0].append(bytes(part))
-                    found[1].append(row["lang"])
+    for row in sorted(drawn, key=lambda r: (r["lang"], r["place"])):
+        for part in row["parts"]:
+            if part:
+                found[0].append(bytes(part))
+                found[1].append(row["lang"])
     return found
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -155,6 +155,19 @@ def test_languages_of_rows_never_learnt_from(spark):
     assert np.mean([rows[i].lang_pred == lang for i, lang in known.items()]) >= 0.96
 
 
+def test_the_sample_takes_rows_not_ids_and_copies_once(spark):
+    """A language under one id is learnt from, no language sends the driver more than its share, copies are one document."""
+    held = [i for i in range(99) if not held_out(i)][0]
+    one_id = spark.range(3000).select(F.lit(held).cast("bigint").alias("doc_id"), F.concat(F.lit("word "), "id").alias("text"), F.lit("one").alias("lang"))
+    copies = spark.range(3000).select(F.lit(held).cast("bigint").alias("doc_id"), F.lit("copy").alias("text"), F.lit("same").alias("lang"))
+    few = spark.range(3).select(F.lit(held).cast("bigint").alias("doc_id"), F.concat(F.lit("few "), "id").alias("text"), F.lit("few").alias("lang"))
+    parts, langs = language.training_sample(one_id.unionByName(copies).unionByName(few), per_language=50, windows=3)
+    assert Counter(langs) == {"one": 50, "same": 1, "few": 3}
+    assert len(set(parts)) == 54
+    again = language.training_sample(few.unionByName(copies).unionByName(one_id).repartition(7), per_language=50, windows=3)
+    assert (parts, langs) == again
+
+
 def test_gradients_by_backpropagation_through_time():
     rng = np.random.default_rng(0)
     net = language.Network.fresh(["a", "b", "c"], 4)
