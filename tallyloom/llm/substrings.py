@@ -45,6 +45,9 @@ HOT = 1_024
 #: An aim for the text that one sorting task gets, and the least number of such tasks.
 BUCKET_BYTES = 8_000_000
 LEAST_BUCKETS = 64
+BUCKETS_A_TASK = 4
+#: Spark keeps no table in more buckets unless told to, and more tasks than that help nobody.
+MOST_TASKS = 100_000
 ROWS_AT_ONCE = 1 << 14
 #: Texts that are sorted at once, but for those of one anchor.
 TEXTS_AT_ONCE = 1 << 14
@@ -422,6 +425,12 @@ def _blocks_of(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, Block]]:
         yield block, Block.of(*parts)
 
 
+def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows dealt out by bucket to as many tasks as their number asks for, at most ``MOST_TASKS``."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(least, min(-(-buckets // BUCKETS_A_TASK), MOST_TASKS)), "bucket")
+
+
 def tell_anchors(blocks: DataFrame, buckets: int) -> DataFrame:
     """The different anchors of each block, by bucket of their leading bits."""
 
@@ -444,7 +453,7 @@ def tell_anchors(blocks: DataFrame, buckets: int) -> DataFrame:
     return mapped(blocks, told, "block bigint, bucket bigint, keys binary, texts binary, several binary")
 
 
-def meet_anchors(told: DataFrame, hot: int = HOT) -> DataFrame:
+def meet_anchors(told: DataFrame, buckets: int = LEAST_BUCKETS, hot: int = HOT) -> DataFrame:
     """For each block and bucket a code per anchor: 0 held by one document, 1 by several, 2 by very many texts."""
 
     def met(table: pa.Table) -> pa.Table:
@@ -470,7 +479,7 @@ def meet_anchors(told: DataFrame, hot: int = HOT) -> DataFrame:
         out = [_pack(back[a:b]) for a, b in _runs(owners)]
         return pa.table({"block": pa.array(blocks, pa.int64()), "bucket": pa.array(_column(table, "bucket"), pa.int64()), "codes": pa.array(out, pa.binary())})
 
-    return told.groupBy("bucket").applyInArrow(met, "block bigint, bucket bigint, codes binary")
+    return _dealt(told, buckets).groupBy("bucket").applyInArrow(met, "block bigint, bucket bigint, codes binary")
 
 
 def _on_shelf(rows: DataFrame):
@@ -545,7 +554,7 @@ def smallest(key: np.ndarray, ids: np.ndarray, length: np.ndarray, data: np.ndar
     return out
 
 
-def meet_texts(sent: DataFrame) -> DataFrame:
+def meet_texts(sent: DataFrame, buckets: int = LEAST_BUCKETS) -> DataFrame:
     """For each block the texts of which another document with a smaller id has strings, and those ids."""
 
     def met(table: pa.Table) -> pa.Table:
@@ -578,7 +587,7 @@ def meet_texts(sent: DataFrame) -> DataFrame:
         columns = list(zip(*rows, strict=True)) or [[]] * 3
         return pa.table({c: pa.array(v, t) for c, v, t in zip(("block", "items", "least"), columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)})
 
-    return sent.groupBy("bucket").applyInArrow(met, "block bigint, items binary, least binary")
+    return _dealt(sent, buckets).groupBy("bucket").applyInArrow(met, "block bigint, items binary, least binary")
 
 
 def cut_texts(blocks: DataFrame, told: DataFrame, block_bytes: int) -> DataFrame:
@@ -639,14 +648,14 @@ def without_repeats(docs: DataFrame, hot: int = HOT, block_bytes: int = BLOCK_BY
     ship(spark)
     folder = scratch(spark, "blocks")
     name = f"llm_blocks_{folder.rsplit('-', 1)[1]}"
-    laid = to_blocks(docs, block_bytes)
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 50_000)
-    laid.write.bucketBy(parts, "shelf").option("path", folder).option("compression", "uncompressed").saveAsTable(name)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0)).alias("n")).first()["n"]
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))  # with fewer, Spark would deal the blocks out again
+    shelves = max(least, min(-(-2 * size // (SHELF_BLOCKS * block_bytes)), MOST_TASKS))
+    to_blocks(docs, block_bytes).write.bucketBy(shelves, "shelf").option("path", folder).option("compression", "uncompressed").saveAsTable(name)
     blocks = spark.table(name)
-    size = blocks.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
     buckets = max(LEAST_BUCKETS, -(-size // bucket_bytes))
-    codes = stored(meet_anchors(tell_anchors(blocks, buckets), hot), "anchor-codes")
-    better = stored(meet_texts(send_texts(blocks, codes, buckets)), "smaller-ids")
+    codes = stored(meet_anchors(tell_anchors(blocks, buckets), buckets, hot), "anchor-codes")
+    better = stored(meet_texts(send_texts(blocks, codes, buckets), buckets), "smaller-ids")
     both = codes.select("block", "bucket", "codes").unionByName(better, allowMissingColumns=True)
     return cut_texts(blocks, both, block_bytes)
 
