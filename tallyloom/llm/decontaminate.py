@@ -16,7 +16,7 @@ segments and parts together cover at least ``share`` of its characters, each cou
 Characters are compared after lower-casing A-Z and with every run of white space as one blank. Items of
 fewer characters than a q-gram must stand whole, without edits, and neither begin nor end inside a word. Where a tenth of
 a length asks for no q-gram (10 to 15, 20 to 23, 30 and 31 characters) one edit less is allowed. The
-items are taken in blocks of bounded size, each of which passes over all documents.
+items are taken in blocks of bounded size, each of which passes over all documents; the driver holds two at most.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 from math import ceil
 
 import numpy as np
@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import mapped, read
+from tallyloom.llm.common import mapped, read, stored
+from tallyloom.operators.positions import positioned, running_total
 
 Q = 8
 SEGMENT = 96
@@ -424,39 +425,47 @@ def contaminations(docs: DataFrame, items: list[tuple[int, str]], share: float =
 
 
 def blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """The items with a text, in blocks of at most ``chars`` characters (or one item)."""
-    held, size = [], 0
-    for row in benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null").toLocalIterator():
-        if held and size + len(row["text"]) > chars:
-            yield held
-            held, size = [], 0
-        held.append((row["item_id"], row["text"]))
-        size += len(row["text"])
-    if held:
-        yield held
-
-
-def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, q: int = Q) -> DataFrame:
+    """The items with a text, in blocks of at most ``chars`` characters and an item more; no order of items is kept.
+
+    The driver gets a block when it is asked for. A benchmark of more than one is numbered in Spark by the characters
+    that come before an item, and written to the shared folder.
+    """
+    text = F.col("text").cast("string")
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), text.alias("text"), F.length(text).cast("bigint").alias("size")).filter("size > 0")
+    size = items.agg(F.sum("size").alias("n")).first()["n"] or 0
+    if size <= chars:
+        if rows := items.select("item_id", "text").collect():
+            yield [tuple(row) for row in rows]
+        return
+    summed = running_total(positioned(items, "item_id", "text"), "size", "up_to")
+    numbered = stored(summed.select(F.floor((F.col("up_to") - 1) / chars).cast("bigint").alias("block"), "item_id", "text"), "benchmark-blocks")
+    for block in range(-(-size // chars)):
+        if rows := numbered.filter(F.col("block") == block).select("item_id", "text").collect():
+            yield [tuple(row) for row in rows]
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, q: int = Q, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Every document and benchmark item of which it holds at least ``share``, one row each.
 
     Parts of the item count where they hold half a segment or ``share`` of it (see above), whichever is less, with a tenth of edits.
     Missing and empty texts hold and are nothing; items shorter than ``q`` characters count only whole (see above).
     Places are in characters of the text as it is.
     Repeated documents are reported each; a repeated item's rows are reported each. Other columns
-    are ignored.
+    are ignored. What a block of items found is written before the next one is taken.
     """
-    found = [contaminations(docs, items, share, q) for items in blocks(benchmark)] or [contaminations(docs, [], share, q)]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    found: list[DataFrame] = []
+    for items in blocks(benchmark, block_chars):
+        if found:
+            found[-1] = stored(found[-1], "leaks")
+        found.append(contaminations(docs, items, share, q))
+    return reduce(DataFrame.unionByName, found or [contaminations(docs, [], share, q)])
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows that hold no benchmark item, with all their columns; each is decided by its own text, whatever its id."""
     out = docs
-    for items in blocks(benchmark):
-        out = _without(out, items, share)
+    for number, items in enumerate(blocks(benchmark, block_chars)):
+        out = _without(stored(out, "clean") if number else out, items, share)
     return out
 
 

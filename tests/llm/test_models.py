@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -80,18 +81,51 @@ def test_pieces_of_one_length_over_many_tasks(spark):
     check_sequences(rows, 64, spare=1.12)
 
 
+def naive_best_fit(counts, capacity):
+    """The rounds over single pieces and gaps: a gap, from the smallest on, takes the largest piece that fits and is left."""
+    left = {length: list(range(n)) for length, n in counts.items() if n}
+    gaps, goes, opened, matched = [], {}, 0, 0
+    while any(left.values()):
+        if not matched:
+            new = -(-sum(length * len(ranks) for length, ranks in left.items()) // capacity)
+            gaps += [(capacity, opened + i) for i in range(new)]
+            opened, matched = opened + new, 0
+        matched, after = 0, []
+        for size, sequence in sorted(gaps):
+            fitting = [length for length, ranks in left.items() if ranks and length <= size]
+            if fitting:
+                length = max(fitting)
+                goes[length, left[length].pop(0)] = (sequence, capacity - size)
+                matched += 1
+                size -= length
+            if size:
+                after.append((size, sequence))
+        gaps = after
+    return goes
+
+
+def by_hand(ranges):
+    return [packing.sweep_range(*runs) for runs in ranges]
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 3, 5, 16])
 @pytest.mark.parametrize("seed", range(6))
-def test_best_fit_places_every_piece_once(seed):
+def test_sweeps_over_ranges_equal_one_gap_at_a_time(seed, ranges):
     rng = np.random.default_rng(seed)
     counts = {int(length): int(rng.integers(1, 40)) for length in rng.integers(1, 101, 1 + 15 * seed)}
-    goes = packing.best_fit(counts, 100)
-    ends = defaultdict(int)
-    for length, rank, n, first, offset in sorted(goes.tolist(), key=lambda row: row[4]):
+    goes = {}
+    for length, rank, n, first, offset in packing.best_fit(counts, by_hand, 100, ranges).tolist():
         for k in range(n):
-            assert ends[first + k] == offset
-            ends[first + k] += length
-        counts[length] -= n
-    assert not any(counts.values()) and max(ends.values()) <= 100
+            assert (length, rank + k) not in goes
+            goes[length, rank + k] = (first + k, offset)
+    assert goes == naive_best_fit(counts, 100)
+
+
+def test_sweeps_in_tasks(spark):
+    rng = np.random.default_rng(9)
+    counts = {int(length): int(rng.integers(1, 2000)) for length in rng.permutation(np.arange(1, 301, 9))}
+    for own in (counts, {7: 3}, {}):
+        assert packing.best_fit(own, packing.in_tasks(spark), 300).tolist() == packing.best_fit(own, by_hand, 300).tolist()
 
 
 def test_words_are_encoded_as_the_tokenizer_does(tokenizer):
@@ -176,8 +210,8 @@ def test_gradients_by_backpropagation_through_time():
     for part, grad in zip(net.parts(), grads.parts(), strict=True):
         for _ in range(5):
             at = tuple(int(rng.integers(0, n)) for n in part.shape)
-            if part.shape[-1] == 256:
-                at = (at[0], int(windows[rng.integers(0, 7), rng.integers(0, 5)]))
+            if part.ndim == 3 and part.shape[1] == 256:
+                at = (at[0], int(windows[rng.integers(0, 7), rng.integers(0, 5)]), at[2])
             old, losses = part[at], []
             for shift in (1e-2, -1e-2):
                 part[at] = old + shift
@@ -186,6 +220,43 @@ def test_gradients_by_backpropagation_through_time():
             assert grad[at] == pytest.approx((losses[0] - losses[1]) / 2e-2, rel=0.05, abs=2e-3)
 
 
+def naive_labels(net, data, window):
+    """Probabilities of the languages added up over a text's bytes, one window, byte and unit at a time."""
+
+    def states(layer, seen):
+        h, out = [0.0] * net.hidden, []
+        units = range(net.hidden)
+        for byte in seen:
+            z, r = ([1 / (1 + math.exp(-layer.table[g, byte, j] - sum(h[i] * layer.state[g, i, j] for i in units))) for j in units] for g in (0, 1))
+            m = [sum(h[i] * layer.state[2, i, j] for i in units) + layer.bias[j] for j in units]
+            c = [math.tanh(layer.table[2, byte, j] + r[j] * m[j]) for j in units]
+            h = [z[j] * h[j] + (1 - z[j]) * c[j] for j in units]
+            out.append(h)
+        return out
+
+    total = [0.0] * len(net.languages)
+    for low in range(0, len(data), window):
+        own = data[low : low + window]
+        padded = own + bytes(window - len(own))
+        ahead, behind = states(net.ahead, padded), states(net.behind, padded[::-1])[::-1]
+        for i in range(len(own)):
+            logits = [math.exp(sum(w * s for w, s in zip(row, ahead[i] + behind[i], strict=True)) + b[0]) for row, b in zip(net.out, net.out_bias, strict=True)]
+            total = [t + x / sum(logits) for t, x in zip(total, logits, strict=True)]
+    return total
+
+
+def test_predictions_equal_a_naive_network(spark):
+    net = language.train([b"the cat and the dog", b"der Hund und die Katze", b"le chien et le chat"] * 3, ["en", "de", "fr"] * 3, steps=30)
+    texts = ["the", "der Hund und der Hund, und die Katze, und nochmals der Hund und eine Katze mehr", "le chat \u00e9tait l\u00e0", "a\u00df" * 70]
+    got = language.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2), net)
+    rows = {r.doc_id: r for r in got.collect()}
+    for doc_id, text in enumerate(texts):
+        total = naive_labels(net, text.encode(), language.WINDOW)
+        best = max(range(3), key=total.__getitem__)
+        assert rows[doc_id].lang_pred == net.languages[best]
+        assert rows[doc_id].score == pytest.approx(total[best] / len(text.encode()), abs=1e-4)
+
+
 def test_every_byte_is_labelled_wherever_texts_are_cut(spark):
     net = language.train([b"aaaa bbbb", b"cccc dddd"] * 4, ["x", "y"] * 4, steps=20)
     text = "aaaa bbbb cccc " * 20_000
@@ -334,10 +405,20 @@ def test_texts_are_searched_alike_in_parts_of_any_size(documents, spark, sf_dir)
     assert whole == sorted(map(tuple, decontaminate.contaminations(documents, items, chars_at_once=700).collect()))
 
 
-def test_benchmarks_larger_than_a_block(spark, sf_dir, monkeypatch):
+def test_benchmarks_larger_than_a_block(spark, sf_dir, documents):
+    """Blocks hold every item once, repeated ones each, and find what one block finds."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    blocks = list(decontaminate.blocks(benchmark, 2_000))
-    assert len(blocks) > 2 and sum(map(len, blocks)) == benchmark.count()
+    more = benchmark.unionByName(benchmark.limit(5)).unionByName(spark.createDataFrame([(-1, None), (-2, ""), (None, "no id")], "item_id bigint, text string"))
+    blocks = list(decontaminate.blocks(more, 2_000))
+    longest = max(len(text) for block in blocks for _, text in block)
+    assert len(blocks) > 2 and max(sum(len(text) for _, text in block) for block in blocks) <= 2_000 + longest
+    assert Counter(map(repr, (item for block in blocks for item in block))) == Counter(repr(tuple(r)) for r in more.filter("text != ''").select("item_id", "text").collect())
+    chars = sum(len(text) for block in blocks for _, text in block) // 3
+    whole = decontaminate.find_leaks(documents, more).collect()
+    assert whole and sorted(map(repr, whole)) == sorted(map(repr, decontaminate.find_leaks(documents, more, block_chars=chars).collect()))
+    held = {r.doc_id for r in whole}
+    clean = decontaminate.without_leaks(documents, more, block_chars=chars).collect()
+    assert sorted(map(repr, clean)) == sorted(repr(r) for r in documents.collect() if r.doc_id not in held)
 
 
 def test_excerpts_that_begin_and_end_inside_segments(spark, sf_dir):
