@@ -8,7 +8,8 @@ in the rest, give the word within. All words thus have a share of one distributi
 
 The network learns by truncated backpropagation through time, in numpy, in the tasks that hold the documents: in each
 round every task trains a replica from the common weights on its share of the documents, and the weighted mean of the
-replicas is the next round's start. What is learnt from grows with the corpus; a share and no number bounds it.
+replicas is the next round's start. The rounds share out the documents: when they end, the network has learnt from every
+word of every document that may be learnt from.
 
 Scoring reads a document from its first word to its end in windows and carries the state over, so that a score is the
 whole document's. Documents of a task advance together, one column each, the longest last alone.
@@ -34,9 +35,9 @@ HEAD_WORDS = 2_048
 #: Words whose counts every task has at hand: at most so many, none longer, each seen twice at least.
 DICTIONARY_WORDS = 200_000
 DICTIONARY_BYTES = 64
-#: A round learns from one in SHARE of the documents, another one each time.
-SHARE = 24
-ROUNDS = 2
+#: A round learns from one in SHARE of the documents, another one each time; a pass is the rounds that together take all.
+SHARE = 4
+PASSES = 1
 LANES = 256
 WINDOW = 16
 RATE = 0.02
@@ -337,6 +338,7 @@ def train(model: Model, vocab: Vocabulary, codes: np.ndarray, ends: np.ndarray,
 
     ``codes`` are the documents' words one after the other, ``ends`` the places behind each document. The stream is cut in lanes that
     advance together; states are carried from window to window, gradients are not, and a document begins without state.
+    Where lanes differ by a word, that one is a last step of the longer lanes alone.
     """
     symbols, class_of, within = vocab.symbols(), vocab.class_of(), vocab.within()
     model = model.filled(model.flat())
@@ -347,30 +349,34 @@ def train(model: Model, vocab: Vocabulary, codes: np.ndarray, ends: np.ndarray,
     first[ends[:-1]] = True
     inputs[first] = vocab.start
     lanes = max(1, min(lanes, len(codes) // window))
-    length = len(codes) // lanes
-    shape = (lanes, length)
-    inputs, targets, first = (x[: lanes * length].reshape(shape).T for x in (inputs, codes, first))
+    length, longer = divmod(len(codes), lanes)
+    steps = length + (longer > 0)
+    lane = np.arange(lanes)
+    at = np.minimum(np.arange(steps)[:, None] + lane * length + np.minimum(lane, longer), len(codes) - 1)
+    inputs, targets, first = inputs[at], codes[at], first[at]
     h = np.zeros((len(model.bias), lanes), dtype=np.float32)
     means, squares = ([np.zeros_like(part) for part in model.parts()] for _ in range(2))
     loss, pace = 0.0, 0
-    for low in range(0, length, window):
-        t = min(window, length - low)
+    bounds = [*range(0, length, window), steps]
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        n = min(high * lanes, len(codes)) - low * lanes  # words; what stands behind them in a last step is none
         kept, states = [], []
-        for i in range(low, low + t):
+        for i in range(low, high):
             h = model.step(inputs[i], np.where(first[i], np.float32(0), h), kept)
             states.append(h)
         grads = Model(*(np.zeros_like(part) for part in model.parts()))
-        got, down = model.log_probabilities(np.concatenate(states, axis=1), np.concatenate(targets[low : low + t]), class_of, within, grads)
+        got, down = model.log_probabilities(np.concatenate(states, axis=1)[:, :n], targets[low:high].ravel()[:n], class_of, within, grads)
         loss -= float(got.sum())
-        downs = [down[:, i * lanes : (i + 1) * lanes] for i in range(t)]
-        model.back(kept, downs, first[low : low + t], grads)
+        down = np.pad(down, ((0, 0), (0, (high - low) * lanes - n)))
+        downs = [down[:, i * lanes : (i + 1) * lanes] for i in range(high - low)]
+        model.back(kept, downs, first[low:high], grads)
         pace += 1
         for part, grad, mean, square in zip(model.parts(), grads.parts(), means, squares, strict=True):
-            grad /= t * lanes
+            grad /= n
             mean += 0.1 * (grad - mean)
             square += 0.01 * (grad * grad - square)
             part -= rate * (mean / (1 - 0.9**pace)) / (np.sqrt(square / (1 - 0.99**pace)) + 1e-6)
-    return model, loss / max(lanes * length, 1)
+    return model, loss / len(codes)
 
 
 @dataclass
@@ -534,11 +540,12 @@ def with_scores(texts: DataFrame, model: Model, vocab: Vocabulary, chunk_bytes:
     return mapped(texts, score, SCORED)
 
 
-def score_documents(docs: DataFrame, share: int = SHARE, rounds: int = ROUNDS, head_words: int = HEAD_WORDS, dictionary_words: int = DICTIONARY_WORDS, seed: int = 3) -> DataFrame:
+def score_documents(docs: DataFrame, share: int = SHARE, passes: int = PASSES, head_words: int = HEAD_WORDS, dictionary_words: int = DICTIONARY_WORDS, seed: int = 3) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every row.
 
     A missing text is an empty one and consists of its end alone. Rows without an id are held out; repeated rows are
     scored each. Where nothing may be learnt from, every score is the base score, which is then zero. Other columns are ignored.
+    The model learns in ``passes`` passes of ``share`` rounds; each pass takes every document that is not held out once.
     The model depends on how the documents are dealt to tasks, since each trains a replica; counts and base scores do not.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
@@ -549,7 +556,7 @@ def score_documents(docs: DataFrame, share: int = SHARE, rounds: int = ROUNDS, h
     train_tokens, train_words = vocab.all_tokens, vocab.all_words
     model = Model.fresh(vocab, seed=seed)
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(share))
-    for number in range(rounds if train_tokens else 0):
+    for number in range(passes * share if train_tokens else 0):
         model = train_round(model, vocab, learnt.filter(drawn == number % share), rate=RATE / (1 + number))
 
     scored = with_scores(rows, model, vocab).withColumn("row", F.monotonically_increasing_id())

@@ -258,6 +258,44 @@ def test_scores_of_hostile_rows(spark, hostile, hostile_rows, nothing):
     assert {(row["base_score"], row["score"], row["train_tokens"]) for row in lm.score_documents(none).collect()} == {(0.0, 0.0, 0)}
 
 
+@pytest.mark.parametrize("how", [{}, {"share": 3, "passes": 2}])
+def test_the_network_learns_from_every_document_not_held_out(spark, hostile_rows, monkeypatch, how):
+    rows = [(number, text) for number, text, *_ in hostile_rows] + [(1_000 + i, f"w{i % 7} w{i % 11} w{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    learnt = []
+
+    def seen(model, vocab, texts, **_):
+        learnt.extend(bytes(row["text"]).decode() for row in texts.select("text").collect())
+        return model
+
+    monkeypatch.setattr(lm, "train_round", seen)
+    lm.score_documents(docs, **how)
+    times = how.get("passes", 1)
+    assert Counter(learnt) == Counter([text or "" for number, text in rows if number is not None and zlib.crc32(str(number).encode()) % 7 != 2] * times)
+
+
+def test_training_takes_every_word_of_a_stream():
+    vocab = small_vocabulary()
+    rng = np.random.default_rng(2)
+    codes = rng.integers(1, 70, 8 * 37 + 5)  # words of the head: those of a band teach the same
+    model = drawn_model(vocab)
+    ends = np.array([len(codes)])
+    trained = lm.train(model, vocab, codes, ends, lanes=8)[0].flat()
+    for place in (0, 100, len(codes) - 5, len(codes) - 1):
+        other = codes.copy()
+        other[place] = codes[place] % 69 + 1
+        assert not np.array_equal(lm.train(model, vocab, other, ends, lanes=8)[0].flat(), trained), place
+    # at no rate the weights stay, and the loss is that of the lanes, each begun without a state
+    _, loss = lm.train(model, vocab, codes, ends, lanes=8, rate=0.0)
+    symbols, total = vocab.symbols(), 0.0
+    for lane in np.array_split(np.arange(len(codes)), 8):
+        h = np.zeros((len(model.bias), 1), np.float32)
+        for at in lane:
+            h = model.step(symbols[codes[at - 1 : at]] if at else np.array([vocab.start]), h)
+            total -= model.log_probabilities(h, codes[at : at + 1], vocab.class_of(), vocab.within())[0][0]
+    assert abs(loss - total / len(codes)) < 1e-4
+
+
 def small_vocabulary(n=150, head=70):
     counts = np.arange(n, 0, -1) ** 2
     at = np.arange(n)
