@@ -226,11 +226,11 @@ class Model:
     def flat(self) -> np.ndarray:
         return np.concatenate([part.ravel() for part in self.parts()])
 
-    def filled(self, flat: np.ndarray) -> Model:
-        """A model of the same shape with the weights of ``flat``."""
+    def filled(self, flat: np.ndarray, copy: bool = True) -> Model:
+        """A model of the same shape with the weights of ``flat``, or on them."""
         out, low = [], 0
         for part in self.parts():
-            out.append(flat[low : low + part.size].reshape(part.shape).astype(np.float32))
+            out.append(flat[low : low + part.size].reshape(part.shape).astype(np.float32, copy=copy))
             low += part.size
         return Model(*out)
 
@@ -286,6 +286,7 @@ class Model:
         rows = np.ascontiguousarray(h.T[order[: bounds[-1]]])
         inside = codes[order[: bounds[-1]]] % CLASS_WORDS
         even = _even(self.word_bias, self.words)
+        inner = np.empty_like(rows)
         for kind, (low, high) in enumerate(zip(bounds.tolist(), bounds[1:].tolist(), strict=False)):
             if low == high:
                 continue
@@ -304,7 +305,9 @@ class Model:
                 scores[lines, target] -= 1
                 grads.words[kind] += scores.T @ own
                 grads.word_bias[kind] += scores.sum(axis=0)
-                down[:, at] += (scores @ self.words[kind]).T
+                np.matmul(scores, self.words[kind], out=inner[low:high])
+        if grads is not None:
+            down[:, order[: bounds[-1]]] += inner.T
         return out, down
 
     def back(self, kept: list, downs: list[np.ndarray], first: np.ndarray, grads: Model) -> None:
@@ -313,24 +316,28 @@ class Model:
         ``downs`` are the output's gradients of the states. Where a document begins (``first``), the state before
         was another document's and gets no gradient.
         """
-        n, t = len(self.bias), len(kept)
-        dh = np.zeros_like(kept[0][1])
-        terms = []
-        for i in range(t - 1, -1, -1):
-            _, h, update, reset, inner, new = kept[i]
-            dh = dh + downs[i]
-            dnew = dh * (1 - update) * (1 - new * new)
-            dupdate = dh * (h - new) * update * (1 - update)
-            dreset = dnew * inner * reset * (1 - reset)
-            terms.append(np.concatenate([dupdate, dreset, dnew]))
-            du = np.concatenate([dupdate, dreset, dnew * reset])
-            grads.state += du @ h.T
-            grads.bias += du[2 * n :].sum(axis=1, keepdims=True)
-            dh = np.where(first[i], np.float32(0), dh * update + self.state.T @ du)
-        x = np.concatenate([kept[i][0] for i in range(t - 1, -1, -1)])
-        order = np.argsort(x, kind="stable")
+        n = len(self.bias)
+        x, before, update, reset, inner, new = (np.stack(own) for own in zip(*kept, strict=True))
+        to_new, to_update, to_reset = (1 - update) * (1 - new * new), (before - new) * update * (1 - update), inner * reset * (1 - reset)
+        du, dnew = np.empty((len(x), 3 * n, x.shape[1]), np.float32), np.empty_like(new)
+        dh = np.zeros_like(new[0])
+        for i in range(len(x) - 1, -1, -1):
+            dh += downs[i]
+            np.multiply(dh, to_new[i], out=dnew[i])
+            np.multiply(dh, to_update[i], out=du[i, :n])
+            np.multiply(dnew[i], to_reset[i], out=du[i, n : 2 * n])
+            np.multiply(dnew[i], reset[i], out=du[i, 2 * n :])
+            dh *= update[i]
+            dh += self.state.T @ du[i]
+            dh[:, first[i]] = 0
+        grads.state += (du @ before.transpose(0, 2, 1)).sum(axis=0)
+        grads.bias += du[:, 2 * n :].sum(axis=(0, 2))[:, None]
+        du[:, 2 * n :] = dnew
+        x = x.ravel()
+        order = np.argsort(x.astype(np.int16) if self.table.shape[1] < 2**15 else x, kind="stable")
         inputs, starts = np.unique(x[order], return_index=True)
-        grads.table[:, inputs] += np.add.reduceat(np.concatenate(terms, axis=1)[:, order], starts, axis=1)
+        rows = du.transpose(0, 2, 1).reshape(-1, 3 * n).take(order, axis=0)
+        grads.table[:, inputs] += np.add.reduceat(rows, starts, axis=0).T
 
 
 def train(model: Model, vocab: Vocabulary, codes: np.ndarray, ends: np.ndarray, lanes: int = LANES, window: int = WINDOW, rate: float = RATE) -> tuple[Model, float]:
@@ -341,7 +348,8 @@ def train(model: Model, vocab: Vocabulary, codes: np.ndarray, ends: np.ndarray,
     Where lanes differ by a word, that one is a last step of the longer lanes alone.
     """
     symbols, class_of, within = vocab.symbols(), vocab.class_of(), vocab.within()
-    model = model.filled(model.flat())
+    weights = model.flat()
+    model = model.filled(weights, copy=False)
     inputs = np.empty_like(codes)
     inputs[1:] = symbols[codes[:-1]]
     first = np.zeros(len(codes), dtype=bool)
@@ -355,7 +363,8 @@ def train(model: Model, vocab: Vocabulary, codes: np.ndarray, ends: np.ndarray,
     at = np.minimum(np.arange(steps)[:, None] + lane * length + np.minimum(lane, longer), len(codes) - 1)
     inputs, targets, first = inputs[at], codes[at], first[at]
     h = np.zeros((len(model.bias), lanes), dtype=np.float32)
-    means, squares = ([np.zeros_like(part) for part in model.parts()] for _ in range(2))
+    slope, mean, square = (np.zeros_like(weights) for _ in range(3))
+    grads, change = model.filled(slope, copy=False), np.empty_like(weights)
     loss, pace = 0.0, 0
     bounds = [*range(0, length, window), steps]
     for low, high in zip(bounds, bounds[1:], strict=False):
@@ -364,18 +373,25 @@ def train(model: Model, vocab: Vocabulary, codes: np.ndarray, ends: np.ndarray,
         for i in range(low, high):
             h = model.step(inputs[i], np.where(first[i], np.float32(0), h), kept)
             states.append(h)
-        grads = Model(*(np.zeros_like(part) for part in model.parts()))
+        slope[:] = 0
         got, down = model.log_probabilities(np.concatenate(states, axis=1)[:, :n], targets[low:high].ravel()[:n], class_of, within, grads)
         loss -= float(got.sum())
         down = np.pad(down, ((0, 0), (0, (high - low) * lanes - n)))
         downs = [down[:, i * lanes : (i + 1) * lanes] for i in range(high - low)]
         model.back(kept, downs, first[low:high], grads)
         pace += 1
-        for part, grad, mean, square in zip(model.parts(), grads.parts(), means, squares, strict=True):
-            grad /= n
-            mean += 0.1 * (grad - mean)
-            square += 0.01 * (grad * grad - square)
-            part -= rate * (mean / (1 - 0.9**pace)) / (np.sqrt(square / (1 - 0.99**pace)) + 1e-6)
+        slope /= n
+        mean *= 0.9
+        mean += np.multiply(slope, 0.1, out=change)
+        slope *= slope
+        square *= 0.99
+        square += np.multiply(slope, 0.01, out=change)
+        np.sqrt(square, out=change)
+        change /= (1 - 0.99**pace) ** 0.5
+        change += 1e-6
+        np.divide(mean, change, out=change)
+        change *= rate / (1 - 0.9**pace)
+        weights -= change
     return model, loss / len(codes)
 
 
